@@ -162,3 +162,13 @@ def coo(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return (li.groupBy((F.col("l_orderkey") % 50).alias("i"), (F.col("l_partkey") % 50).alias("j"))
               .agg(F.sum("l_quantity").alias("v")))
+
+
+def pixel_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_pixels as frame rows: one row per frame, raw uint8 bytes in ``data``."""
+    from framelake.operators.pixels import frames_from_arrays
+    emb = table(spark, sf_dir, "embeddings")
+    vals = F.transform("embedding", lambda e: F.floor(F.least(F.lit(255.0), F.greatest(
+        F.lit(0.0), F.lit(128.0) + F.lit(256.0) * e.cast("double")))).cast("int"))
+    f = emb.select(F.col("label").alias("video_id"), F.col("vec_id").alias("frame_no"), vals.alias("_vals"))
+    return frames_from_arrays(f, "_vals", FRAME_SIDE, FRAME_SIDE, 1)
