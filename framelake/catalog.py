@@ -414,3 +414,4 @@ def q_frame_size_stats(spark, d):
     from framelake.operators.metrics import size_stats
     return size_stats(TD.frames(spark, d), "size_bytes")
 import framelake.catalog_pixels  # noqa: E402,F401  (registers pixel queries)
+import framelake.catalog_media  # noqa: E402,F401  (registers media/metrics/stream queries)
