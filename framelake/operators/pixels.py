@@ -84,11 +84,24 @@ def _pyramid(template: np.ndarray) -> K.TemplatePyramid:
     return _PYRAMIDS[key]
 
 
+def spread_frames(frames: DataFrame, partitions: int, keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
+    """Hash-spread frame rows over an explicit number of tasks before a heavy
+    pixel stage.
+
+    AQE sizes partitions by *bytes*; when frames are produced by an
+    expansion (decode, upscale) the pre-expansion shuffle looks tiny and
+    would be coalesced into one task.  An explicit count is kept by AQE."""
+    return frames.repartition(partitions, *keys)
+
+
 def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.DEFAULT_THRESHOLD,
-                  keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
+                  keys: tuple[str, ...] = ("video_id", "frame_no"), partitions: int | None = None) -> DataFrame:
     """I4 on frame rows: multi-scale detection per frame with numpy FFT
     correlation in ``mapInPandas`` (frames spread over tasks, scales looped
-    inside each Arrow batch)."""
+    inside each Arrow batch).  ``partitions`` spreads the frames first (see
+    :func:`spread_frames`)."""
+    if partitions:
+        frames = spread_frames(frames, partitions, keys)
     tpl = np.ascontiguousarray(template)
     key_fields = [frames.schema[k] for k in keys]
     schema = T.StructType(key_fields + DETECTION_FIELDS)
