@@ -114,7 +114,10 @@ class TemplatePyramid:
         """Spectrum of level ``k`` flipped (correlation as convolution)."""
         ix, sh, sw, r, st, stt = self.levels[k]
         flipped = np.ascontiguousarray(np.moveaxis(r[::-1, ::-1], 2, 0), dtype=np.float64)
-        return np.fft.rfft2(flipped, s=(ph, pw))                   # (C, ph, pw//2+1)
+        # pruned 2-D transform: the row pass only touches the template's sh
+        # non-zero rows; the column pass zero-pads to ph
+        rows = np.fft.rfft(flipped, n=pw, axis=2)                  # (C, sh, pw//2+1)
+        return np.fft.fft(rows, n=ph, axis=1)                      # (C, ph, pw//2+1)
 
     def spectra(self, ph: int, pw: int) -> list | None:
         """All level spectra for a padded shape, or None if over budget."""
@@ -207,6 +210,52 @@ def _level_scores(fs: _FrameStats, level, tspec: np.ndarray) -> np.ndarray:
     return num
 
 
+STRIP_ROWS = 32    # score rows per pass: keeps the per-level arithmetic cache-resident
+
+
+def _level_best(fs: _FrameStats, level, tspec: np.ndarray) -> tuple[float, int, int]:
+    """Best score of one level and its first position in row-major order,
+    computed strip by strip (same values as :func:`_level_scores`)."""
+    ix, sh, sw, r, st, stt = level
+    n = float(sh * sw)
+    acc = fs.spec[0] * tspec[0]
+    for c in range(1, fs.c):
+        acc += fs.spec[c] * tspec[c]
+    corr = np.fft.irfft2(acc, s=(fs.ph, fs.pw))
+    vt = float(int((sh * sw * stt - st * st).sum()))
+    rows, cols = fs.fh - sh + 1, fs.fw - sw + 1
+    best, by, bx = -np.inf, 0, 0
+    for r0 in range(0, rows, STRIP_ROWS):
+        r1 = min(rows, r0 + STRIP_ROWS)
+        num = np.rint(corr[sh - 1 + r0:sh - 1 + r1, sw - 1:sw - 1 + cols])
+        num *= n
+        ii = fs.ii2
+        vv = ii[r0 + sh:r1 + sh, sw:] - ii[r0:r1, sw:]
+        vv -= ii[r0 + sh:r1 + sh, :cols]
+        vv += ii[r0:r1, :cols]
+        vv *= n
+        for c in range(fs.c):
+            ii = fs.ii1[c]
+            sv = ii[r0 + sh:r1 + sh, sw:] - ii[r0:r1, sw:]
+            sv -= ii[r0 + sh:r1 + sh, :cols]
+            sv += ii[r0:r1, :cols]
+            num -= sv * float(st[c])
+            sv *= sv
+            vv -= sv
+        vv *= vt
+        np.sqrt(vv, out=vv)
+        zero = vv == 0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            np.divide(num, vv, out=num, where=~zero)
+        num[zero] = 0.0
+        k = int(np.argmax(num))
+        v = float(num.flat[k])
+        if v > best:
+            best, (by, bx) = v, divmod(k, cols)
+            by += r0
+    return best, by, bx
+
+
 def _result(best: float, lv, loc, threshold: float) -> dict:
     found = lv is not None and best > threshold
     return {
@@ -219,7 +268,7 @@ def _result(best: float, lv, loc, threshold: float) -> dict:
 
 
 def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
-                 threshold: float = DEFAULT_THRESHOLD) -> list[dict]:
+                 threshold: float = DEFAULT_THRESHOLD, timings: list | None = None) -> list[dict]:
     """Multi-scale detection for a batch of frames.
 
     The best score starts at 0 and is replaced only by a strictly greater one,
@@ -228,6 +277,8 @@ def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
     x).  The box is reported only above ``threshold``.  Scales run in the
     outer loop so a template spectrum is built at most once per batch.
     """
+    import time
+    t0 = time.perf_counter()
     stats = [_FrameStats(f) for f in frames]
     best = [(0.0, None, None) for _ in frames]
     by_shape: dict[tuple, list[int]] = {}
@@ -242,11 +293,11 @@ def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
                 continue
             tspec = cached[k] if cached is not None else pyramid.spectrum(k, ph, pw)
             for i in todo:
-                s = _level_scores(stats[i], level, tspec)
-                j = int(np.argmax(s))
-                v = float(s.flat[j])
+                v, y, x = _level_best(stats[i], level, tspec)
                 if v > best[i][0]:
-                    best[i] = (v, level, divmod(j, s.shape[1]))
+                    best[i] = (v, level, (y, x))
+    if timings is not None:   # wall time of the batch, shared out per frame
+        timings.extend([(time.perf_counter() - t0) * 1000.0 / max(len(frames), 1)] * len(frames))
     return [_result(b, lv, loc, threshold) for b, lv, loc in best]
 
 

@@ -94,28 +94,45 @@ def spread_frames(frames: DataFrame, partitions: int, keys: tuple[str, ...] = ("
     return frames.repartition(partitions, *keys)
 
 
+def ensure_parallelism(frames: DataFrame, keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
+    """Spread frames only when the input has fewer partitions than the
+    cluster has task slots (e.g. a few frames from one small file).  Large
+    inputs keep their file splits: pixel data is never shuffled just to
+    rebalance it."""
+    slots = frames.sparkSession.sparkContext.defaultParallelism
+    if frames.rdd.getNumPartitions() < slots:
+        return spread_frames(frames, slots, keys)
+    return frames
+
+
 def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.DEFAULT_THRESHOLD,
-                  keys: tuple[str, ...] = ("video_id", "frame_no"), partitions: int | None = None) -> DataFrame:
+                  keys: tuple[str, ...] = ("video_id", "frame_no"), partitions: int | None = None,
+                  with_timing: bool = False) -> DataFrame:
     """I4 on frame rows: multi-scale detection per frame with numpy FFT
     correlation in ``mapInPandas`` (frames spread over tasks, scales looped
     inside each Arrow batch).  ``partitions`` spreads the frames first (see
-    :func:`spread_frames`)."""
-    if partitions:
-        frames = spread_frames(frames, partitions, keys)
+    :func:`spread_frames`).  ``with_timing`` adds ``detection_ms`` (the
+    batch's detection wall time per frame, like the reference's per-frame
+    detection time)."""
+    frames = spread_frames(frames, partitions, keys) if partitions else ensure_parallelism(frames, keys)
     tpl = np.ascontiguousarray(template)
     key_fields = [frames.schema[k] for k in keys]
-    schema = T.StructType(key_fields + DETECTION_FIELDS)
+    timing = [T.StructField("detection_ms", T.DoubleType())] if with_timing else []
+    schema = T.StructType(key_fields + DETECTION_FIELDS + timing)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pyr = _pyramid(tpl)
         for b in batches:
             imgs = [_img(d, h, w, c) for d, h, w, c in zip(b["data"], b["height"], b["width"], b["nChannels"])]
-            res = pd.DataFrame(K.detect_batch(imgs, pyr, threshold))
+            ms: list = []
+            res = pd.DataFrame(K.detect_batch(imgs, pyr, threshold, ms))
             out = b[list(keys)].reset_index(drop=True)
             for f in DETECTION_FIELDS:
                 out[f.name] = res[f.name] if len(res) else pd.Series([], dtype=object)
             for f in ("scale_ix", "x", "y", "w", "h"):
                 out[f] = out[f].astype("Int32")
+            if with_timing:
+                out["detection_ms"] = ms
             yield out
 
     return frames.select(*keys, "data", "height", "width", "nChannels").mapInPandas(run, schema)
@@ -128,6 +145,8 @@ def resize_frames(frames: DataFrame, out_h: int, out_w: int) -> DataFrame:
                                    T.StructField("height", T.IntegerType()),
                                    T.StructField("width", T.IntegerType())])
 
+    frames = ensure_parallelism(frames, tuple(k for k in ("video_id", "frame_no") if k in frames.columns))
+
     def run(batches):
         for b in batches:
             out = b[[f.name for f in other]].reset_index(drop=True)

@@ -147,3 +147,10 @@ def force_keyframes(frames: DataFrame, n_chunks: int) -> DataFrame:
              .select("video_id", "chunk_id", "frame_id", "pts_us",
                      (F.col("pict_type") == "I").alias("was_key"),
                      ((F.col("pict_type") == "I") | (F.col("frame_id") == F.col("_ffid"))).alias("is_key")))
+
+
+def one_task_per_chunk(chunks: DataFrame, n_chunks: int) -> DataFrame:
+    """Give every chunk its own task (range partitioning on the chunk key
+    never puts two chunks of the n in one partition the way hash
+    partitioning can); AQE still applies to the metadata stages."""
+    return chunks.repartitionByRange(n_chunks, "video_id", "chunk_id")

@@ -72,3 +72,10 @@ def test_require_frames_raises(spark):
     df = spark.createDataFrame([(0, 0)], "video_id long, n long")
     with pytest.raises(Exception):
         FR.require_frames(df, "n").collect()
+
+
+def test_one_task_per_chunk(spark):
+    from framelake.plans.chunking import one_task_per_chunk
+    ch = spark.createDataFrame([(0, c, b"x") for c in range(10)], "video_id long, chunk_id long, payload binary")
+    parts = one_task_per_chunk(ch, 10).rdd.glom().map(len).collect()
+    assert sorted(parts) == [1] * 10
