@@ -95,10 +95,16 @@ def spread_frames(frames: DataFrame, partitions: int, keys: tuple[str, ...] = ("
 
 
 def ensure_parallelism(frames: DataFrame, keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
-    """Spread frames only when the input has fewer partitions than the
-    cluster has task slots (e.g. a few frames from one small file).  Large
-    inputs keep their file splits: pixel data is never shuffled just to
-    rebalance it."""
+    """Spread frames only when a scan-only input has fewer partitions than
+    the cluster has task slots (e.g. a few frames from one small file).
+
+    Large inputs keep their file splits — pixel data is never shuffled just
+    to rebalance it — and inputs that already pass a shuffle are sized by
+    AQE.  The check runs only on exchange-free plans, where counting
+    partitions needs no job."""
+    plan = frames._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return frames
     slots = frames.sparkSession.sparkContext.defaultParallelism
     if frames.rdd.getNumPartitions() < slots:
         return spread_frames(frames, slots, keys)
