@@ -78,14 +78,21 @@ def remux(video: DataFrame, audio: DataFrame, block_us: int) -> DataFrame:
 
 def before_after(stats: DataFrame, key: str, side_col: str, before: str, after: str,
                  measures: list[str]) -> DataFrame:
-    """Self-join of per-key metadata before and after a transform, with
-    the delta of every measure (full outer: a side may be missing)."""
-    b = stats.where(F.col(side_col) == before).select(key, *[F.col(m).alias(f"{m}_before") for m in measures])
-    a = stats.where(F.col(side_col) == after).select(key, *[F.col(m).alias(f"{m}_after") for m in measures])
-    j = b.join(a, key, "full")
+    """Compare per-key metadata before and after a transform, with the
+    delta of every measure.
+
+    Written as one conditional aggregation over ``(key, side)`` rows instead
+    of a self-join: one shuffle, map-side combined, and a key missing on one
+    side simply yields NULL there (full-outer semantics)."""
+    aggs = []
+    for m in measures:
+        for side, tag in ((before, "before"), (after, "after")):
+            aggs.append(F.max(F.when(F.col(side_col) == side, F.col(m))).alias(f"{m}_{tag}"))
+    present = [F.max(F.col(side_col) == s).alias(f"_has_{t}") for s, t in ((before, "b"), (after, "a"))]
+    g = stats.where(F.col(side_col).isin(before, after)).groupBy(key).agg(*aggs, *present)
     out = [key]
     for m in measures:
         out += [f"{m}_before", f"{m}_after",
                 (F.coalesce(F.col(f"{m}_after"), F.lit(0)) - F.coalesce(F.col(f"{m}_before"), F.lit(0)))
                 .alias(f"{m}_delta")]
-    return j.select(*out)
+    return g.select(*out)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelake.operators import pixels as PX
+from framelake.session import shared_dir
 
 
 def replace_logo_summary(pixels: DataFrame, template: np.ndarray, logo: np.ndarray,
@@ -22,7 +23,11 @@ def replace_logo_summary(pixels: DataFrame, template: np.ndarray, logo: np.ndarr
     detection confidence, pixels changed by the blend, mean output value."""
     det = PX.first_frame_detection(
         pixels, lambda f: PX.detect_pixels(f, template, F.lit(frame_h), F.lit(frame_w), threshold))
-    det = det.drop("frame_no")
+    # the detection (one row per video) is the expensive, reusable result:
+    # cut its lineage in the shared checkpoint folder so a lost executor in
+    # the blend stage never re-runs detection
+    shared_dir(pixels.sparkSession)
+    det = det.drop("frame_no").checkpoint(eager=True)
     blended = PX.blend_pixels(pixels, det, logo, template.shape[:2], keep_original=True)
     changed = blended.groupBy("video_id").agg(
         F.count_if(F.col("v") != F.col("v0")).alias("n_changed"), F.avg("v").alias("mean_out"))

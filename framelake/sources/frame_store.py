@@ -11,18 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Small row groups: a raw 1080p BGR frame is 6,220,800 bytes.
+# Small row groups: a raw 1080p BGR frame is 6,220,800 bytes.  The vectorized
+# reader fills a batch from one row group, so 64 MB row groups keep a read
+# batch near 10 frames instead of columnarReaderBatchSize (4096) frames.
 FRAME_STORE_OPTIONS = {"compression": "zstd", "parquet.block.size": str(64 * 1024 * 1024)}
 
 
-def write_frame_store(frames: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write frames, one task per chunk, frames sorted by integer number."""
+def write_frame_store(frames: DataFrame, path: str, mode: str = "overwrite", regroup: bool = False) -> None:
+    """Write frames sorted by integer number within each chunk.
+
+    Frames produced by :func:`~framelake.operators.frames.explode_frames`
+    already sit in the task of their chunk, so by default the pixel bytes are
+    only sorted locally, never shuffled.  ``regroup=True`` hash-groups frames
+    by chunk first (one file per chunk) for inputs that are not chunk-aligned."""
     spark = frames.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (frames.repartition("video_id", "chunk_id")
-               .sortWithinPartitions("video_id", "chunk_id", "frame_no")
+        src = frames.repartition("video_id", "chunk_id") if regroup else frames
+        (src.sortWithinPartitions("video_id", "chunk_id", "frame_no")
                .write.mode(mode).options(**FRAME_STORE_OPTIONS)
                .partitionBy("video_id", "chunk_id").parquet(path))
     finally:

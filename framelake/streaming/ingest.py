@@ -25,8 +25,7 @@ def ingest_chunks(spark: SparkSession, stream: DataFrame, to_chunks: Callable[[D
         prev = batch.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode")
         batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            (frames.repartition("video_id", "chunk_id")
-                   .sortWithinPartitions("video_id", "chunk_id", "local_no")
+            (frames.sortWithinPartitions("video_id", "chunk_id", "local_no")
                    .write.mode("overwrite").partitionBy("video_id", "chunk_id").parquet(store_path))
         finally:
             batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
