@@ -113,25 +113,46 @@ def ensure_parallelism(frames: DataFrame, keys: tuple[str, ...] = ("video_id", "
 
 def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.DEFAULT_THRESHOLD,
                   keys: tuple[str, ...] = ("video_id", "frame_no"), partitions: int | None = None,
-                  with_timing: bool = False) -> DataFrame:
+                  with_timing: bool = False, on_error: str = "raise") -> DataFrame:
     """I4 on frame rows: multi-scale detection per frame with numpy FFT
     correlation in ``mapInPandas`` (frames spread over tasks, scales looped
     inside each Arrow batch).  ``partitions`` spreads the frames first (see
     :func:`spread_frames`).  ``with_timing`` adds ``detection_ms`` (the
     batch's detection wall time per frame, like the reference's per-frame
-    detection time)."""
+    detection time).  ``on_error="quarantine"`` keeps going when a frame
+    cannot be decoded: the frame gets ``detected = false`` and the reason in
+    an ``error`` column (split it off with ``operators.quality.split_valid``)."""
     frames = spread_frames(frames, partitions, keys) if partitions else ensure_parallelism(frames, keys)
     tpl = np.ascontiguousarray(template)
     key_fields = [frames.schema[k] for k in keys]
+    if on_error not in ("raise", "quarantine"):
+        raise ValueError(f"unknown error policy {on_error!r}")
+    quarantine = on_error == "quarantine"
     timing = [T.StructField("detection_ms", T.DoubleType())] if with_timing else []
-    schema = T.StructType(key_fields + DETECTION_FIELDS + timing)
+    errors = [T.StructField("error", T.StringType())] if quarantine else []
+    schema = T.StructType(key_fields + DETECTION_FIELDS + timing + errors)
+
+    def decode(d, h, w, c):
+        try:
+            return _img(d, h, w, c), None
+        except Exception as ex:  # noqa: BLE001  (policy: quarantine the frame)
+            if not quarantine:
+                raise
+            return None, f"{type(ex).__name__}: {ex}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pyr = _pyramid(tpl)
         for b in batches:
-            imgs = [_img(d, h, w, c) for d, h, w, c in zip(b["data"], b["height"], b["width"], b["nChannels"])]
+            dec = [decode(d, h, w, c) for d, h, w, c in zip(b["data"], b["height"], b["width"], b["nChannels"])]
+            good = [i for i, (img, _) in enumerate(dec) if img is not None]
             ms: list = []
-            res = pd.DataFrame(K.detect_batch(imgs, pyr, threshold, ms))
+            found = K.detect_batch([dec[i][0] for i in good], pyr, threshold, ms)
+            rows = [K._result(0.0, None, None, threshold) for _ in dec]
+            per_ms = [0.0] * len(dec)
+            for j, i in enumerate(good):
+                rows[i], per_ms[i] = found[j], ms[j]
+            ms = per_ms
+            res = pd.DataFrame(rows)
             out = b[list(keys)].reset_index(drop=True)
             for f in DETECTION_FIELDS:
                 out[f.name] = res[f.name] if len(res) else pd.Series([], dtype=object)
@@ -139,6 +160,8 @@ def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.
                 out[f] = out[f].astype("Int32")
             if with_timing:
                 out["detection_ms"] = ms
+            if quarantine:
+                out["error"] = [e for _, e in dec]
             yield out
 
     return frames.select(*keys, "data", "height", "width", "nChannels").mapInPandas(run, schema)

@@ -79,3 +79,20 @@ def test_one_task_per_chunk(spark):
     ch = spark.createDataFrame([(0, c, b"x") for c in range(10)], "video_id long, chunk_id long, payload binary")
     parts = one_task_per_chunk(ch, 10).rdd.glom().map(len).collect()
     assert sorted(parts) == [1] * 10
+
+
+def test_detect_frames_quarantines_undecodable_frames(spark):
+    import numpy as np
+    from framelake.operators.pixels import detect_frames
+    from framelake.operators.quality import split_valid
+    rng = np.random.default_rng(3)
+    img = rng.integers(0, 256, (12, 12), dtype=np.uint8)
+    rows = [(0, 1, img.tobytes(), 12, 12, 1), (0, 2, b"short", 12, 12, 1)]
+    df = spark.createDataFrame(rows, "video_id long, frame_no long, data binary, height int, width int, nChannels int")
+    out = detect_frames(df, img[3:8, 4:9].copy(), on_error="quarantine")
+    good, bad = split_valid(out, F.col("error"))
+    g = good.first()
+    assert g.detected and (g.x, g.y) == (4, 3)
+    assert [r.frame_no for r in bad.collect()] == [2]
+    with pytest.raises(Exception):
+        detect_frames(df, img[3:8, 4:9].copy()).collect()
