@@ -38,6 +38,8 @@ TEMPLATE_BOX = (67, 1602, 127, 90)   # y, x, h, w of the planted template (the r
 
 def _bgr(frames):
     """Single-channel frames -> three distinct channels (BGR)."""
+    from framelake.session import ship_package
+    ship_package(frames.sparkSession)
     def run(batches):
         for b in batches:
             out = b.copy()
@@ -56,9 +58,9 @@ def detect_1080p(spark, sf_dir):
     first = frames.groupBy("video_id").agg(F.min("frame_no").alias("frame_no"))
     firsts = frames.join(first, ["video_id", "frame_no"], "left_semi")
     n = firsts.count()
-    # one frame per task: the upscale happens after the shuffle, so AQE
-    # cannot see the frames' real size
-    hd = _bgr(PX.resize_frames(PX.spread_frames(firsts, max(n, 1)), *HD))
+    # two frames per task (one Arrow batch, template spectra shared by both);
+    # the upscale happens after the shuffle, so AQE cannot size it
+    hd = _bgr(PX.resize_frames(PX.spread_frames(firsts, max((n + 1) // 2, 1)), *HD))
     # the template: a crop of one upscaled frame, made from a single embedding row
     row = TD.table(spark, sf_dir, "embeddings").where(F.col("vec_id") == 0).select("embedding").first()
     g = np.clip(np.floor(128.0 + 256.0 * np.asarray(row[0], dtype=np.float64)), 0, 255).astype(np.uint8)

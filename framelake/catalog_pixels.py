@@ -160,6 +160,8 @@ PIXEL_ROW = T.StructType([T.StructField("video_id", T.IntegerType()), T.StructFi
 
 def frames_to_pixels(frames: DataFrame) -> DataFrame:
     """Frame rows -> pixel rows (single channel), for checks and reports."""
+    from framelake.session import ship_package
+    ship_package(frames.sparkSession)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             parts = []

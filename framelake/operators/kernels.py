@@ -91,8 +91,11 @@ def _fft_shape(n: int) -> int:
 
 
 # Template spectra are cached per frame shape only while they fit this budget;
-# beyond it they are rebuilt once per Arrow batch (scales outer, frames inner).
+# beyond it they are rebuilt once per group of frames (scales outer, frames
+# inner).  A group holds as many frames' spectra + integral images as fit
+# GROUP_BYTES (about 4 frames at 1080p BGR).
 SPECTRA_CACHE_BYTES = 256 * 1024 * 1024
+GROUP_BYTES = 512 * 1024 * 1024
 
 
 class TemplatePyramid:
@@ -279,23 +282,29 @@ def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
     """
     import time
     t0 = time.perf_counter()
-    stats = [_FrameStats(f) for f in frames]
     best = [(0.0, None, None) for _ in frames]
     by_shape: dict[tuple, list[int]] = {}
-    for i, fs in enumerate(stats):
-        by_shape.setdefault((fs.ph, fs.pw), []).append(i)
+    for i, f in enumerate(frames):
+        by_shape.setdefault((_fft_shape(f.shape[0]), _fft_shape(f.shape[1])), []).append(i)
     for (ph, pw), idx in by_shape.items():
+        c = 1 if frames[idx[0]].ndim == 2 else frames[idx[0]].shape[2]
+        per_frame = ph * (pw // 2 + 1) * c * 16 + 4 * (ph + 1) * (pw + 1) * 8
+        size = max(1, GROUP_BYTES // per_frame)
         cached = pyramid.spectra(ph, pw)
-        for k, level in enumerate(pyramid.levels):
-            _, sh, sw = level[0], level[1], level[2]
-            todo = [i for i in idx if sh <= stats[i].fh and sw <= stats[i].fw]
-            if not todo:
-                continue
-            tspec = cached[k] if cached is not None else pyramid.spectrum(k, ph, pw)
-            for i in todo:
-                v, y, x = _level_best(stats[i], level, tspec)
-                if v > best[i][0]:
-                    best[i] = (v, level, (y, x))
+        for g0 in range(0, len(idx), size):
+            group = idx[g0:g0 + size]
+            stats = {i: _FrameStats(frames[i]) for i in group}
+            for k, level in enumerate(pyramid.levels):
+                _, sh, sw = level[0], level[1], level[2]
+                todo = [i for i in group if sh <= stats[i].fh and sw <= stats[i].fw]
+                if not todo:
+                    continue
+                tspec = cached[k] if cached is not None else pyramid.spectrum(k, ph, pw)
+                for i in todo:
+                    v, y, x = _level_best(stats[i], level, tspec)
+                    if v > best[i][0]:
+                        best[i] = (v, level, (y, x))
+            del stats
     if timings is not None:   # wall time of the batch, shared out per frame
         timings.extend([(time.perf_counter() - t0) * 1000.0 / max(len(frames), 1)] * len(frames))
     return [_result(b, lv, loc, threshold) for b, lv, loc in best]

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.operators import kernels as K
+from framelake.session import ship_package
 
 MAX_PARAM_PIXELS = 512 * 512          # size bound for template / logo images
 DETECTION_FIELDS = [
@@ -122,6 +123,7 @@ def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.
     detection time).  ``on_error="quarantine"`` keeps going when a frame
     cannot be decoded: the frame gets ``detected = false`` and the reason in
     an ``error`` column (split it off with ``operators.quality.split_valid``)."""
+    ship_package(frames.sparkSession)
     frames = spread_frames(frames, partitions, keys) if partitions else ensure_parallelism(frames, keys)
     tpl = np.ascontiguousarray(template)
     key_fields = [frames.schema[k] for k in keys]
@@ -169,6 +171,7 @@ def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.
 
 def resize_frames(frames: DataFrame, out_h: int, out_w: int) -> DataFrame:
     """I1/I8 on frame rows: bilinear resize of every frame."""
+    ship_package(frames.sparkSession)
     other = [f for f in frames.schema.fields if f.name not in ("data", "height", "width")]
     schema = T.StructType(other + [T.StructField("data", T.BinaryType()),
                                    T.StructField("height", T.IntegerType()),
@@ -194,6 +197,7 @@ def blend_frames(frames: DataFrame, boxes: DataFrame, logo: np.ndarray,
     ``boxes`` has one row per video (first-frame detection, D3); it is joined
     on the video key (AQE broadcasts it after measuring it), then each Arrow
     batch blends in numpy.  Frames without a detection pass through."""
+    ship_package(frames.sparkSession)
     lg = np.ascontiguousarray(logo)
     b = boxes.select(*keys, "detected", "x", "y", "w", "h")
     j = frames.join(b, list(keys), "left")

@@ -55,3 +55,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``framelake`` importable in every Python worker (once per app).
+
+    Functions handed to ``mapInPandas`` are pickled by reference to their
+    module, so executors need the package: it is zipped and distributed with
+    ``addPyFile`` (the zip is placed in the shared folder when that is a
+    local path, otherwise next to the driver, from where Spark serves it)."""
+    import tempfile
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = shared_dir(spark)
+    if root.startswith("file:"):
+        root = root[len("file:"):]
+    if "://" in root:
+        root = tempfile.gettempdir()
+    os.makedirs(root, exist_ok=True)
+    dest = os.path.join(root, f"framelake-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(dest, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(dest)
+    _SHIPPED.add(sc.applicationId)
