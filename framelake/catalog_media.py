@@ -206,6 +206,32 @@ def q_resource_windows(spark, d):
     return resource_windows(TD.resources(spark, d), WINDOW)
 
 
+@register("stream_resource_windows", with_fx(f"""
+    SELECT run_id, make_timestamp(w) AS window_start, make_timestamp(w + {HOUR_US}) AS window_end,
+           count(*) AS n_samples, avg(cpu_percent) AS avg_cpu, max(cpu_percent) AS peak_cpu,
+           avg(ram_percent) AS avg_ram, max(ram_percent) AS peak_ram
+    FROM (SELECT *, (epoch_us(ts) // {HOUR_US}) * {HOUR_US} AS w FROM fx_resources) z GROUP BY run_id, w""",
+    "fx_resources"))
+def q_stream_resource_windows(spark, d):
+    """S1 as a stream: resource samples arrive through a file stream, are
+    watermarked and windowed; the stream is drained (availableNow) into a
+    memory table whose final state is returned."""
+    import uuid
+    from framelake.streaming.resources import stream_resource_windows
+    schema = TD.table(spark, d, "events").schema
+    src = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(d)
+    samples = src.select((F.col("user_id") % TD.N_VIDEOS).alias("run_id"), "ts",
+                         (F.col("value") / 5).alias("cpu_percent"),
+                         F.get_json_object("props", "$.k").cast("double").alias("ram_percent"))
+    name = f"resource_windows_{uuid.uuid4().hex[:8]}"
+    from framelake.session import scratch_path
+    q = (stream_resource_windows(samples, WINDOW, "2 hours").writeStream.outputMode("complete")
+         .format("memory").queryName(name).option("checkpointLocation", scratch_path(spark, "res-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.table(name)
+
+
 @register("stream_frames", with_fx("""
     SELECT video_id, chunk_id, i + 1 AS local_no, substring(hex(payload), 128 * i + 1, 128) AS data_hex
     FROM (SELECT video_id, chunk_id, payload, unnest(range(octet_length(payload) // 64)) AS i FROM fx_payload) p""",

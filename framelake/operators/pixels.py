@@ -33,6 +33,9 @@ from framelake.operators import kernels as K
 from framelake.session import ship_package
 
 MAX_PARAM_PIXELS = 512 * 512          # size bound for template / logo images
+# The relational twin carries every pyramid level as literals in the plan;
+# beyond this many entries use the frame-row path (detect_frames/blend_frames).
+MAX_TWIN_LITERALS = 20000
 DETECTION_FIELDS = [
     T.StructField("detected", T.BooleanType()), T.StructField("confidence", T.DoubleType()),
     T.StructField("scale_ix", T.IntegerType()), T.StructField("scale", T.DoubleType()),
@@ -91,8 +94,10 @@ def spread_frames(frames: DataFrame, partitions: int, keys: tuple[str, ...] = ("
 
     AQE sizes partitions by *bytes*; when frames are produced by an
     expansion (decode, upscale) the pre-expansion shuffle looks tiny and
-    would be coalesced into one task.  An explicit count is kept by AQE."""
-    return frames.repartition(partitions, *keys)
+    would be coalesced into one task.  An explicit count is kept by AQE.
+    Range partitioning on the frame keys (sampled, keys only) balances the
+    frames; hashing a handful of keys would stack several on one task."""
+    return frames.repartitionByRange(partitions, *keys)
 
 
 def ensure_parallelism(frames: DataFrame, keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
@@ -271,8 +276,15 @@ def resize_pixels(pixels: DataFrame, in_h: int, in_w: int, out_h: int, out_w: in
     return g.select(*keys, F.col("oy").alias("y"), F.col("ox").alias("x"), to_uint8(v).alias("v"))
 
 
+def _check_twin_size(n: int, what: str) -> None:
+    if n > MAX_TWIN_LITERALS:
+        raise ValueError(f"{what} has {n} pixels over all scales; the pixel-row twin is for small "
+                         f"images (<= {MAX_TWIN_LITERALS}) - use the frame-row operators instead")
+
+
 def _levels_literal(pyr: K.TemplatePyramid):
     """Literal template entries of every level: (lvl, ty, tx, t)."""
+    _check_twin_size(sum(lv[1] * lv[2] for lv in pyr.levels), "template pyramid")
     entries = []
     for li, (ix, sh, sw, r, st, stt) in enumerate(pyr.levels):
         for ty in range(sh):
@@ -369,6 +381,7 @@ def blend_pixels(pixels: DataFrame, boxes: DataFrame, logo: np.ndarray, template
     th, tw = template_shape
     lg = logo if logo.ndim == 3 else logo[:, :, None]
     sizes = [(sh, sw) for _, sh, sw in K.scaled_dims(th, tw)]
+    _check_twin_size(sum(sh * sw for sh, sw in sizes), "logo pyramid")
     levels = [K.resize_bilinear(lg, sh, sw) for sh, sw in sizes]
     lvl_of = F.create_map(*[x for i, (sh, sw) in enumerate(sizes)
                             for x in (F.lit(f"{sh}x{sw}"), F.lit(i))])

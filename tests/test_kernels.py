@@ -99,3 +99,10 @@ def test_annotate_draws_two_pixel_outline():
     assert tuple(out[5, 5]) == (0, 255, 0) and tuple(out[6, 8]) == (0, 255, 0)
     assert tuple(out[8, 8]) == (0, 0, 0)          # interior untouched
     assert tuple(out[11, 11]) == (0, 255, 0)      # far corner (x+w, y+h) inclusive
+
+
+def test_pixel_twin_refuses_large_templates():
+    from framelake.operators import pixels as PX
+    big = K.TemplatePyramid(np.zeros((127, 90), np.uint8))
+    with pytest.raises(ValueError):
+        PX._levels_literal(big)
