@@ -51,9 +51,10 @@ def number_frames(frames: DataFrame, offsets: DataFrame) -> DataFrame:
     """Global 1-based ``frame_no = frame_offset + local_no``.
 
     No global sort: the chunk offsets (one row per chunk) are joined onto the
-    frames; AQE broadcasts them once their size is known."""
+    frames with a size-checked broadcast, so frame bytes are not shuffled."""
+    from framelake.operators.joins import join_small
     o = offsets.select("video_id", "chunk_id", "frame_offset")
-    return (frames.join(o, ["video_id", "chunk_id"])
+    return (join_small(frames, o, ["video_id", "chunk_id"])
                   .withColumn("frame_no", (F.col("frame_offset") + F.col("local_no")).cast("bigint"))
                   .drop("frame_offset"))
 

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.operators import kernels as K
+from framelake.operators.joins import join_small
 from framelake.session import ship_package
 
 MAX_PARAM_PIXELS = 512 * 512          # size bound for template / logo images
@@ -205,7 +206,7 @@ def blend_frames(frames: DataFrame, boxes: DataFrame, logo: np.ndarray,
     ship_package(frames.sparkSession)
     lg = np.ascontiguousarray(logo)
     b = boxes.select(*keys, "detected", "x", "y", "w", "h")
-    j = frames.join(b, list(keys), "left")
+    j = join_small(frames, b, list(keys), "left")
     schema = frames.schema
 
     def run(batches):
@@ -358,18 +359,19 @@ def detect_pixels(pixels: DataFrame, template: np.ndarray, frame_h: Column, fram
 
 def first_frame_detection(frames: DataFrame, detect_fn, key: str = "video_id",
                           frame_col: str = "frame_no") -> DataFrame:
-    """D3: run ``detect_fn`` only on the first frame of each video (its rows
-    are selected by a semi join with the per-video minimum, a map-side
-    aggregate), giving one detection row per video."""
-    first = frames.groupBy(key).agg(F.min(frame_col).alias(frame_col))
-    return detect_fn(frames.join(first, [key, frame_col], "left_semi"))
+    """D3: run ``detect_fn`` only on the first frame of each video, giving one
+    detection row per video.  The per-video minimum comes from the key
+    columns alone (pixels are pruned from that branch) and selects the frames
+    through a checked broadcast semi join, so no frame is shuffled."""
+    first = frames.select(key, frame_col).groupBy(key).agg(F.min(frame_col).alias(frame_col))
+    return detect_fn(join_small(frames, first, [key, frame_col], "left_semi"))
 
 
 def reuse_detection(frame_keys: DataFrame, det: DataFrame, key: str = "video_id") -> DataFrame:
     """D3: attach the per-video detection to every frame (one row per video
     on the small side; AQE broadcasts it)."""
     d = det.drop("frame_no") if "frame_no" in det.columns else det
-    return frame_keys.join(d, key, "left")
+    return join_small(frame_keys, d, key, "left")
 
 
 def blend_pixels(pixels: DataFrame, boxes: DataFrame, logo: np.ndarray, template_shape: tuple[int, int],
@@ -391,7 +393,7 @@ def blend_pixels(pixels: DataFrame, boxes: DataFrame, logo: np.ndarray, template
                     for L in levels])
     b = boxes.select(key, F.col("detected").alias("_d"), F.col("x").alias("_bx"), F.col("y").alias("_by"),
                      F.col("w").alias("_bw"), F.col("h").alias("_bh"))
-    j = pixels.join(b, key, "left")
+    j = join_small(pixels, b, key, "left")
     ly, lx = F.col("y") - F.col("_by"), F.col("x") - F.col("_bx")
     inside = F.coalesce(F.col("_d"), F.lit(False)) & (ly >= 0) & (ly < F.col("_bh")) & (lx >= 0) & (lx < F.col("_bw"))
     li = F.element_at(lvl_of, F.concat_ws("x", F.col("_bh").cast("string"), F.col("_bw").cast("string"))) + 1
@@ -411,7 +413,7 @@ def annotate_pixels(pixels: DataFrame, boxes: DataFrame, key: str = "video_id",
     ``[x, x+w] x [y, y+h]`` set to ``value`` (the green channel)."""
     b = boxes.select(key, F.col("detected").alias("_d"), F.col("x").alias("_bx"), F.col("y").alias("_by"),
                      F.col("w").alias("_bw"), F.col("h").alias("_bh"))
-    j = pixels.join(b, key, "left")
+    j = join_small(pixels, b, key, "left")
     x, y, bx, by, bw, bh = (F.col(c) for c in ("x", "y", "_bx", "_by", "_bw", "_bh"))
     inside = (x >= bx) & (x <= bx + bw) & (y >= by) & (y <= by + bh)
     border = inside & ((x - bx < thickness) | (bx + bw - x < thickness)

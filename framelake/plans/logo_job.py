@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelake.operators import pixels as PX
+from framelake.operators.joins import join_small
 from framelake.session import shared_dir
 
 
@@ -32,7 +33,7 @@ def replace_logo_summary(pixels: DataFrame, template: np.ndarray, logo: np.ndarr
     changed = blended.groupBy("video_id").agg(
         F.count_if(F.col("v") != F.col("v0")).alias("n_changed"), F.avg("v").alias("mean_out"))
     frames = pixels.groupBy("video_id").agg(F.count_distinct("frame_no").alias("n_frames"))
-    per_video = frames.join(det.select("video_id", "detected", "confidence"), "video_id", "left")
+    per_video = join_small(frames, det.select("video_id", "detected", "confidence"), "video_id", "left")
     summary = per_video.select(
         "video_id", "n_frames",
         F.when(F.col("detected"), F.col("n_frames")).otherwise(F.lit(0)).cast("bigint").alias("n_detected"),
