@@ -73,6 +73,17 @@ def frames_from_arrays(df: DataFrame, values: str, height: int, width: int, chan
              .withColumn("nChannels", F.lit(channels)).drop(values)
 
 
+OUT_BATCH_BYTES = 16 * 1024 * 1024   # cap on one Arrow batch handed back to the JVM
+
+
+def bounded_batches(pdf: pd.DataFrame, row_bytes: int) -> Iterator[pd.DataFrame]:
+    """Split an output batch so no Arrow batch exceeds ``OUT_BATCH_BYTES``:
+    an expanding stage (decode, upscale) must not return one giant batch."""
+    step = max(1, OUT_BATCH_BYTES // max(1, row_bytes))
+    for i in range(0, len(pdf), step):
+        yield pdf.iloc[i:i + step]
+
+
 def _img(row_data: bytes, h: int, w: int, c: int) -> np.ndarray:
     a = np.frombuffer(row_data, dtype=np.uint8)
     return a.reshape(h, w) if c == 1 else a.reshape(h, w, c)
@@ -187,11 +198,17 @@ def resize_frames(frames: DataFrame, out_h: int, out_w: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            out = b[[f.name for f in other]].reset_index(drop=True)
-            out["data"] = [K.resize_bilinear(_img(d, h, w, c), out_h, out_w).tobytes()
-                           for d, h, w, c in zip(b["data"], b["height"], b["width"], b["nChannels"])]
-            out["height"], out["width"] = np.int32(out_h), np.int32(out_w)
-            yield out
+            if not len(b):
+                continue
+            step = max(1, OUT_BATCH_BYTES // (out_h * out_w * int(b["nChannels"].max())))
+            for i in range(0, len(b), step):      # expanding stage: bounded output batches
+                part = b.iloc[i:i + step]
+                out = part[[f.name for f in other]].reset_index(drop=True)
+                out["data"] = [K.resize_bilinear(_img(d, h, w, c), out_h, out_w).tobytes()
+                               for d, h, w, c in zip(part["data"], part["height"], part["width"],
+                                                     part["nChannels"])]
+                out["height"], out["width"] = np.int32(out_h), np.int32(out_w)
+                yield out
 
     return frames.mapInPandas(run, schema)
 

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "framelake") -> SparkSession:
+                  app_name: str = "framelake", driver_memory: str | None = None) -> SparkSession:
     """Session with the settings the operators are designed for.
 
     AQE stays on: it coalesces tiny shuffles, splits skewed join partitions and
@@ -31,6 +31,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.sql.session.timeZone", "UTC"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:   # local mode: the driver JVM is the executor
+        b = b.config("spark.driver.memory", driver_memory)
     return b.getOrCreate()
 
 
