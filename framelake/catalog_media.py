@@ -214,22 +214,23 @@ def q_resource_windows(spark, d):
     "fx_resources"))
 def q_stream_resource_windows(spark, d):
     """S1 as a stream: resource samples arrive through a file stream, are
-    watermarked and windowed; the stream is drained (availableNow) into a
-    memory table whose final state is returned."""
-    import uuid
+    watermarked and windowed; the stream is drained (availableNow) and every
+    complete snapshot replaces a table in the shared folder, whose final
+    state is returned (nothing is held on the driver)."""
+    from framelake.session import scratch_path
     from framelake.streaming.resources import stream_resource_windows
     schema = TD.table(spark, d, "events").schema
     src = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(d)
     samples = src.select((F.col("user_id") % TD.N_VIDEOS).alias("run_id"), "ts",
                          (F.col("value") / 5).alias("cpu_percent"),
                          F.get_json_object("props", "$.k").cast("double").alias("ram_percent"))
-    name = f"resource_windows_{uuid.uuid4().hex[:8]}"
-    from framelake.session import scratch_path
+    out = scratch_path(spark, "resource-windows")
     q = (stream_resource_windows(samples, WINDOW, "2 hours").writeStream.outputMode("complete")
-         .format("memory").queryName(name).option("checkpointLocation", scratch_path(spark, "res-ckpt"))
+         .foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(out))
+         .option("checkpointLocation", scratch_path(spark, "res-ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.parquet(out)
 
 
 @register("stream_frames", with_fx("""
