@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.plans.chunking import nominal_chunk, video_extent
+from framelake.plans.chunking import video_extent
 
 
 def sweep_rows(frames: DataFrame, n_min: int, n_max: int) -> DataFrame:
