@@ -43,12 +43,15 @@ def shared_dir(spark: SparkSession) -> str:
     runs, tests) a folder below the warehouse directory is configured.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         wh = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         d = wh.rstrip("/") + "/framelake-checkpoints"
-        sc.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -21,9 +21,14 @@ def resource_windows(samples: DataFrame, width: str = "1 hour") -> DataFrame:
 
 def stream_resource_windows(samples_stream: DataFrame, width: str = "1 hour",
                             watermark: str = "2 hours") -> DataFrame:
-    """Streaming form: event time must be TIMESTAMP for the watermark, so a
-    TIMESTAMP_NTZ column is cast (and the windows cast back)."""
-    s = samples_stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    """Streaming form.  Event time must be TIMESTAMP for the watermark; a
+    TIMESTAMP_NTZ column is mapped to the instant with the same wall time in
+    UTC (and the windows mapped back), so no session time zone can shift the
+    window boundaries."""
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    s = (samples_stream.withColumn("ts", F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {epoch}, ts))"))
+                       .withWatermark("ts", watermark))
     out = resource_windows(s, width)
-    return (out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-               .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+    back = lambda c: F.expr(f"timestampadd(MICROSECOND, unix_micros({c}), {epoch})")
+    return (out.withColumn("window_start", back("window_start"))
+               .withColumn("window_end", back("window_end")))
