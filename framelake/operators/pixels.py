@@ -136,7 +136,7 @@ def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.
     correlation in ``mapInPandas`` (frames spread over tasks, scales looped
     inside each Arrow batch).  ``partitions`` spreads the frames first (see
     :func:`spread_frames`).  ``with_timing`` adds ``detection_ms`` (the
-    batch's detection wall time per frame, like the reference's per-frame
+    batch's detection wall time per frame, like the baseline's per-frame
     detection time).  ``on_error="quarantine"`` keeps going when a frame
     cannot be decoded: the frame gets ``detected = false`` and the reason in
     an ``error`` column (split it off with ``operators.quality.split_valid``)."""

@@ -33,7 +33,7 @@ def read_images(spark: SparkSession, path: str, drop_invalid: bool = True) -> Da
 
 
 def require_images(images: DataFrame) -> DataFrame:
-    """Fail on unreadable images (the reference errors when a read returns None)."""
+    """Fail on unreadable images: an unreadable frame is an error, not an empty frame."""
     bad = F.col("height") <= 0
     return images.withColumn("height", F.when(~bad, F.col("height")).otherwise(
         F.raise_error(F.concat(F.lit("unreadable image: "), F.col("origin"))).cast("int")))
