@@ -299,6 +299,23 @@ def q_blend_frames(spark, d):
     return frames_to_pixels(PX.blend_frames(frames, det.drop("frame_no"), _logo(spark, d)))
 
 
+@register("blend_patches", with_fx("""
+    SELECT b.video_id, b.frame_no, fb.x AS px, fb.y AS py,
+           CAST(least(fb.w, 8 - fb.x) AS INTEGER) AS pw, CAST(least(fb.h, 8 - fb.y) AS INTEGER) AS ph,
+           string_agg(printf('%02X', b.v), '' ORDER BY b.y, b.x) AS patch_hex
+    FROM blend b JOIN fb ON fb.video_id = b.video_id AND fb.detected
+    WHERE b.x >= fb.x AND b.x < fb.x + fb.w AND b.y >= fb.y AND b.y < fb.y + fb.h
+    GROUP BY b.video_id, b.frame_no, fb.x, fb.y, fb.w, fb.h""",
+    "fx_template", "fx_logo", "fx_pixels", ctes=_BLEND))
+def q_blend_patches(spark, d):
+    """I6, patch form: only the blended region of each frame is emitted."""
+    frames = TD.pixel_frames(spark, d)
+    tpl = _template(spark, d)
+    det = PX.first_frame_detection(frames, lambda f: PX.detect_frames(f, tpl, THRESHOLD))
+    p = PX.blend_patches(frames, det.drop("frame_no"), _logo(spark, d))
+    return p.select("video_id", "frame_no", "px", "py", "pw", "ph", F.hex("patch").alias("patch_hex"))
+
+
 @register("annotate_box", with_fx("""
     SELECT p.video_id, p.frame_no, p.y, p.x,
            CASE WHEN fb.detected AND p.x >= fb.x AND p.x <= fb.x + fb.w AND p.y >= fb.y AND p.y <= fb.y + fb.h

@@ -349,6 +349,23 @@ def blend(frame: np.ndarray, logo: np.ndarray, x: int, y: int, w: int, h: int) -
     return out
 
 
+def blend_patch(frame: np.ndarray, logo: np.ndarray, x: int, y: int, w: int, h: int):
+    """The changed region only: ``(x, y, w, h, patch)`` of :func:`blend`
+    after clipping, or None when the box lies outside the frame."""
+    fh, fw = frame.shape[:2]
+    cw, ch = min(w, fw - x), min(h, fh - y)
+    if cw <= 0 or ch <= 0:
+        return None
+    out = blend(frame, logo, x, y, w, h)
+    return x, y, cw, ch, np.ascontiguousarray(out[y:y + ch, x:x + cw])
+
+
+def apply_patch(frame: np.ndarray, x: int, y: int, patch: np.ndarray) -> np.ndarray:
+    out = frame.copy()
+    out[y:y + patch.shape[0], x:x + patch.shape[1]] = patch
+    return out
+
+
 def annotate(frame: np.ndarray, x: int, y: int, w: int, h: int, thickness: int = 2,
              color=(0, 255, 0)) -> np.ndarray:
     """Draw a box outline ``thickness`` pixels wide inside [x, x+w] x [y, y+h]."""

@@ -241,6 +241,66 @@ def blend_frames(frames: DataFrame, boxes: DataFrame, logo: np.ndarray,
     return j.mapInPandas(run, schema)
 
 
+PATCH_FIELDS = [T.StructField("px", T.IntegerType()), T.StructField("py", T.IntegerType()),
+                T.StructField("pw", T.IntegerType()), T.StructField("ph", T.IntegerType()),
+                T.StructField("patch", T.BinaryType())]
+
+
+def blend_patches(frames: DataFrame, boxes: DataFrame, logo: np.ndarray,
+                  keys: tuple[str, ...] = ("video_id", "frame_no"), video_key: str = "video_id") -> DataFrame:
+    """I6, patch form: per frame only the blended region ``(px, py, pw, ph,
+    patch)`` — at 1080p about 88 KB instead of a 6.2 MB frame — so the job
+    writes a small fraction of the data; frames without a detection yield no
+    row.  :func:`apply_patches` rebuilds full frames where a sink needs them."""
+    ship_package(frames.sparkSession)
+    lg = np.ascontiguousarray(logo)
+    b = boxes.where(F.col("detected")).select(video_key, "x", "y", "w", "h")
+    j = join_small(frames, b, video_key)
+    schema = T.StructType([frames.schema[k] for k in keys] + PATCH_FIELDS)
+
+    def run(batches):
+        for p in batches:
+            rows = []
+            for r in p.itertuples(index=False):
+                img = _img(r.data, r.height, r.width, r.nChannels)
+                res = K.blend_patch(img, lg, int(r.x), int(r.y), int(r.w), int(r.h))
+                if res is not None:
+                    px, py, pw, ph, patch = res
+                    rows.append(tuple(getattr(r, k) for k in keys) + (px, py, pw, ph, patch.tobytes()))
+            out = pd.DataFrame(rows, columns=list(keys) + [f.name for f in PATCH_FIELDS])
+            for f in ("px", "py", "pw", "ph"):
+                out[f] = out[f].astype("int32")
+            yield out
+
+    return j.select(*keys, "data", "height", "width", "nChannels", "x", "y", "w", "h").mapInPandas(run, schema)
+
+
+def apply_patches(frames: DataFrame, patches: DataFrame,
+                  keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
+    """Full frames from frames + patches (left join on the frame key: frames
+    without a patch pass through unchanged)."""
+    ship_package(frames.sparkSession)
+    j = frames.join(patches, list(keys), "left")
+    schema = frames.schema
+
+    def run(batches):
+        for p in batches:
+            data = []
+            for r in p.itertuples(index=False):
+                if r.patch is None or (isinstance(r.patch, float) and np.isnan(r.patch)):
+                    data.append(r.data)
+                    continue
+                img = _img(r.data, r.height, r.width, r.nChannels)
+                shape = (int(r.ph), int(r.pw)) + (() if r.nChannels == 1 else (int(r.nChannels),))
+                patch = np.frombuffer(r.patch, dtype=np.uint8).reshape(shape)
+                data.append(K.apply_patch(img, int(r.px), int(r.py), patch).tobytes())
+            out = p[[f.name for f in schema.fields]].copy()
+            out["data"] = data
+            yield out
+
+    return j.mapInPandas(run, schema)
+
+
 # ---------------------------------------------------- pixel-row (relational)
 def _axis_cols(o: Column, n_in: int | Column, n_out: int | Column):
     """Half-pixel-centre sampling for output coordinate ``o``: (i0, i1, a)."""

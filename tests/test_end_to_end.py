@@ -43,3 +43,16 @@ def test_planted_logo_png_frames(spark, tmp_dir):
         mask = np.ones((48, 64), bool)
         mask[20:20 + sh, 30:30 + sw] = False
         assert np.array_equal(out[n][mask], f[mask])
+
+
+def test_patches_rebuild_blended_frames(spark):
+    from tests.conftest import SF_SMALL
+    from framelake.sources import testdata as TD
+    frames = TD.pixel_frames(spark, SF_SMALL)
+    tpl = PX.load_param_image(TD.template(spark, SF_SMALL), "ty", "tx", ("t",))
+    logo = PX.load_param_image(TD.logo(spark, SF_SMALL), "ly", "lx", ("l", "a"))
+    det = PX.first_frame_detection(frames, lambda f: PX.detect_frames(f, tpl)).drop("frame_no")
+    full = {(r.video_id, r.frame_no): bytes(r.data) for r in PX.blend_frames(frames, det, logo).collect()}
+    rebuilt = {(r.video_id, r.frame_no): bytes(r.data)
+               for r in PX.apply_patches(frames, PX.blend_patches(frames, det, logo)).collect()}
+    assert full == rebuilt and len(full) == frames.count()
