@@ -96,3 +96,27 @@ def test_detect_frames_quarantines_undecodable_frames(spark):
     assert [r.frame_no for r in bad.collect()] == [2]
     with pytest.raises(Exception):
         detect_frames(df, img[3:8, 4:9].copy()).collect()
+
+
+def test_extract_job_from_chunk_files(spark, tmp_dir):
+    import os
+    from framelake.plans.extract_job import chunk_files, extract_frames, extract_to_store
+    src = {("vidA", 0): bytes(range(40)), ("vidA", 2): bytes(range(100, 133)), ("vidA", 10): bytes(8),
+           ("vidB", 1): bytes(range(50, 74))}
+    for (v, c), payload in src.items():
+        os.makedirs(f"{tmp_dir}/chunks/{v}", exist_ok=True)
+        with open(f"{tmp_dir}/chunks/{v}/chunk_{c:03d}.mp4", "wb") as f:
+            f.write(payload)
+    plan = chunk_files(spark, f"{tmp_dir}/chunks")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]      # listing reads no bytes
+    fr = extract_frames(spark, f"{tmp_dir}/chunks", 8).collect()
+    got = sorted((r.video_id, r.chunk_id, r.frame_no, bytes(r.data)) for r in fr)
+    want, no = [], {"vidA": 0, "vidB": 0}
+    for (v, c) in sorted(src, key=lambda k: (k[0], k[1])):      # integer chunk order: 0, 2, 10
+        p = src[(v, c)]
+        for i in range(len(p) // 8):
+            no[v] += 1
+            want.append((v, c, no[v], p[i * 8:(i + 1) * 8]))
+    assert got == sorted(want)
+    extract_to_store(spark, f"{tmp_dir}/chunks", 8, f"{tmp_dir}/store")
+    assert spark.read.parquet(f"{tmp_dir}/store").count() == len(want)
