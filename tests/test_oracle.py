@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
+from tools.type_check import SPARK_TO_DUCK
 
 QUERIES, ORACLES = E.queries(), E.oracle_sql()
 
@@ -33,6 +34,9 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(scols) == sorted(dcols)
+    stypes = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__) for f in df.schema.fields}
+    dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert stypes == dtypes
     assert len(srows) == len(drows)
     assert digest(scols, srows)[0] == digest(dcols, drows)[0]
 
