@@ -40,17 +40,25 @@ def chunk_files(spark: SparkSession, root: str, glob: str = "*.mp4") -> DataFram
     return _raw(spark, root, glob).select("path", "length", *_keys())
 
 
-def extract_frames(spark: SparkSession, root: str, frame_bytes: int, glob: str = "*.mp4") -> DataFrame:
+def extract_frames(spark: SparkSession, root: str, frame_bytes: int, glob: str = "*.mp4",
+                   geometry: tuple[int, int, int] | None = None) -> DataFrame:
     """Numbered frames of every chunk file (steps 1-4).  Each file's bytes are
     read once, in its own task, and exploded there; only the per-chunk counts
-    and offsets (metadata) are shuffled."""
+    and offsets (metadata) are shuffled.  ``geometry = (height, width,
+    channels)`` adds the frame-row columns the pixel operators read."""
+    if geometry is not None and geometry[0] * geometry[1] * geometry[2] != frame_bytes:
+        raise ValueError("geometry does not match frame_bytes")
     counts = chunk_files(spark, root, glob).select(
         "video_id", "chunk_id", idiv(F.col("length"), F.lit(frame_bytes)).cast("bigint").alias("frame_count"))
     chunks = _raw(spark, root, glob).select(*_keys(), F.col("content").alias("payload"))
-    return FR.number_frames(FR.explode_frames(chunks, frame_bytes), FR.chunk_offsets(counts))
+    frames = FR.number_frames(FR.explode_frames(chunks, frame_bytes), FR.chunk_offsets(counts))
+    if geometry is not None:
+        h, w, c = geometry
+        frames = frames.select("*", F.lit(h).alias("height"), F.lit(w).alias("width"), F.lit(c).alias("nChannels"))
+    return frames
 
 
 def extract_to_store(spark: SparkSession, root: str, frame_bytes: int, store_path: str,
-                     glob: str = "*.mp4") -> None:
+                     glob: str = "*.mp4", geometry: tuple[int, int, int] | None = None) -> None:
     """The whole job (steps 1-5)."""
-    write_frame_store(extract_frames(spark, root, frame_bytes, glob), store_path)
+    write_frame_store(extract_frames(spark, root, frame_bytes, glob, geometry), store_path)
