@@ -26,8 +26,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           # pixel stages: cap Arrow batches by bytes (a 1080p BGR frame is
-          # 6.2 MB), not by record count, so tiny and huge frames both batch well
-          .config("spark.sql.execution.arrow.maxBytesPerBatch", str(16 * 1024 * 1024))
+          # 6.2 MB; 32 MB = about five), not by record count, so tiny and huge
+          # frames both batch well
+          .config("spark.sql.execution.arrow.maxBytesPerBatch", str(32 * 1024 * 1024))
           .config("spark.sql.session.timeZone", "UTC"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
