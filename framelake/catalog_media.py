@@ -222,7 +222,7 @@ def q_stream_resource_windows(spark, d):
     schema = TD.table(spark, d, "events").schema
     src = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(d)
     samples = src.select((F.col("user_id") % TD.N_VIDEOS).alias("run_id"), "ts",
-                         (F.col("value") / 5).alias("cpu_percent"),
+                         (F.floor(F.col("value") * 0.8) / 4.0).alias("cpu_percent"),
                          F.get_json_object("props", "$.k").cast("double").alias("ram_percent"))
     out = scratch_path(spark, "resource-windows")
     q = (stream_resource_windows(samples, WINDOW, "2 hours").writeStream.outputMode("complete")

@@ -57,12 +57,12 @@ FX: dict[str, str] = {
                           ELSE CAST(p_size * 1000 AS VARCHAR) || '/1001' END AS fps_text
               FROM part) p""",
     "fx_resources": """
-        SELECT user_id % 4 AS run_id, ts, value / 5 AS cpu_percent,
+        SELECT user_id % 4 AS run_id, ts, floor(value * 0.8::DOUBLE) / 4.0::DOUBLE AS cpu_percent,
                CAST(json_extract_string(props, '$.k') AS DOUBLE) AS ram_percent
         FROM events""",
     "fx_runs": """
         SELECT l_suppkey AS run_id, l_orderkey AS item_id, l_linenumber AS item_no,
-               l_extendedprice AS in_bytes, l_quantity * 1000 AS out_bytes,
+               CAST(floor(l_extendedprice) AS DOUBLE) AS in_bytes, l_quantity * 1000 AS out_bytes,
                l_returnflag <> 'R' AS ok, l_shipdate AS ts, l_linestatus AS phase_flag
         FROM lineitem""",
     "fx_coo": """

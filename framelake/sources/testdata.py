@@ -137,20 +137,23 @@ def probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_resources: resource samples of four runs."""
+    """fx_resources: resource samples of four runs.  CPU percent is
+    ``value / 5`` quantised to quarter points (exact in binary, so sums and
+    averages do not depend on summation order)."""
     ev = table(spark, sf_dir, "events")
     return ev.select((F.col("user_id") % N_VIDEOS).alias("run_id"), "ts",
-                     (F.col("value") / 5).alias("cpu_percent"),
+                     (F.floor(F.col("value") * 0.8) / 4.0).alias("cpu_percent"),
                      F.get_json_object("props", "$.k").cast("double").alias("ram_percent"))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_runs: one processed item per line item; a run is a supplier."""
+    """fx_runs: one processed item per line item; a run is a supplier.  Byte
+    counts are whole numbers (exact sums in any order)."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_suppkey").alias("run_id"),
                      F.col("l_orderkey").alias("item_id"),
                      F.col("l_linenumber").alias("item_no"),
-                     F.col("l_extendedprice").alias("in_bytes"),
+                     F.floor("l_extendedprice").cast("double").alias("in_bytes"),
                      (F.col("l_quantity") * 1000).alias("out_bytes"),
                      (F.col("l_returnflag") != "R").alias("ok"),
                      F.col("l_shipdate").alias("ts"),

@@ -13,7 +13,8 @@ def test_stream_windows_equal_batch(spark, tmp_dir):
     batch = resource_windows(TD.resources(spark, SF_SMALL), "1 hour")
     schema = TD.table(spark, SF_SMALL, "events").schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(SF_SMALL))
-    samples = src.select((F.col("user_id") % 4).alias("run_id"), "ts", (F.col("value") / 5).alias("cpu_percent"),
+    samples = src.select((F.col("user_id") % 4).alias("run_id"), "ts",
+                         (F.floor(F.col("value") * 0.8) / 4.0).alias("cpu_percent"),
                          F.get_json_object("props", "$.k").cast("double").alias("ram_percent"))
     q = (stream_resource_windows(samples, "1 hour", "0 seconds").writeStream.outputMode("complete")
          .format("memory").queryName("res_windows").trigger(availableNow=True).start())
