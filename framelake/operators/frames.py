@@ -102,18 +102,31 @@ def first_frame(frames: DataFrame, key: str = "video_id", frame_col: str = "fram
                   .select(key, "_f.*"))
 
 
-def reassemble(frames: DataFrame, policy: str = "strict", data: str = "data") -> DataFrame:
+# A reassembled chunk is one row, built through its hex form (2x): keep it
+# well below the 2 GB row limit.  Larger chunks are written as ordered frame
+# rows (the frame store) for an encoder to stream instead.
+MAX_CHUNK_BYTES = 512 * 1024 * 1024
+
+
+def reassemble(frames: DataFrame, policy: str = "strict", data: str = "data",
+               max_chunk_bytes: int = MAX_CHUNK_BYTES) -> DataFrame:
     """Ordered reassembly of a chunk's frames into one payload.
 
     One output row per *chunk* (never per video: a row is limited to 2 GB),
     frames ordered by integer ``frame_no``.  Policies for holes in the
     numbering: ``strict`` raises, ``skip`` concatenates what exists,
     ``fill_previous`` repeats the previous frame for every missing number.
+    A chunk over ``max_chunk_bytes`` fails the job with a clear error
+    instead of an oversized row.
     """
     g = (frames.groupBy("video_id", "chunk_id")
                .agg(F.array_sort(F.collect_list(F.struct("frame_no", data))).alias("_fr"),
                     F.min("frame_no").alias("first_no"), F.max("frame_no").alias("last_no"),
-                    F.count(F.lit(1)).alias("n_frames")))
+                    F.count(F.lit(1)).alias("n_frames"), F.sum(F.length(data)).alias("_bytes")))
+    g = g.withColumn("_fr", F.when(F.col("_bytes") <= max_chunk_bytes, F.col("_fr")).otherwise(
+        F.raise_error(F.format_string("chunk %s/%s has %s bytes; reassemble at most %s per row",
+                                      "video_id", "chunk_id", "_bytes", F.lit(max_chunk_bytes)))
+         .cast(g.schema["_fr"].dataType)))
     dense = (F.col("last_no") - F.col("first_no") + 1) == F.col("n_frames")
     if policy == "strict":
         g = g.withColumn("_fr", F.when(dense, F.col("_fr")).otherwise(

@@ -120,3 +120,11 @@ def test_extract_job_from_chunk_files(spark, tmp_dir):
     assert got == sorted(want)
     extract_to_store(spark, f"{tmp_dir}/chunks", 8, f"{tmp_dir}/store")
     assert spark.read.parquet(f"{tmp_dir}/store").count() == len(want)
+
+
+def test_reassemble_refuses_oversized_chunks(spark):
+    rows = [(0, 0, n, bytes(100)) for n in range(1, 6)]
+    df = spark.createDataFrame(rows, "video_id long, chunk_id long, frame_no long, data binary")
+    assert FR.reassemble(df, "strict", max_chunk_bytes=500).first().payload == bytes(500)
+    with pytest.raises(Exception):
+        FR.reassemble(df, "strict", max_chunk_bytes=499).collect()
