@@ -3,7 +3,8 @@
 Each entry runs one operator of the inventory over the driver's tables
 through a fixture adapter (:mod:`framelake.sources.testdata`).  The oracle is
 independent SQL over the same base tables (:mod:`framelake.oracle`).  Column
-names and types agree on both sides; doubles are compared rounded.
+names and types agree on both sides, and so do doubles, bit for bit
+(``tools/oracle_check.py --exact``).
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- parameters
-N_CHUNKS = 10                       # chunks per recording (cluster scripts use 10)
+N_CHUNKS = 10                       # chunks per recording (the original cluster runs used 10)
 HOUR_US = 3600 * 1000000            # scan block for the events-based frame fixture
 DAY_US = 24 * HOUR_US
 PAYLOAD_FPS = (30000, 1001)         # constant frame rate used at reassembly
