@@ -53,42 +53,63 @@ def _bgr(frames):
     return frames.mapInPandas(run, frames.schema)
 
 
-def detect_1080p(spark, sf_dir):
-    frames = TD.pixel_frames(spark, sf_dir)
-    first = frames.groupBy("video_id").agg(F.min("frame_no").alias("frame_no"))
-    firsts = frames.join(first, ["video_id", "frame_no"], "left_semi")
-    n = firsts.count()
-    # two frames per task (one Arrow batch, template spectra shared by both);
-    # the upscale happens after the shuffle, so AQE cannot size it
-    hd = _bgr(PX.resize_frames(PX.spread_frames(firsts, max((n + 1) // 2, 1)), *HD))
-    # the template: a crop of one upscaled frame, made from a single embedding row
+def _template(spark, sf_dir):
+    """A crop of one upscaled frame, made from a single embedding row."""
     row = TD.table(spark, sf_dir, "embeddings").where(F.col("vec_id") == 0).select("embedding").first()
     g = np.clip(np.floor(128.0 + 256.0 * np.asarray(row[0], dtype=np.float64)), 0, 255).astype(np.uint8)
     big = K.resize_bilinear(g.reshape(8, 8), *HD).astype(np.uint16)
     bgr = np.stack([big, 255 - big, (big * 7) % 256], axis=2).astype(np.uint8)
     y, x, h, w = TEMPLATE_BOX
-    det = PX.detect_frames(hd, bgr[y:y + h, x:x + w].copy(), with_timing=True)
+    return bgr[y:y + h, x:x + w].copy()
+
+
+def detect_1080p(spark, sf_dir, cpus):
+    frames = TD.pixel_frames(spark, sf_dir)
+    first = frames.groupBy("video_id").agg(F.min("frame_no").alias("frame_no"))
+    firsts = frames.join(first, ["video_id", "frame_no"], "left_semi")
+    n = firsts.count()
+    # two frames per task (one Arrow batch, template spectra shared by both);
+    # the upscale happens after the shuffle, so AQE cannot size it.  Fewer
+    # tasks than cores: the spare cores score scale levels in threads.
+    tasks = max((n + 1) // 2, 1)
+    hd = _bgr(PX.resize_frames(PX.spread_frames(firsts, tasks), *HD))
+    det = PX.detect_frames(hd, _template(spark, sf_dir), with_timing=True,
+                           threads=max(1, round(cpus / tasks)))
     t0 = time.time()
     ms = [r.detection_ms for r in det.select("detection_ms").collect()]   # one number per video
     return time.time() - t0, n, float(np.median(ms)) / 1000.0
 
 
+def detect_1080p_single(spark, sf_dir, cpus):
+    """Latency of one 1080p frame (the baseline's single-frame measurement):
+    the first frame of the first video, one task, its levels scored on all cores."""
+    frames = TD.pixel_frames(spark, sf_dir)
+    v = frames.agg(F.min("video_id")).first()[0]
+    f0 = frames.where(F.col("video_id") == v).agg(F.min("frame_no")).first()[0]
+    one = frames.where((F.col("video_id") == v) & (F.col("frame_no") == f0))
+    hd = _bgr(PX.resize_frames(one, *HD)).cache()
+    hd.count()                                   # the decode stand-in is not part of the measurement
+    det = PX.detect_frames(hd, _template(spark, sf_dir), with_timing=True, threads=cpus)
+    ms = det.select("detection_ms").first()[0]
+    hd.unpersist()
+    return ms / 1000.0
+
+
 def e2e_1080p(spark, sf_dir):
     """The whole job at 1080p: every frame of ``embeddings`` upscaled to
     1920x1080 BGR (the decode stand-in), the logo detected once per video on
     its first frame, and a 90x127 BGRA logo blended into every frame."""
     small = TD.pixel_frames(spark, sf_dir)
-    y, x, h, w = TEMPLATE_BOX
-    row = TD.table(spark, sf_dir, "embeddings").where(F.col("vec_id") == 0).select("embedding").first()
-    g = np.clip(np.floor(128.0 + 256.0 * np.asarray(row[0], dtype=np.float64)), 0, 255).astype(np.uint8)
-    big = K.resize_bilinear(g.reshape(8, 8), *HD).astype(np.uint16)
-    bgr = np.stack([big, 255 - big, (big * 7) % 256], axis=2).astype(np.uint8)
-    tpl = bgr[y:y + h, x:x + w].copy()
+    tpl = _template(spark, sf_dir)
+    h, w = tpl.shape[:2]
     logo = np.dstack([255 - tpl, np.tile(np.linspace(0, 255, w).astype(np.uint8), (h, 1))])
     upscale = lambda f: _bgr(PX.resize_frames(f, *HD))
-    # first frames are chosen on the small frames, so only they are upscaled for detection
-    det = PX.first_frame_detection(
-        small, lambda f: PX.detect_frames(upscale(PX.spread_frames(f, max(1, (f.count() + 1) // 2))), tpl))
+
+    def detect(f):   # first frames are chosen on the small frames: only they are upscaled here
+        tasks = max(1, (f.count() + 1) // 2)
+        cpus = spark.sparkContext.defaultParallelism
+        return PX.detect_frames(upscale(PX.spread_frames(f, tasks)), tpl, threads=max(1, round(cpus / tasks)))
+    det = PX.first_frame_detection(small, detect)
     out = PX.blend_frames(upscale(small), det.drop("frame_no"), logo)
     n = small.count()
     t0 = time.time()
@@ -107,7 +128,8 @@ def main() -> None:
         t0 = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
-    sec, n, per_frame = detect_1080p(spark, sf_dir)
+    sec, n, per_frame = detect_1080p(spark, sf_dir, cpus)
+    single = detect_1080p_single(spark, sf_dir, cpus)
     times["detect_1080p"] = round(sec, 3)
     e2e_sec, e2e_n = e2e_1080p(spark, sf_dir)
     times["e2e_1080p"] = round(e2e_sec, 3)
@@ -118,6 +140,7 @@ def main() -> None:
         "cpus": cpus, "detect_1080p_frames": n,
         "detect_1080p_frames_per_sec": round(n / sec, 3) if sec else None,
         "detect_1080p_task_sec_per_frame": round(per_frame, 3),
+        "detect_1080p_single_frame_sec": round(single, 3),
         "baseline_detect_sec_per_frame": 3.245,
         "e2e_1080p_frames": e2e_n, "e2e_1080p_frames_per_sec": round(e2e_n / e2e_sec, 3) if e2e_sec else None,
         "baseline_e2e_frames_per_sec": 0.26,

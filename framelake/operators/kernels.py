@@ -272,40 +272,54 @@ def _result(best: float, lv, loc, threshold: float) -> dict:
 
 
 def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
-                 threshold: float = DEFAULT_THRESHOLD, timings: list | None = None) -> list[dict]:
+                 threshold: float = DEFAULT_THRESHOLD, timings: list | None = None,
+                 threads: int = 1) -> list[dict]:
     """Multi-scale detection for a batch of frames.
 
     The best score starts at 0 and is replaced only by a strictly greater one,
     so non-positive scores never match and the earliest scale wins ties;
     within a scale the first maximum in row-major order wins (lowest y, then
     x).  The box is reported only above ``threshold``.  Scales run in the
-    outer loop so a template spectrum is built at most once per batch.
+    outer loop so a template spectrum is built at most once per group of
+    frames.  With ``threads > 1`` the levels are scored concurrently (numpy's
+    FFT and ufuncs release the GIL); results are folded in level order, so
+    the outcome is identical to the serial loop.
     """
     import time
+    from concurrent.futures import ThreadPoolExecutor
     t0 = time.perf_counter()
     best = [(0.0, None, None) for _ in frames]
     by_shape: dict[tuple, list[int]] = {}
     for i, f in enumerate(frames):
         by_shape.setdefault((_fft_shape(f.shape[0]), _fft_shape(f.shape[1])), []).append(i)
-    for (ph, pw), idx in by_shape.items():
-        c = 1 if frames[idx[0]].ndim == 2 else frames[idx[0]].shape[2]
-        per_frame = ph * (pw // 2 + 1) * c * 16 + 4 * (ph + 1) * (pw + 1) * 8
-        size = max(1, GROUP_BYTES // per_frame)
-        cached = pyramid.spectra(ph, pw)
-        for g0 in range(0, len(idx), size):
-            group = idx[g0:g0 + size]
-            stats = {i: _FrameStats(frames[i]) for i in group}
-            for k, level in enumerate(pyramid.levels):
-                _, sh, sw = level[0], level[1], level[2]
-                todo = [i for i in group if sh <= stats[i].fh and sw <= stats[i].fw]
-                if not todo:
-                    continue
-                tspec = cached[k] if cached is not None else pyramid.spectrum(k, ph, pw)
-                for i in todo:
-                    v, y, x = _level_best(stats[i], level, tspec)
-                    if v > best[i][0]:
-                        best[i] = (v, level, (y, x))
-            del stats
+    pool = ThreadPoolExecutor(threads) if threads > 1 else None
+    run = pool.map if pool else map
+    try:
+        for (ph, pw), idx in by_shape.items():
+            c = 1 if frames[idx[0]].ndim == 2 else frames[idx[0]].shape[2]
+            per_frame = ph * (pw // 2 + 1) * c * 16 + 4 * (ph + 1) * (pw + 1) * 8
+            size = max(1, GROUP_BYTES // per_frame)
+            cached = pyramid.spectra(ph, pw)
+            for g0 in range(0, len(idx), size):
+                group = idx[g0:g0 + size]
+                stats = dict(zip(group, run(lambda i: _FrameStats(frames[i]), group)))
+
+                def score_level(k: int, stats=stats, group=group):
+                    level = pyramid.levels[k]
+                    todo = [i for i in group if level[1] <= stats[i].fh and level[2] <= stats[i].fw]
+                    if not todo:
+                        return level, []
+                    tspec = cached[k] if cached is not None else pyramid.spectrum(k, ph, pw)
+                    return level, [(i,) + _level_best(stats[i], level, tspec) for i in todo]
+
+                for level, found in run(score_level, range(len(pyramid.levels))):   # level order
+                    for i, v, y, x in found:
+                        if v > best[i][0]:
+                            best[i] = (v, level, (y, x))
+                del stats
+    finally:
+        if pool:
+            pool.shutdown()
     if timings is not None:   # wall time of the batch, shared out per frame
         timings.extend([(time.perf_counter() - t0) * 1000.0 / max(len(frames), 1)] * len(frames))
     return [_result(b, lv, loc, threshold) for b, lv, loc in best]

@@ -131,13 +131,15 @@ def ensure_parallelism(frames: DataFrame, keys: tuple[str, ...] = ("video_id", "
 
 def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.DEFAULT_THRESHOLD,
                   keys: tuple[str, ...] = ("video_id", "frame_no"), partitions: int | None = None,
-                  with_timing: bool = False, on_error: str = "raise") -> DataFrame:
+                  with_timing: bool = False, on_error: str = "raise", threads: int = 1) -> DataFrame:
     """I4 on frame rows: multi-scale detection per frame with numpy FFT
     correlation in ``mapInPandas`` (frames spread over tasks, scales looped
     inside each Arrow batch).  ``partitions`` spreads the frames first (see
     :func:`spread_frames`).  ``with_timing`` adds ``detection_ms`` (the
     batch's detection wall time per frame, like the baseline's per-frame
-    detection time).  ``on_error="quarantine"`` keeps going when a frame
+    detection time).  ``threads`` scores scale levels concurrently inside a
+    task — use it only when tasks are fewer than cores (first-frame mode with
+    few videos); a task otherwise owns one core.  ``on_error="quarantine"`` keeps going when a frame
     cannot be decoded: the frame gets ``detected = false`` and the reason in
     an ``error`` column (split it off with ``operators.quality.split_valid``)."""
     ship_package(frames.sparkSession)
@@ -165,7 +167,7 @@ def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.
             dec = [decode(d, h, w, c) for d, h, w, c in zip(b["data"], b["height"], b["width"], b["nChannels"])]
             good = [i for i, (img, _) in enumerate(dec) if img is not None]
             ms: list = []
-            found = K.detect_batch([dec[i][0] for i in good], pyr, threshold, ms)
+            found = K.detect_batch([dec[i][0] for i in good], pyr, threshold, ms, threads)
             rows = [K._result(0.0, None, None, threshold) for _ in dec]
             per_ms = [0.0] * len(dec)
             for j, i in enumerate(good):

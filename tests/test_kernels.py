@@ -106,3 +106,13 @@ def test_pixel_twin_refuses_large_templates():
     big = K.TemplatePyramid(np.zeros((127, 90), np.uint8))
     with pytest.raises(ValueError):
         PX._levels_literal(big)
+
+
+def test_threaded_detection_equals_serial():
+    rng = np.random.default_rng(9)
+    frames = [rng.integers(0, 256, (40, 50, 3), dtype=np.uint8) for _ in range(3)]
+    frames.append(np.full((40, 50, 3), 7, np.uint8))
+    tpl = frames[0][10:16, 20:28].copy()
+    frames[1][3:9, 4:12] = tpl                               # an exact copy elsewhere: a tie on score
+    pyr = K.TemplatePyramid(tpl)
+    assert K.detect_batch(frames, pyr, threads=4) == K.detect_batch(frames, pyr, threads=1)
