@@ -316,6 +316,47 @@ def q_blend_patches(spark, d):
     return p.select("video_id", "frame_no", "px", "py", "pw", "ph", F.hex("patch").alias("patch_hex"))
 
 
+_PER_FRAME = _LEVELS + _sql_detect("fx_pixels", "all_", THRESHOLD) + _LOGO + [("pblend", """
+    SELECT p.video_id, p.frame_no, p.y, p.x, p.v AS v0,
+           CASE WHEN lr.l IS NULL THEN p.v ELSE CAST(floor(
+                (1.0::DOUBLE - CAST(lr.a AS DOUBLE) / 255.0::DOUBLE) * CAST(p.v AS DOUBLE)
+                + (CAST(lr.a AS DOUBLE) / 255.0::DOUBLE) * CAST(lr.l AS DOUBLE)) AS BIGINT) END AS v
+    FROM fx_pixels p LEFT JOIN all_b d ON d.video_id = p.video_id AND d.frame_no = p.frame_no AND d.detected
+    LEFT JOIN lr ON lr.sh = d.h AND lr.sw = d.w AND lr.oy = p.y - d.y AND lr.ox = p.x - d.x""")]
+
+
+@register("replace_per_frame", with_fx("SELECT video_id, frame_no, y, x, v FROM pblend",
+                                       "fx_template", "fx_logo", "fx_pixels", ctes=_PER_FRAME))
+def q_replace_per_frame(spark, d):
+    """I4 per_frame + I6 on frame rows: detect and blend in one pass."""
+    out = PX.replace_frames(TD.pixel_frames(spark, d), _template(spark, d), _logo(spark, d), THRESHOLD)
+    return frames_to_pixels(out)
+
+
+@register("per_frame_summary", with_fx("""
+    SELECT d.video_id, count(*) AS n_processed, count(*) FILTER (WHERE d.detected) AS n_detected,
+           100.0::DOUBLE * CAST(count(*) FILTER (WHERE d.detected) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS detect_pct,
+           min(d.confidence) AS min_confidence, max(d.confidence) AS max_confidence,
+           CAST(sum(c.n_changed) AS BIGINT) AS n_changed_pixels
+    FROM all_b d JOIN (SELECT video_id, frame_no, count(*) FILTER (WHERE v <> v0) AS n_changed
+                       FROM pblend GROUP BY 1, 2) c USING (video_id, frame_no)
+    GROUP BY 1""", "fx_template", "fx_logo", "fx_pixels", ctes=_PER_FRAME))
+def q_per_frame_summary(spark, d):
+    """E4 in per_frame mode (relational twin): processed / detected / changed
+    per video, detection in every frame and the blend at each frame's box."""
+    px = TD.pixels(spark, d).select("video_id", "frame_no", "y", "x", "v")
+    det = _detect_px(spark, d, px)
+    blended = PX.blend_pixels(px, det, _logo(spark, d), _template(spark, d).shape, key=["video_id", "frame_no"],
+                              keep_original=True)
+    changed = blended.groupBy("video_id", "frame_no").agg(F.count_if(F.col("v") != F.col("v0")).alias("n_changed"))
+    j = det.join(changed, ["video_id", "frame_no"])
+    return j.groupBy("video_id").agg(
+        F.count(F.lit(1)).alias("n_processed"), F.count_if("detected").alias("n_detected"),
+        (F.lit(100.0) * F.count_if("detected").cast("double") / F.count(F.lit(1)).cast("double")).alias("detect_pct"),
+        F.min("confidence").alias("min_confidence"), F.max("confidence").alias("max_confidence"),
+        F.sum("n_changed").cast("bigint").alias("n_changed_pixels"))
+
+
 @register("annotate_box", with_fx("""
     SELECT p.video_id, p.frame_no, p.y, p.x,
            CASE WHEN fb.detected AND p.x >= fb.x AND p.x <= fb.x + fb.w AND p.y >= fb.y AND p.y <= fb.y + fb.h

@@ -243,6 +243,37 @@ def blend_frames(frames: DataFrame, boxes: DataFrame, logo: np.ndarray,
     return j.mapInPandas(run, schema)
 
 
+def replace_frames(frames: DataFrame, template: np.ndarray, logo: np.ndarray,
+                   threshold: float = K.DEFAULT_THRESHOLD,
+                   keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
+    """I4 ``per_frame`` mode + I6: detect in every frame and blend the logo at
+    that frame's own box, in one ``mapInPandas`` pass — per-frame boxes never
+    have to be joined back onto the frames.  Output: the frame row with the
+    new ``data`` plus the detection columns."""
+    ship_package(frames.sparkSession)
+    frames = ensure_parallelism(frames, keys)
+    tpl, lg = np.ascontiguousarray(template), np.ascontiguousarray(logo)
+    base = [f for f in frames.schema.fields]
+    schema = T.StructType(base + [f for f in DETECTION_FIELDS if f.name not in frames.columns])
+
+    def run(batches):
+        pyr = _pyramid(tpl)
+        for b in batches:
+            imgs = [_img(d, h, w, c) for d, h, w, c in zip(b["data"], b["height"], b["width"], b["nChannels"])]
+            dets = K.detect_batch(imgs, pyr, threshold)
+            out = b.reset_index(drop=True).copy()
+            out["data"] = [K.blend(img, lg, d["x"], d["y"], d["w"], d["h"]).tobytes() if d["detected"]
+                           else img.tobytes() for img, d in zip(imgs, dets)]
+            res = pd.DataFrame(dets)
+            for f in DETECTION_FIELDS:
+                out[f.name] = res[f.name] if len(res) else pd.Series([], dtype=object)
+            for f in ("scale_ix", "x", "y", "w", "h"):
+                out[f] = out[f].astype("Int32")
+            yield out
+
+    return frames.mapInPandas(run, schema)
+
+
 PATCH_FIELDS = [T.StructField("px", T.IntegerType()), T.StructField("py", T.IntegerType()),
                 T.StructField("pw", T.IntegerType()), T.StructField("ph", T.IntegerType()),
                 T.StructField("patch", T.BinaryType())]
@@ -454,7 +485,7 @@ def reuse_detection(frame_keys: DataFrame, det: DataFrame, key: str = "video_id"
 
 
 def blend_pixels(pixels: DataFrame, boxes: DataFrame, logo: np.ndarray, template_shape: tuple[int, int],
-                 key: str = "video_id", keep_original: bool = False) -> DataFrame:
+                 key: str | list[str] = "video_id", keep_original: bool = False) -> DataFrame:
     """I5/I6 on pixel rows: inside the (clipped) box the logo, resized to the
     box size, is blended ``(1 - a) * p + a * l`` and truncated; elsewhere the
     pixel is unchanged.  The logo pyramid (one level per possible box size)
@@ -470,9 +501,10 @@ def blend_pixels(pixels: DataFrame, boxes: DataFrame, logo: np.ndarray, template
     alp = F.array(*[F.array(*[F.lit(int(v)) for v in (L[:, :, -1] if L.shape[2] in (2, 4)
                                                       else np.full(L.shape[:2], 255)).ravel()])
                     for L in levels])
-    b = boxes.select(key, F.col("detected").alias("_d"), F.col("x").alias("_bx"), F.col("y").alias("_by"),
+    keys = [key] if isinstance(key, str) else list(key)
+    b = boxes.select(*keys, F.col("detected").alias("_d"), F.col("x").alias("_bx"), F.col("y").alias("_by"),
                      F.col("w").alias("_bw"), F.col("h").alias("_bh"))
-    j = join_small(pixels, b, key, "left")
+    j = join_small(pixels, b, keys, "left")
     ly, lx = F.col("y") - F.col("_by"), F.col("x") - F.col("_bx")
     inside = F.coalesce(F.col("_d"), F.lit(False)) & (ly >= 0) & (ly < F.col("_bh")) & (lx >= 0) & (lx < F.col("_bw"))
     li = F.element_at(lvl_of, F.concat_ws("x", F.col("_bh").cast("string"), F.col("_bw").cast("string"))) + 1
