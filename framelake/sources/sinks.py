@@ -72,3 +72,13 @@ def run_report(runs: DataFrame) -> DataFrame:
     return g.select("run_id", "n_items", "n_ok", "n_failed", "in_kb", "out_kb",
                     F.format_string("run %d: %d items, %d ok, %d failed, in=%d KB, out=%d KB",
                                     "run_id", "n_items", "n_ok", "n_failed", "in_kb", "out_kb").alias("report"))
+
+
+def append_events(events: DataFrame, path: str, partition_by: str | None = "run_id") -> None:
+    """Append-only run-event / checkpoint log.  Records are only ever
+    appended (one file set per job commit); readers take the latest record
+    per key with :func:`framelake.operators.metrics.latest_per`."""
+    w = events.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)

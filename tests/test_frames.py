@@ -128,3 +128,19 @@ def test_reassemble_refuses_oversized_chunks(spark):
     assert FR.reassemble(df, "strict", max_chunk_bytes=500).first().payload == bytes(500)
     with pytest.raises(Exception):
         FR.reassemble(df, "strict", max_chunk_bytes=499).collect()
+
+
+def test_append_only_log_last_write_wins(spark, tmp_dir):
+    from framelake.operators.metrics import latest_per
+    from framelake.sources.sinks import append_events
+    path = tmp_dir + "/events"
+    first = spark.createDataFrame([(1, "extract", 10, 100), (1, "detect", 20, 5)],
+                                  "run_id int, phase string, ts long, frame_number long")
+    append_events(first, path)
+    append_events(spark.createDataFrame([(1, "extract", 30, 250)], "run_id int, phase string, ts long, frame_number long"),
+                  path)
+    log = spark.read.parquet(path)
+    assert log.count() == 3                                        # nothing overwritten
+    got = {r.phase: (r.n_records, r.frame_number) for r in
+           latest_per(log, ["run_id", "phase"], ["ts"], ["frame_number"]).collect()}
+    assert got == {"extract": (2, 250), "detect": (1, 5)}
