@@ -24,16 +24,11 @@ def write_frame_store(frames: DataFrame, path: str, mode: str = "overwrite", reg
     already sit in the task of their chunk, so by default the pixel bytes are
     only sorted locally, never shuffled.  ``regroup=True`` hash-groups frames
     by chunk first (one file per chunk) for inputs that are not chunk-aligned."""
-    spark = frames.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        src = frames.repartition("video_id", "chunk_id") if regroup else frames
-        (src.sortWithinPartitions("video_id", "chunk_id", "frame_no")
-               .write.mode(mode).options(**FRAME_STORE_OPTIONS)
-               .partitionBy("video_id", "chunk_id").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    src = frames.repartition("video_id", "chunk_id") if regroup else frames
+    # dynamic overwrite as a per-write option: no session state is touched
+    (src.sortWithinPartitions("video_id", "chunk_id", "frame_no")
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").options(**FRAME_STORE_OPTIONS)
+        .partitionBy("video_id", "chunk_id").parquet(path))
 
 
 def read_frame_store(spark: SparkSession, path: str) -> DataFrame:

@@ -22,13 +22,9 @@ def ingest_chunks(spark: SparkSession, stream: DataFrame, to_chunks: Callable[[D
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         frames = explode_frames(to_chunks(batch), frame_bytes)
-        prev = batch.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode")
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (frames.sortWithinPartitions("video_id", "chunk_id", "local_no")
-                   .write.mode("overwrite").partitionBy("video_id", "chunk_id").parquet(store_path))
-        finally:
-            batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        (frames.sortWithinPartitions("video_id", "chunk_id", "local_no")
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("video_id", "chunk_id").parquet(store_path))
 
     q = (stream.writeStream.foreachBatch(write_batch)
                .option("checkpointLocation", checkpoint)
