@@ -1,5 +1,6 @@
 """Pixel operators on Spark: resize, template match, multi-scale detection,
-first-frame reuse, alpha blend, box annotation.
+first-frame reuse or per-frame detection, alpha blend (whole frames or only
+the changed patch), box annotation.
 
 Two physical forms, one semantics (both equal the same SQL oracle):
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
