@@ -48,3 +48,33 @@ def test_ingest_resumes_without_duplicates(spark, tmp_dir):
                  .agg(F.sum("n")).first()[0]
     assert total.count() == expect
     assert total.groupBy("video_id", "chunk_id", "local_no").count().where("count > 1").count() == 0
+
+
+def test_ingest_raw_chunk_files_with_binaryfile_stream(spark, tmp_dir):
+    import os
+    from pyspark.sql import types as T
+    from framelake.functions.scalars import basename, strip_extension
+    src = f"{tmp_dir}/raw"
+    os.makedirs(f"{src}/cam1")
+    with open(f"{src}/cam1/chunk_000.raw", "wb") as f:
+        f.write(bytes(range(48)))
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                           T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+    to_chunks = lambda b: b.select(
+        F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("video_id"),
+        F.regexp_extract(strip_extension(basename(F.col("path"))), r"(\d+)$", 1).cast("bigint").alias("chunk_id"),
+        F.col("content").alias("payload"))
+
+    def run():
+        stream = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.raw")
+                  .option("recursiveFileLookup", "true").load(src))
+        ingest_chunks(spark, stream, to_chunks, 16, f"{tmp_dir}/store", f"{tmp_dir}/ckpt")
+
+    run()
+    assert spark.read.parquet(f"{tmp_dir}/store").count() == 3
+    with open(f"{src}/cam1/chunk_001.raw", "wb") as f:
+        f.write(bytes(range(100, 132)))
+    run()                                                         # picks up only the new file
+    got = sorted((r.chunk_id, r.local_no, bytes(r.data)) for r in spark.read.parquet(f"{tmp_dir}/store").collect())
+    assert [(c, n) for c, n, _ in got] == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2)]
+    assert got[3][2] == bytes(range(100, 116))
