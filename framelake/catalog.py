@@ -69,13 +69,14 @@ _META_SQL = ("meta", f"""
            st.avg_frame_rate AS avg_frame_rate, {_sql_fps('st.avg_frame_rate')} AS fps,
            coalesce(TRY_CAST(st.nb_frames AS BIGINT), 0) AS frame_count,
            TRY_CAST(f.duration AS DOUBLE) AS duration_s, TRY_CAST(f.size AS BIGINT) AS file_size,
-           TRY_CAST(f.size AS DOUBLE) / (1024.0::DOUBLE * 1024.0::DOUBLE) AS file_size_mb
+           TRY_CAST(f.size AS DOUBLE) / (1024.0::DOUBLE * 1024.0::DOUBLE) AS file_size_mb,
+           TRY_CAST(f.bit_rate AS BIGINT) AS bit_rate
     FROM (SELECT video_id, fps_text,
                  list_filter(p.streams, lambda x: x.width IS NOT NULL)[1] AS st, p.format AS f
           FROM (SELECT video_id, fps_text, from_json(probe_json,
                  '{{"streams":[{{"index":"INTEGER","codec_type":"VARCHAR","width":"INTEGER",
                     "height":"INTEGER","avg_frame_rate":"VARCHAR","nb_frames":"VARCHAR"}}],
-                   "format":{{"duration":"VARCHAR","size":"VARCHAR"}}}}') AS p
+                   "format":{{"duration":"VARCHAR","size":"VARCHAR","bit_rate":"VARCHAR"}}}}') AS p
                 FROM fx_probe) j) s""")
 
 

@@ -51,7 +51,8 @@ FX: dict[str, str] = {
           || '","nb_frames":"' || CAST(p_size * 300 + p_partkey % 7 AS VARCHAR)
           || '","duration":"' || CAST(p_retailprice AS VARCHAR)
           || '"}],"format":{"duration":"' || CAST(p_retailprice AS VARCHAR)
-          || '","size":"' || CAST(p_partkey * 1000 + 5000000 AS VARCHAR) || '"}}' AS probe_json
+          || '","size":"' || CAST(p_partkey * 1000 + 5000000 AS VARCHAR)
+          || '","bit_rate":"' || CAST(p_size * 100000 AS VARCHAR) || '"}}' AS probe_json
         FROM (SELECT p_partkey AS video_id, p_partkey, p_size, p_retailprice,
                      CASE p_partkey % 100 WHEN 0 THEN '0/0' WHEN 1 THEN 'abc' WHEN 2 THEN '25'
                           ELSE CAST(p_size * 1000 AS VARCHAR) || '/1001' END AS fps_text

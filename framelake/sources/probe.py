@@ -31,7 +31,7 @@ PROBE = T.StructType([
 
 def parse_probe(df: DataFrame, json_col: str = "probe_json", fps_mode: str = "lenient") -> DataFrame:
     """Video metadata: the first stream that has a ``width`` (the video
-    stream), joined with the container's duration and size.
+    stream), joined with the container's duration, size and bit rate.
 
     Numbers arrive as strings; ``nb_frames`` defaults to 0 when absent."""
     p = F.from_json(F.col(json_col), PROBE)
@@ -48,4 +48,5 @@ def parse_probe(df: DataFrame, json_col: str = "probe_json", fps_mode: str = "le
         F.col("_f.duration").try_cast("double").alias("duration_s"),
         F.col("_f.size").try_cast("bigint").alias("file_size"),
         bytes_to_mb(F.col("_f.size").try_cast("double")).alias("file_size_mb"),
+        F.col("_f.bit_rate").try_cast("bigint").alias("bit_rate"),
     )

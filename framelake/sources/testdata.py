@@ -130,6 +130,7 @@ def probe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","duration":"'), dur,
         F.lit('"}],"format":{"duration":"'), dur,
         F.lit('","size":"'), s(F.col("p_partkey") * 1000 + 5000000),
+        F.lit('","bit_rate":"'), s(F.col("p_size") * 100000),
         F.lit('"}}'))
     return (part.select(F.col("p_partkey").alias("video_id"), "p_partkey", F.col("p_retailprice"),
                         F.col("p_size"), fps_text_col().alias("fps_text"))
