@@ -130,6 +130,8 @@ class TemplatePyramid:
             size = len(self.levels) * ph * (pw // 2 + 1) * self.c * 16
             if size > SPECTRA_CACHE_BYTES:
                 return None
+            while len(self._spectra) >= 2:                # keep the two most recent frame shapes
+                self._spectra.pop(next(iter(self._spectra)))
             self._spectra[key] = [self.spectrum(k, ph, pw) for k in range(len(self.levels))]
         return self._spectra[key]
 
