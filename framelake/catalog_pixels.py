@@ -128,12 +128,26 @@ _BLEND = _REUSE + _LOGO + [("blend", """
 
 
 # ------------------------------------------------------------ Spark helpers
+_PARAMS: dict[tuple, np.ndarray] = {}
+
+
+def _param(spark, d, which: str) -> np.ndarray:
+    """Template / logo image, loaded once per application and data folder."""
+    key = (spark.sparkContext.applicationId, d, which)
+    if key not in _PARAMS:
+        if which == "template":
+            _PARAMS[key] = PX.load_param_image(TD.template(spark, d), "ty", "tx", ("t",))
+        else:
+            _PARAMS[key] = PX.load_param_image(TD.logo(spark, d), "ly", "lx", ("l", "a"))
+    return _PARAMS[key]
+
+
 def _template(spark, d) -> np.ndarray:
-    return PX.load_param_image(TD.template(spark, d), "ty", "tx", ("t",))
+    return _param(spark, d, "template")
 
 
 def _logo(spark, d) -> np.ndarray:
-    return PX.load_param_image(TD.logo(spark, d), "ly", "lx", ("l", "a"))
+    return _param(spark, d, "logo")
 
 
 def _detect_px(spark, d, px: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
