@@ -277,6 +277,12 @@ def q_detect_frames(spark, d):
     return PX.detect_frames(TD.pixel_frames(spark, d), _template(spark, d), THRESHOLD)
 
 
+@register("detect_frames_split", with_fx("SELECT * FROM all_b", "fx_template", "fx_pixels", ctes=_DETECT_ALL))
+def q_detect_frames_split(spark, d):
+    """I4/D2 with the frame x scale work spread over tasks (few-frames form)."""
+    return PX.detect_frames_split(TD.pixel_frames(spark, d), _template(spark, d), 4, THRESHOLD)
+
+
 @register("detect_threshold", with_fx(f"""
     SELECT video_id, frame_no, confidence, x, y FROM all_b WHERE confidence > {STRICT_THRESHOLD}::DOUBLE""",
     "fx_template", "fx_pixels", ctes=_DETECT_ALL))

@@ -327,6 +327,24 @@ def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
     return [_result(b, lv, loc, threshold) for b, lv, loc in best]
 
 
+def best_in_levels(frame: np.ndarray, pyramid: TemplatePyramid, levels: list[int]) -> tuple:
+    """Best ``(score, level_position, y, x)`` of one frame over the given
+    pyramid levels (the partial result of a level-split detection); ties go
+    to the earliest level, then the first position in row-major order."""
+    fs = _FrameStats(frame)
+    best = (0.0, -1, -1, -1)
+    for k in levels:
+        level = pyramid.levels[k]
+        if level[1] > fs.fh or level[2] > fs.fw:
+            continue
+        cached = pyramid.spectra(fs.ph, fs.pw)
+        tspec = cached[k] if cached is not None else pyramid.spectrum(k, fs.ph, fs.pw)
+        v, y, x = _level_best(fs, level, tspec)
+        if v > best[0]:
+            best = (v, k, y, x)
+    return best
+
+
 def detect(frame: np.ndarray, pyramid: TemplatePyramid, threshold: float = DEFAULT_THRESHOLD) -> dict:
     """Multi-scale detection in one frame (see :func:`detect_batch`)."""
     return detect_batch([frame], pyramid, threshold)[0]

@@ -189,6 +189,57 @@ def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.
     return frames.select(*keys, "data", "height", "width", "nChannels").mapInPandas(run, schema)
 
 
+def detect_frames_split(frames: DataFrame, template: np.ndarray, level_groups: int = 4,
+                        threshold: float = K.DEFAULT_THRESHOLD,
+                        keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
+    """I4/D2 for *few* frames: the frame x scale work is spread over the
+    cluster.  Each frame row is fanned out to ``level_groups`` rows (a bounded
+    generator), range-partitioned so every (frame, group) gets its own task,
+    scored on its share of the 25 levels, and reduced per frame with
+    ``max_by`` — highest score, then earliest level (the serial tie rule).
+    Use it when frames are fewer than task slots; with many frames
+    :func:`detect_frames` keeps each frame in one task."""
+    ship_package(frames.sparkSession)
+    tpl = np.ascontiguousarray(template)
+    n_levels = len(K.TemplatePyramid(tpl).levels)
+    groups = max(1, min(level_groups, n_levels))
+    fan = frames.select(*keys, "data", "height", "width", "nChannels",
+                        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("lgroup"))
+    n_rows = frames.count() * groups
+    slots = frames.sparkSession.sparkContext.defaultParallelism
+    fan = fan.repartitionByRange(max(1, min(n_rows, 4 * slots)), *keys, "lgroup")
+    part = T.StructType([frames.schema[k] for k in keys] + [
+        T.StructField("_score", T.DoubleType()), T.StructField("_lvl", T.IntegerType()),
+        T.StructField("_y", T.IntegerType()), T.StructField("_x", T.IntegerType())])
+
+    def run(batches):
+        pyr = _pyramid(tpl)
+        for b in batches:
+            rows = []
+            for r in b.itertuples(index=False):
+                img = _img(r.data, r.height, r.width, r.nChannels)
+                lv = [k for k in range(len(pyr.levels)) if k % groups == r.lgroup]
+                v, k, y, x = K.best_in_levels(img, pyr, lv)
+                rows.append(tuple(getattr(r, c) for c in keys) + (v, k, y, x))
+            yield pd.DataFrame(rows, columns=part.names).astype({"_lvl": "int32", "_y": "int32", "_x": "int32"})
+
+    scored = fan.mapInPandas(run, part)
+    best = scored.groupBy(*keys).agg(F.max_by(F.struct("_score", "_lvl", "_y", "_x"),
+                                              F.struct("_score", -F.col("_lvl"))).alias("b"))
+    pyr = K.TemplatePyramid(tpl)
+    lit_arr = lambda vals, t: F.array(*[F.lit(v).cast(t) for v in vals])
+    at = lambda arr: F.element_at(arr, F.col("b._lvl") + 1)
+    found = F.col("b._score") > F.lit(threshold)
+    keep = lambda c: F.when(found, c)
+    return best.select(
+        *keys, found.alias("detected"), F.greatest(F.col("b._score"), F.lit(0.0)).alias("confidence"),
+        keep(at(lit_arr([lv[0] for lv in pyr.levels], "int"))).alias("scale_ix"),
+        keep(at(lit_arr([float(K.scales()[lv[0]]) for lv in pyr.levels], "double"))).alias("scale"),
+        keep(F.col("b._x")).alias("x"), keep(F.col("b._y")).alias("y"),
+        keep(at(lit_arr([lv[2] for lv in pyr.levels], "int"))).alias("w"),
+        keep(at(lit_arr([lv[1] for lv in pyr.levels], "int"))).alias("h"))
+
+
 def resize_frames(frames: DataFrame, out_h: int, out_w: int) -> DataFrame:
     """I1/I8 on frame rows: bilinear resize of every frame."""
     ship_package(frames.sparkSession)
