@@ -15,13 +15,43 @@ def matmul_coo(a: DataFrame, b: DataFrame) -> DataFrame:
                 .agg(F.sum(F.col("va") * F.col("vb")).alias("v")))
 
 
+def gram_matrix(rows: DataFrame, vector_col: str) -> DataFrame:
+    """``G = X^T X`` of a tall matrix stored one vector per row.
+
+    Every task multiplies its Arrow batches with numpy and emits its partial
+    d x d sums as ``(i, j, g)`` rows; one aggregation adds the partials (the
+    same tree of partial sums as a distributed Gram computation).  Only d^2
+    values per batch leave a task, whatever the number of rows."""
+    import numpy as np
+    import pandas as pd
+
+    from framelake.session import ship_package
+    ship_package(rows.sparkSession)
+
+    def run(batches):
+        for b in batches:
+            if not len(b):
+                continue
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in b[vector_col]])
+            g = x.T @ x
+            i, j = np.indices(g.shape)
+            yield pd.DataFrame({"i": i.ravel().astype(np.int32), "j": j.ravel().astype(np.int32), "g": g.ravel()})
+
+    part = rows.select(vector_col).mapInPandas(run, "i int, j int, g double")
+    return part.groupBy("i", "j").agg(F.sum("g").alias("g"))
+
+
 def svd_topk(spark: SparkSession, rows: DataFrame, vector_col: str, k: int) -> DataFrame:
-    """Top-k singular values of a tall matrix (one row per vector) with
-    MLlib's distributed ``RowMatrix`` (tree-aggregated Gram matrix; only the
-    n x n Gram — n = vector length — reaches the driver)."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    vecs = rows.select(vector_col).rdd.map(lambda r: Vectors.dense([float(x) for x in r[0]]))
-    svd = RowMatrix(vecs).computeSVD(k, computeU=False)
-    s = [float(x) for x in svd.s.toArray()]
+    """Top-k singular values of a tall matrix (one row per vector): the
+    square roots of the largest eigenvalues of the Gram matrix.  Only the
+    d x d Gram (d = vector length, bounded by the schema) reaches the driver
+    for the eigendecomposition — never the rows."""
+    import numpy as np
+    entries = gram_matrix(rows, vector_col).collect()
+    d = max(r.i for r in entries) + 1
+    g = np.zeros((d, d))
+    for r in entries:
+        g[r.i, r.j] = r.g
+    ev = np.linalg.eigvalsh((g + g.T) / 2.0)[::-1][:k]
+    s = [float(np.sqrt(max(v, 0.0))) for v in ev]
     return spark.createDataFrame([(i, v) for i, v in enumerate(s)], "k int, sigma double")

@@ -56,3 +56,12 @@ def test_patches_rebuild_blended_frames(spark):
     rebuilt = {(r.video_id, r.frame_no): bytes(r.data)
                for r in PX.apply_patches(frames, PX.blend_patches(frames, det, logo)).collect()}
     assert full == rebuilt and len(full) == frames.count()
+
+
+def test_svd_topk_equals_numpy(spark):
+    from tests.conftest import SF_SMALL
+    from framelake.operators.linalg import svd_topk
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    got = [r.sigma for r in svd_topk(spark, emb, "embedding", 6).orderBy("k").collect()]
+    x = np.stack([np.asarray(r.embedding, dtype=np.float64) for r in emb.select("embedding").collect()])
+    assert np.allclose(got, np.linalg.svd(x, compute_uv=False)[:6], rtol=1e-9)
