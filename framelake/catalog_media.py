@@ -147,7 +147,17 @@ def q_sweep_summary(spark, d):
     return sweep_summary(sweep_rows(TD.frames(spark, d), 2, 10))
 
 
-@register("sweep_csv")
+def _sql_two_decimals(v: str, per_one: int) -> str:
+    step = per_one // 100
+    c = (f"({v} // {step} + CASE WHEN ({v} % {step}) * 2 > {step} OR (({v} % {step}) * 2 = {step} "
+         f"AND ({v} // {step}) % 2 = 1) THEN 1 ELSE 0 END)")
+    return f"(CAST({c} // 100 AS VARCHAR) || '.' || lpad(CAST({c} % 100 AS VARCHAR), 2, '0'))"
+
+
+@register("sweep_csv", with_fx(f"""
+    SELECT CAST(num_chunks AS VARCHAR) AS num_chunks, CAST(chunk_no AS VARCHAR) AS chunk_no,
+           {_sql_two_decimals('chunk_bytes', 1000000)} AS proc_s
+    FROM pc""", "fx_frames", ctes=_SWEEP_CTES))
 def q_sweep_csv(spark, d):
     """Sweep rows written as CSV with a header and 2-decimal values, read back."""
     from framelake.session import scratch_path
@@ -157,14 +167,22 @@ def q_sweep_csv(spark, d):
     return read_csv(spark, path)
 
 
-@register("metrics_json")
+@register("metrics_json", with_fx("""
+    SELECT run_id, count(*) AS n_items, count(*) FILTER (WHERE ok) AS n_ok,
+           sum(in_bytes) / 1048576.0::DOUBLE AS input_mb, sum(out_bytes) / 1048576.0::DOUBLE AS output_mb,
+           CAST(min(ts) AS VARCHAR) AS start_ts, CAST(max(ts) AS VARCHAR) AS end_ts
+    FROM fx_runs GROUP BY 1""", "fx_runs"))
 def q_metrics_json(spark, d):
-    """Nested per-run metrics written as JSON lines, read back."""
+    """Nested per-run metrics written as JSON lines, read back (and
+    flattened for the check)."""
     from framelake.session import scratch_path
     from framelake.sources.sinks import metrics_tree, write_json
     path = scratch_path(spark, "metrics-json")
     write_json(metrics_tree(TD.runs(spark, d)), path)
-    return spark.read.json(path)
+    j = spark.read.json(path)
+    return j.select("run_id", F.col("processing.n_items").alias("n_items"), F.col("processing.n_ok").alias("n_ok"),
+                    F.col("sizes.input_mb").alias("input_mb"), F.col("sizes.output_mb").alias("output_mb"),
+                    F.col("time.start").alias("start_ts"), F.col("time.end").alias("end_ts"))
 
 
 _PHASE_SQL = ("phases", " UNION ALL ".join(

@@ -14,7 +14,7 @@ __all__ = [
     "parse_fps", "fps_is_valid", "fps_error", "frame_count_round", "frame_count_floor",
     "duration_from_count", "bytes_to_mb", "bytes_to_kb", "chunk_name", "frame_name",
     "frame_name_underscore", "basename", "strip_extension", "strip_quotes",
-    "safe_ratio", "scale_at", "scaled_size", "clip_extent", "frame_pts_us", "idiv",
+    "safe_ratio", "scale_at", "scaled_size", "clip_extent", "frame_pts_us", "idiv", "two_decimals",
     "N_SCALES", "SCALE_MIN", "SCALE_MAX",
 ]
 
@@ -136,6 +136,17 @@ def clip_extent(start: Column, extent: Column, limit: Column) -> Column:
     return F.least(extent, limit - start)
 
 
+def two_decimals(units: Column, per_one: int) -> Column:
+    """Text of ``units / per_one`` with two decimals, rounded half to even in
+    exact integer arithmetic (non-negative integers; ``per_one`` a multiple
+    of 100) — the same digits on every engine, unlike float formatting."""
+    step = per_one // 100
+    q, r = idiv(units, F.lit(step)), units % step
+    up = (r * 2 > step) | ((r * 2 == step) & (q % 2 == 1))
+    c = q + F.when(up, F.lit(1)).otherwise(F.lit(0))
+    return F.concat(idiv(c, F.lit(100)).cast("string"), F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
+
+
 def idiv(a: Column, b: Column) -> Column:
     """Integer division truncating toward zero (SQL ``a div b``)."""
     return F.call_function("div", a, b)

@@ -33,15 +33,17 @@ def sweep_summary(rows: DataFrame) -> DataFrame:
 
 
 def write_sweep_csv(rows: DataFrame, path: str) -> None:
-    """CSV with a header row, values formatted with two decimals."""
-    (rows.select("num_chunks", "chunk_no",
-                 F.format_string("%.2f", F.col("chunk_bytes") / F.lit(1000000.0)).alias("proc_s"))
+    """CSV with a header row, values formatted with two decimals (exact
+    half-even rounding of bytes / 1e6, see ``functions.two_decimals``)."""
+    from framelake.functions.scalars import two_decimals
+    (rows.select("num_chunks", "chunk_no", two_decimals(F.col("chunk_bytes"), 1000000).alias("proc_s"))
          .orderBy("num_chunks", "chunk_no")
          .write.mode("overwrite").option("header", True).csv(path))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).csv(path)
+    """CSV with a header, every column as text (no schema inference)."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
 def metrics_tree(runs: DataFrame) -> DataFrame:
