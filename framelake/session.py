@@ -70,28 +70,38 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``framelake`` importable in every Python worker (once per app).
 
     Functions handed to ``mapInPandas`` are pickled by reference to their
-    module, so executors need the package: it is zipped and distributed with
-    ``addPyFile`` (the zip is placed in the shared folder when that is a
-    local path, otherwise next to the driver, from where Spark serves it)."""
-    import tempfile
+    module, so executors need the package: it is zipped in memory, written
+    into the shared folder (through Hadoop's FileSystem API when that folder
+    is not local) and distributed with ``addPyFile``."""
+    import io
     import zipfile
 
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    root = shared_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    if "://" in root:
-        root = tempfile.gettempdir()
-    os.makedirs(root, exist_ok=True)
-    dest = os.path.join(root, f"framelake-{uuid.uuid4().hex[:8]}.zip")
-    with zipfile.ZipFile(dest, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    root = shared_dir(spark)
+    name = f"framelake-{uuid.uuid4().hex[:8]}.zip"
+    if "://" in root and not root.startswith("file:"):
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + "/" + name)
+        fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        out = fs.create(jpath, True)
+        out.write(bytearray(buf.getvalue()))
+        out.close()
+        dest = jpath.toString()
+    else:
+        local = root[len("file:"):] if root.startswith("file:") else root
+        os.makedirs(local, exist_ok=True)
+        dest = os.path.join(local, name)
+        with open(dest, "wb") as fh:
+            fh.write(buf.getvalue())
     sc.addPyFile(dest)
     _SHIPPED.add(sc.applicationId)
