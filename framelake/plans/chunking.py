@@ -89,16 +89,18 @@ def micro_plan(frames: DataFrame, n_chunks: int) -> DataFrame:
 
 
 def keyframe_segments(frames: DataFrame, n_chunks: int, block_us: int = DEFAULT_BLOCK_US,
-                      with_frames: bool = False) -> DataFrame:
+                      with_frames: bool = False, extent: DataFrame | None = None) -> DataFrame:
     """Key-frame aligned segmentation (stream copy cuts only at key frames).
 
     Rule: nominal chunk = ``least(n-1, pts*n div dur)``; a frame belongs to the
     nominal chunk of the last key frame at or before it (0 before any key
     frame); the distinct segments are renumbered densely from 0.  Returns one
     row per segment with its frame count and exclusive frame offset, or the
-    frames with their ``chunk_id`` when ``with_frames``.
+    frames with their ``chunk_id`` when ``with_frames``.  ``extent`` supplies
+    ``(video_id, dur_us)`` (e.g. from probe metadata); by default it is the
+    last pts + 1 of each video.
     """
-    ext = video_extent(frames)
+    ext = extent.select("video_id", "dur_us") if extent is not None else video_extent(frames)
     f = (frames.join(ext, "video_id")
                .withColumn("_nom", nominal_chunk(F.col("pts_us"), F.col("dur_us"), n_chunks)))
     seg = scan.running_max(f, ["video_id"], ["pts_us", "frame_id"],

@@ -111,3 +111,12 @@ def test_plans_cover_duration_without_overlap(spark):
     plan = CH.micro_plan(f, 7).orderBy("chunk_id").collect()
     assert plan[0].start_us == 0 and all(a.end_us == b.start_us for a, b in zip(plan, plan[1:]))
     assert CH.range_join_chunks(f, CH.micro_plan(f, 7), 1000).count() == 1000
+
+
+def test_keyframe_segments_with_probe_duration(spark):
+    rows = [(0, i, i * 1000, "I" if i % 5 == 0 else "P") for i in range(100)]
+    df = spark.createDataFrame(rows, "video_id long, frame_id long, pts_us long, pict_type string")
+    ext = spark.createDataFrame([(0, 200_000)], "video_id long, dur_us long")     # twice the frames' span
+    segs = CH.keyframe_segments(df, 4, block_us=10_000, extent=ext).orderBy("chunk_id").collect()
+    # nominal chunks of 50 ms: frames (0..99 ms) fill chunks 0 and 1 only
+    assert [(r.nominal_chunk, r.frame_count, r.frame_offset) for r in segs] == [(0, 50, 0), (1, 50, 50)]
