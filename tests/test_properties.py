@@ -120,3 +120,19 @@ def test_keyframe_segments_with_probe_duration(spark):
     segs = CH.keyframe_segments(df, 4, block_us=10_000, extent=ext).orderBy("chunk_id").collect()
     # nominal chunks of 50 ms: frames (0..99 ms) fill chunks 0 and 1 only
     assert [(r.nominal_chunk, r.frame_count, r.frame_offset) for r in segs] == [(0, 50, 0), (1, 50, 50)]
+
+
+def test_keyframe_segments_frames_and_reset_timestamps(spark):
+    rows = _frames(3, 300)
+    df = spark.createDataFrame(rows, "video_id long, frame_id long, pts_us long, pict_type string")
+    segs = {(r.video_id, r.chunk_id): r for r in CH.keyframe_segments(df, 6, block_us=250_000).collect()}
+    fr = CH.keyframe_segments(df, 6, block_us=250_000, with_frames=True).collect()
+    assert len(fr) == len(rows)
+    for f in fr:
+        s = segs[(f.video_id, f.chunk_id)]
+        assert s.first_pts_us <= f.pts_us <= s.last_pts_us
+        assert f.pts_in_chunk_us == f.pts_us - s.first_pts_us          # timestamps restart per chunk
+    counts = {}
+    for f in fr:
+        counts[(f.video_id, f.chunk_id)] = counts.get((f.video_id, f.chunk_id), 0) + 1
+    assert counts == {k: s.frame_count for k, s in segs.items()}
