@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.catalog import register
+from framelake.catalog import ORACLES, register
 from framelake.operators import kernels as K
 from framelake.operators import pixels as PX
 from framelake.oracle import with_fx
@@ -389,6 +389,15 @@ def q_annotate_box(spark, d):
     return PX.annotate_pixels(px, _first_boxes(spark, d))
 
 
+@register("annotate_frames", ORACLES["annotate_box"])
+def q_annotate_frames(spark, d):
+    """I7 on the production path: numpy outline per frame row."""
+    frames = TD.pixel_frames(spark, d)
+    tpl = _template(spark, d)
+    det = PX.first_frame_detection(frames, lambda f: PX.detect_frames(f, tpl, THRESHOLD))
+    return frames_to_pixels(PX.annotate_frames(frames, det.drop("frame_no")))
+
+
 @register("bbox_clip", with_fx(f"""
     SELECT video_id, frame_no, x, y, least(w, {SIDE} - x) AS w, least(h, {SIDE} - y) AS h FROM (
       SELECT DISTINCT video_id, frame_no, CAST(frame_no % 8 AS INTEGER) AS x,

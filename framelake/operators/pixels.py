@@ -326,6 +326,30 @@ def replace_frames(frames: DataFrame, template: np.ndarray, logo: np.ndarray,
     return frames.mapInPandas(run, schema)
 
 
+def annotate_frames(frames: DataFrame, boxes: DataFrame, keys: tuple[str, ...] = ("video_id",),
+                    thickness: int = 2) -> DataFrame:
+    """I7 on frame rows: draw each video's detected box (green outline,
+    ``thickness`` px) into its frames; frames without a detection pass through."""
+    ship_package(frames.sparkSession)
+    b = boxes.select(*keys, "detected", "x", "y", "w", "h")
+    j = join_small(frames, b, list(keys), "left")
+    schema = frames.schema
+
+    def run(batches):
+        for p in batches:
+            data = []
+            for row in p.itertuples(index=False):
+                img = _img(row.data, row.height, row.width, row.nChannels)
+                if row.detected is True or row.detected == 1:
+                    img = K.annotate(img, int(row.x), int(row.y), int(row.w), int(row.h), thickness)
+                data.append(img.tobytes())
+            out = p[[f.name for f in schema.fields]].copy()
+            out["data"] = data
+            yield out
+
+    return j.mapInPandas(run, schema)
+
+
 PATCH_FIELDS = [T.StructField("px", T.IntegerType()), T.StructField("py", T.IntegerType()),
                 T.StructField("pw", T.IntegerType()), T.StructField("ph", T.IntegerType()),
                 T.StructField("patch", T.BinaryType())]
