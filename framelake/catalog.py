@@ -415,5 +415,8 @@ def q_quarantine_frames(spark, d):
 def q_frame_size_stats(spark, d):
     from framelake.operators.metrics import size_stats
     return size_stats(TD.frames(spark, d), "size_bytes")
-import framelake.catalog_pixels  # noqa: E402,F401  (registers pixel queries)
-import framelake.catalog_media  # noqa: E402,F401  (registers media/metrics/stream queries)
+
+
+# The other query groups register themselves into QUERIES / ORACLES on import.
+import framelake.catalog_pixels  # noqa: E402,F401  (pixel queries)
+import framelake.catalog_media  # noqa: E402,F401  (media, metrics, streaming, linear algebra)
