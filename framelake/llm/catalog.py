@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontaminate, language, packing, quality
+from framelake.llm import decontaminate, language, packing, pii, quality, toxicity
 from framelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +33,21 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.digest(table(spark, sf_dir, "documents"))
 
 
+@register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op8_decontaminate", decontaminate.DIGEST_SQL)
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 @register("op10_pack")
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"))
