@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontaminate, language, packing, pii, quality, toxicity
+from framelake.llm import decontaminate, language, packing, pii, quality, substrings, toxicity
 from framelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op5_substrings")
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
 @register("op8_decontaminate", decontaminate.DIGEST_SQL)
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

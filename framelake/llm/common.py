@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +61,33 @@ def fold(column: str, parts: int) -> Column:
 
 def columns_of(docs: DataFrame) -> list[str]:
     return [f"`{c}`" for c in docs.columns]
+
+
+class Sieve:
+    """A bitmap of fixed size (4 MB) of key hashes, for taking rows that can
+    have a partner out of a wide table before it is shuffled.  It only ever
+    passes too many rows; the join that follows is exact."""
+
+    SLOTS = 1 << 25
+
+    def __init__(self, keys: DataFrame, *columns: str):
+        self.columns = columns
+        slot = self._slot()
+        rows = (keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at"))
+                .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toPandas())
+        bits = np.zeros(self.SLOTS >> 6, np.int64)
+        bits[rows["at"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
+        self.bits = keys.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
+
+    def _slot(self) -> Column:
+        return F.pmod(F.xxhash64(*self.columns), F.lit(self.SLOTS))
+
+    def take(self, df: DataFrame, passing: bool = True) -> DataFrame:
+        """The rows of ``df`` whose key may be known, or all the others."""
+        bits = self.bits
+
+        def make(b: pa.RecordBatch):
+            slot = b.column(b.num_columns - 1).to_numpy().astype(np.int64)
+            hit = (bits.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+            return b.select(b.schema.names[:-1]).filter(pa.array((hit == 1) == passing))
+        return arrow_map(df.withColumn("_slot", self._slot()), make, df.schema)
