@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from framelake.session import shared_dir, ship_package
 
-BATCH_ROWS = 1000      # rows handed on per Arrow batch by the operators
+BATCH_ROWS = 1000      # rows of an Arrow batch: whole texts, so a batch of Spark's 10,000 is large
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,7 @@ def arrow_map(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.Record
               schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
     ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches):
         for b in batches:
@@ -50,6 +51,7 @@ def arrow_map(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.Record
                     yield out
                 else:
                     yield from out
+        pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 

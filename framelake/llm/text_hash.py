@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20          # bytes hashed at once; a longer text is a slice of its own
+SLICE_BYTES = 1 << 18          # bytes hashed at once; a longer text is a slice of its own
 
 _B = np.arange(256)
 LOWER = np.where((_B >= 65) & (_B <= 90), _B + 32, _B).astype(np.uint8)
