@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontaminate, language, packing, pii, quality, simhash, substrings, toxicity
+from framelake.llm import decontaminate, jaccard, language, packing, pii, quality, simhash, substrings, toxicity
 from framelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
 
 
+@register("op6_jaccard", jaccard.DIGEST_SQL)
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digest(table(spark, sf_dir, "documents"))
+
+
 @register("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))

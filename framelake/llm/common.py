@@ -35,12 +35,16 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
-def arrow_map(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch | None],
-              schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with a function of one batch."""
+def arrow_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with batches small enough for whole texts."""
     ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
 
+def arrow_map(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch | None],
+              schema: str | T.StructType) -> DataFrame:
+    """:func:`arrow_rows` with a function of one batch."""
     def run(batches):
         for b in batches:
             if b.num_rows:
@@ -52,7 +56,7 @@ def arrow_map(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.Record
                 else:
                     yield from out
         pa.default_memory_pool().release_unused()
-    return df.mapInArrow(run, schema)
+    return arrow_rows(df, run, schema)
 
 
 def fold(column: str, parts: int) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import arrow_map, cut, fold
+from framelake.llm.common import arrow_map, arrow_rows, cut, fold
 from framelake.llm.text_hash import slices
 
 DIM = 1 << 13
@@ -158,12 +158,6 @@ def fit(docs: DataFrame, learn: Column, sample_per_language: int = SAMPLE_PER_LA
     return Model(idf, stacked, owner, floor)
 
 
-def arrow_rows(df: DataFrame, run, schema: str) -> DataFrame:
-    from framelake.session import ship_package
-    ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
-
-
 def dense(at, v) -> np.ndarray:
     x = np.zeros(DIM, np.float32)
     x[list(at)] = v

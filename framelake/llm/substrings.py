@@ -183,8 +183,9 @@ def repeated(docs: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WI
             return found
         # what is open may still match a part of a finished unit: one of each kind goes along
         open_units = cut(alive.join(hulls, "hull", "left_anti"), f"open-{width}")
-        partners = (done.join(open_units.select("core").distinct(), "core", "left_semi")
-                    .groupBy("core", "hull").agg(F.min(F.struct("doc_id", "h", "p")).alias("r")).select("r.*"))
+        one = done.groupBy("core", "hull").agg(F.min(F.struct("doc_id", "h", "p")).alias("r"))
+        open_cores = cut(open_units.select("core").distinct(), f"open-cores-{width}")
+        partners = one.join(open_cores, "core", "left_semi").select("r.*")
         units = cut(open_units.select("doc_id", "h", "p").unionByName(partners).distinct(), f"next-{width}")
     return found
 
