@@ -76,8 +76,10 @@ class Sieve:
 
     SLOTS = 1 << 25
 
-    def __init__(self, keys: DataFrame, *columns: str):
-        self.columns = columns
+    def __init__(self, keys: DataFrame, *columns: str, hashed: bool = False):
+        """``hashed``: the one column is a hash already and its low bits are
+        the slot."""
+        self.columns, self.hashed = columns, hashed
         slot = self._slot()
         rows = (keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at"))
                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toPandas())
@@ -86,8 +88,16 @@ class Sieve:
         self.bits = keys.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
 
     def _slot(self) -> Column:
+        if self.hashed:
+            return F.col(self.columns[0]).bitwiseAND(F.lit(self.SLOTS - 1))
         return F.pmod(F.xxhash64(*self.columns), F.lit(self.SLOTS))
 
+    @staticmethod
+    def hits(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Which hashes (uint64) may be known; ``bits`` is the broadcast value."""
+        slot = hashes & np.uint64(Sieve.SLOTS - 1)
+        return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
     def take(self, df: DataFrame, passing: bool = True) -> DataFrame:
         """The rows of ``df`` whose key may be known, or all the others."""
         bits = self.bits

@@ -5,16 +5,17 @@ a class are hashed into groups, and its counts per group are a point; the sum
 of coordinate minima of two points bounds the overlap of their sets.
 
 Two sets within the threshold share an n-gram among the first few of each
-under any common order (their prefix), so classes meet by prefix n-gram.  The
-order puts n-grams that are rare in the corpus first, by a count sketch of
-fixed size.  Classes that share a prefix n-gram form a cell.  First every
-class is tried against the least class of its cells, which joins groups of
-copies in time that grows with their size, not its square.  Then the cells in
-which several components are left get an R-tree over their points that yields
-every pair of different components that the bound allows; a cell of more than
-``CELL`` classes is dealt over pairs of its blocks.  All surviving pairs are
-verified by exact intersection of their sets.  Links inside a component found
-before are implied and not tried again.
+under any common order (their prefix), so classes meet by prefix n-gram, and
+the n-grams from there on bound their overlap once more.  The order puts
+n-grams last that many prefixes share under the plain order by hash; a bitmap
+of fixed size holds them.  Classes that share a prefix n-gram form a cell.
+First every class is tried against the class of its cells that meets most
+others, which joins groups of copies in time that grows with their size, not
+its square.  Then the cells in which several components are left get an R-tree
+over their points that yields every pair of different components that the
+bounds allow; a cell of more than ``CELL`` classes is dealt over pairs of its
+blocks.  All surviving pairs are verified by exact intersection of their sets.
+Links inside a component found before are implied and not tried again.
 
 Null and empty texts have no n-gram and link with nothing; a text of fewer
 words is one n-gram.  A row with a null id links with nothing and has a null
@@ -35,8 +36,7 @@ from framelake.llm.rtree import RTree
 from framelake.llm.text_hash import NOT_SPACE, mix, slices, windows, words
 
 GROUPS = 32                 # coordinates of a point
-SKETCH = 1 << 18            # counters of the sketch (1 MB)
-SKETCH_PART = 1 << 12
+COMMON = 32                 # an n-gram in as many prefixes goes last
 CELL = 2048
 
 
@@ -59,53 +59,44 @@ def set_name(grams: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].astype(np.int64))
 
 
-def _points(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
-    """One row per text (doc_id, size, name, point), and the count sketch."""
-    def run(batches):
-        sketch = np.zeros(SKETCH, np.int64)
-        for b in batches:
-            size, name, point = [0] * b.num_rows, [None] * b.num_rows, [None] * b.num_rows
-            for i, g in sets(b.column(1), n):
-                size[i], name[i] = len(g), set_name(g)
-                point[i] = np.bincount((g >> np.uint64(59)).astype(np.int64), minlength=GROUPS).astype(np.int32)
-                np.add.at(sketch, (g & np.uint64(SKETCH - 1)).astype(np.int64), 1)
-            none = pa.nulls(b.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.array(point, pa.list_(pa.int32())),
-                                              none, none], names=["doc_id", "size", "name", "point", "slot", "seen"])
-        slot = np.flatnonzero(sketch)
-        for k in range(0, len(slot), SKETCH_PART):
-            at = slot[k:k + SKETCH_PART]
-            none = pa.nulls(len(at), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(at), pa.list_(pa.int32())), pa.array(at), pa.array(sketch[at])],
-                                             names=["doc_id", "size", "name", "point", "slot", "seen"])
-    both = cut(arrow_rows(docs, run, "doc_id long, size long, name long, point array<int>, slot long, seen long"), "jaccard-points")
-    summed = both.where("slot is not null").groupBy("slot").agg(F.sum("seen").alias("seen")).toPandas()      # at most SKETCH rows
-    sketch = np.zeros(SKETCH, np.int64)
-    sketch[summed["slot"].to_numpy(dtype=np.int64)] = summed["seen"].to_numpy(dtype=np.int64)
-    return both.where("slot is null").drop("slot", "seen"), sketch
-
-
-def _prefixes(docs: DataFrame, sketch: np.ndarray, n: int, part: int, whole: int) -> DataFrame:
-    """(gram, name): the rarest n-grams of every set, as many as a partner
-    can't avoid.  A set that a task meets again is not repeated."""
-    counts = docs.sparkSession.sparkContext.broadcast(np.minimum(sketch, np.iinfo(np.int32).max).astype(np.int32))
+def _points(docs: DataFrame, n: int) -> DataFrame:
+    """One row per text: doc_id, size, name and point of its set."""
+    def make(b: pa.RecordBatch):
+        size, name, point = [0] * b.num_rows, [None] * b.num_rows, [None] * b.num_rows
+        for i, g in sets(b.column(1), n):
+            size[i], name[i] = len(g), set_name(g)
+            point[i] = np.bincount((g >> np.uint64(59)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.array(point, pa.list_(pa.int32()))],
+                                          names=["doc_id", "size", "name", "point"])
+    return arrow_map(docs, make, "doc_id long, size long, name long, point array<int>")
+
+
+def _prefixes(docs: DataFrame, common: Sieve | None, n: int, part: int, whole: int) -> DataFrame:
+    """(gram, name, size, rest): the first n-grams of every set, as many as a
+    partner can't avoid, and how many of the set are not before each.  A set
+    that a task meets again is not repeated."""
+    bits = common.bits if common else None
 
     def run(batches):
         seen: set[int] = set()
         for b in batches:
-            grams, names = [], []
+            grams, names, sizes, rests = [], [], [], []
             for _, g in sets(b.column(1), n):
                 name = set_name(g)
                 if name in seen:
                     continue
                 seen.add(name)
                 keep = len(g) - -(-part * len(g) // whole) + 1
-                rare = g[np.lexsort((g, counts.value[(g & np.uint64(SKETCH - 1)).astype(np.int64)]))][:keep]
-                grams.append(rare.view(np.int64))
+                if bits is not None:                  # ``g`` is sorted: rare ones in order, then common ones
+                    late = Sieve.hits(bits.value, g)
+                    g = np.concatenate([g[~late], g[late]])
+                grams.append(g[:keep].view(np.int64))
                 names.append(np.full(keep, name, np.int64))
+                sizes.append(np.full(keep, len(g), np.int32))
+                rests.append(np.arange(len(g), len(g) - keep, -1, dtype=np.int32))
             if grams:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams)), pa.array(np.concatenate(names))], names=["gram", "name"])
-    return arrow_rows(docs, run, "gram long, name long")
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (grams, names, sizes, rests)], names=["gram", "name", "size", "rest"])
+    return arrow_rows(docs, run, "gram long, name long, size int, rest int")
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
@@ -143,14 +134,15 @@ def _bounded(pairs: DataFrame, classes: DataFrame, part: int, whole: int) -> Dat
 
 
 def _cells(rows: DataFrame, part: int, whole: int) -> DataFrame:
-    """``rows``: gram, name, label, size, point, n (classes of the gram).
-    Pairs of different labels within a gram that the points allow."""
+    """``rows``: gram, name, label, size, rest, point, n (classes of the gram).
+    Pairs of different labels within a gram that the bounds allow."""
     blocks = F.ceil(F.col("n") / CELL).cast("int")
     home = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
+    cols = ["name", "label", "size", "rest", "point"]
     dealt = (rows.withColumn("blocks", blocks).withColumn("home", home)
-             .select("gram", "name", "label", "size", "point", "home", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-             .withColumn("i", F.least("home", "other")).withColumn("j", F.greatest("home", "other")))
-    dealt = (dealt.select("gram", "i", "j", "name", "label", "size", "point").repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j"))
+             .select("gram", *cols, "home", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+             .select("gram", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), *cols)
+             .repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j"))
 
     def run(batches):
         held: list[pa.Table] = []
@@ -159,7 +151,7 @@ def _cells(rows: DataFrame, part: int, whole: int) -> DataFrame:
             t = pa.concat_tables(held).combine_chunks()
             names = t["name"].to_numpy()
             points = t["point"].combine_chunks().flatten().to_numpy().reshape(len(names), GROUPS)
-            tree = RTree(points, t["size"].to_numpy(), t["label"].to_numpy())
+            tree = RTree(points, t["size"].to_numpy(), t["label"].to_numpy(), t["rest"].to_numpy())
             found = list(tree.partners(part, whole))
             if found:
                 a, b = names[np.concatenate([f[0] for f in found])], names[np.concatenate([f[1] for f in found])]
@@ -185,22 +177,29 @@ def join(docs: DataFrame, n: int = 5, part: int = 80, whole: int = 100) -> DataF
     links between texts whose sets of ``n``-word shingles have a Jaccard
     similarity of at least part/whole."""
     rows = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    points, sketch = _points(rows, n)
+    points = cut(_points(rows, n), "jaccard-points")
     known = rows.where("doc_id is not null")
     classes = cut(points.where("name is not null and doc_id is not null").groupBy("name").agg(F.min(F.struct("doc_id", "size", "point")).alias("r"))
                   .select("name", "r.*"), "jaccard-classes")
-    prefixes = _prefixes(known, sketch, n, part, whole)
-    shared = cut(prefixes.groupBy("gram").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo <> hi").select("gram", "lo"), "jaccard-shared")
-    cells = cut(prefixes.join(shared, "gram").select("gram", "name", "lo"), "jaccard-cells")
-
-    # every class against the least one of its cells
-    star = cells.where("name <> lo").select(F.col("name").alias("a"), F.col("lo").alias("b")).distinct()
+    common = _prefixes(known, None, n, part, whole).groupBy("gram").agg(F.min("name").alias("lo"), F.max("name").alias("hi"), F.count("*").alias("n"))
+    common = Sieve(cut(common.where(f"lo <> hi and n >= {COMMON}").select("gram"), "jaccard-common"), "gram", hashed=True)
+    prefixes = _prefixes(known, common, n, part, whole)
+    shared = prefixes.groupBy("gram").agg(F.min("name").alias("lo"), F.max("name").alias("hi"), F.count("*").alias("n"))
+    shared = cut(shared.where("lo <> hi").select("gram", "n"), "jaccard-shared")
+    cells = cut(prefixes.join(shared, "gram").select("gram", "name", "size", "rest", "n"), "jaccard-cells")
+
+    # every class against the one of its cells that meets most others
+    meets = cut(cells.groupBy("name").agg(F.sum("n").alias("meets")), "jaccard-meets")
+    center = cells.join(meets, "name").groupBy("gram").agg(F.max(F.struct("meets", F.col("name").alias("b"), F.col("size").alias("nb"), F.col("rest").alias("rb"))).alias("c"))
+    center = cut(center.select("gram", "c.b", "c.nb", "c.rb"), "jaccard-center")
+    star = cells.join(center, "gram").where(F.col("name") != F.col("b")).where(
+        F.least("rest", "rb") * (whole + part) >= (F.col("size") + F.col("nb")) * part).select(F.col("name").alias("a"), "b").distinct()
     links = cut(_verify(cut(_bounded(star, classes, part, whole), "jaccard-star"), classes, rows, n, part, whole), "jaccard-links")
     label = components(links)
 
     # cells in which several components are left
-    cells = cells.select("gram", "name").distinct().join(label.withColumnRenamed("node", "name"), "name", "left")
-    cells = cut(cells.select("gram", "name", F.coalesce("label", "name").alias("label")), "jaccard-labelled")
+    cells = cells.groupBy("gram", "name").agg(F.first("rest").alias("rest")).join(label.withColumnRenamed("node", "name"), "name", "left")
+    cells = cut(cells.select("gram", "name", "rest", F.coalesce("label", "name").alias("label")), "jaccard-labelled")
     mixed = cut(cells.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("gram", "n"), "jaccard-mixed")
     open_cells = cells.join(mixed, "gram").join(classes.select("name", "size", "point"), "name")
     pairs = cut(_cells(open_cells, part, whole), "jaccard-pairs")

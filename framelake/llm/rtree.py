@@ -22,16 +22,18 @@ class RTree:
     points.  The overlap of a set with any set below a node is at most the
     sum of coordinate minima of its counts and the node's maxima."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, limits: np.ndarray):
+        """``limits``: a bound of its own on the overlap of each point."""
         self.order = self._sort(points)
-        self.points, self.sizes, self.labels = points[self.order], sizes[self.order], labels[self.order]
+        self.points, self.sizes, self.labels, self.limits = points[self.order], sizes[self.order], labels[self.order], limits[self.order]
         self.levels: list[tuple[np.ndarray, ...]] = []
-        top, least, most, one, other = self.points, self.sizes, self.sizes, self.labels, self.labels
+        top, least, most, one, other, limit = self.points, self.sizes, self.sizes, self.labels, self.labels, self.limits
         while len(top) > LEAF:
             at = np.arange(0, len(top), LEAF)
             top, least, most = np.maximum.reduceat(top, at), np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)
             one, other = np.minimum.reduceat(one, at), np.maximum.reduceat(other, at)
-            self.levels.append((top, least, most, one, other))
+            limit = np.maximum.reduceat(limit, at)
+            self.levels.append((top, least, most, one, other, limit))
 
     @staticmethod
     def _sort(points: np.ndarray) -> np.ndarray:
@@ -53,18 +55,18 @@ class RTree:
         similarity of part/whole and whose labels differ; each pair once."""
         for q in range(len(self.points)):
             nodes = None
-            for top, least, most, one, other in reversed(self.levels):
+            for top, least, most, one, other, limit in reversed(self.levels):
                 nodes = np.arange(len(top)) if nodes is None else (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
                 nodes = nodes[nodes < len(top)]
-                nodes = nodes[self._may(q, top[nodes], least[nodes], most[nodes], part, whole) & ((one[nodes] != self.labels[q]) | (other[nodes] != self.labels[q]))]
+                nodes = nodes[self._may(q, top[nodes], least[nodes], most[nodes], limit[nodes], part, whole) & ((one[nodes] != self.labels[q]) | (other[nodes] != self.labels[q]))]
             at = np.arange(len(self.points)) if nodes is None else (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
             at = at[(at < len(self.points)) & (at > q)]
             at = at[self.labels[at] != self.labels[q]]
-            at = at[self._may(q, self.points[at], self.sizes[at], self.sizes[at], part, whole)]
+            at = at[self._may(q, self.points[at], self.sizes[at], self.sizes[at], self.limits[at], part, whole)]
             if len(at):
                 yield np.full(len(at), self.order[q]), self.order[at]
 
-    def _may(self, q, top, least, most, part, whole) -> np.ndarray:
+    def _may(self, q, top, least, most, limit, part, whole) -> np.ndarray:
         n = int(self.sizes[q])
-        bound = np.minimum(self.points[q], top).sum(1)
+        bound = np.minimum(np.minimum(self.points[q], top).sum(1), np.minimum(self.limits[q], limit))
         return (bound >= overlap_needed(n, least, part, whole)) & (most * whole >= n * part) & (n * whole >= least * part)
