@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 
 from framelake.llm.common import Sieve, arrow_map, arrow_rows, cut, keyed
 from framelake.llm.components import components
-from framelake.llm.rtree import RTree
+from framelake.llm.rtree import LEAF, RTree, allowed
 from framelake.llm.text_hash import NOT_SPACE, mix, slices, windows, words
 
-GROUPS = 32                 # coordinates of a point
+GROUPS = 128                # coordinates of a point
 COMMON = 32                 # an n-gram in as many prefixes goes last
 CELL = 2048
 
@@ -65,7 +65,7 @@ def _points(docs: DataFrame, n: int) -> DataFrame:
         size, name, point = [0] * b.num_rows, [None] * b.num_rows, [None] * b.num_rows
         for i, g in sets(b.column(1), n):
             size[i], name[i] = len(g), set_name(g)
-            point[i] = np.bincount((g >> np.uint64(59)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+            point[i] = np.bincount((g >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype(np.int32)
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.array(point, pa.list_(pa.int32()))],
                                           names=["doc_id", "size", "name", "point"])
     return arrow_map(docs, make, "doc_id long, size long, name long, point array<int>")
@@ -145,33 +145,47 @@ def _cells(rows: DataFrame, part: int, whole: int) -> DataFrame:
              .repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j"))
 
     def run(batches):
-        held: list[pa.Table] = []
-
-        def pairs():
-            t = pa.concat_tables(held).combine_chunks()
-            names = t["name"].to_numpy()
-            points = t["point"].combine_chunks().flatten().to_numpy().reshape(len(names), GROUPS)
-            tree = RTree(points, t["size"].to_numpy(), t["label"].to_numpy(), t["rest"].to_numpy())
-            found = list(tree.partners(part, whole))
-            if found:
-                a, b = names[np.concatenate([f[0] for f in found])], names[np.concatenate([f[1] for f in found])]
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
-        now = None
+        held = None
         for b in batches:
             t = pa.Table.from_batches([b])
+            t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
             key = np.stack([t[c].to_numpy().astype(np.int64) for c in ("gram", "i", "j")], 1)
-            edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
-            for x, y in zip(edges, edges[1:]):
-                if held and not np.array_equal(key[x], now):
-                    yield from pairs()
-                    held.clear()
-                now = key[x]
-                held.append(t.slice(x, y - x))
-        if held:
-            yield from pairs()
+            edge = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+            done = int(edge[-1]) if len(edge) else 0          # the last cell may go on in the next batch
+            held = t.slice(done)
+            if done:
+                yield from _pairs(t.slice(0, done), np.concatenate(([0], edge)), part, whole)
+        if held is not None and held.num_rows:
+            yield from _pairs(held, np.array([0, held.num_rows]), part, whole)
     return arrow_rows(dealt, run, "a long, b long").distinct()
 
 
+def _pairs(cells: pa.Table, edge: np.ndarray, part: int, whole: int):
+    """Pairs of whole cells (rows edge[k] .. edge[k + 1] - 1).  A cell that is
+    one leaf needs no tree: such cells are tried side by side."""
+    cells = cells.combine_chunks()
+    names, labels = cells["name"].to_numpy(), cells["label"].to_numpy()
+    sizes, limits = cells["size"].to_numpy().astype(np.int64), cells["rest"].to_numpy().astype(np.int64)
+    points = cells["point"].combine_chunks().flatten().to_numpy().reshape(len(names), GROUPS)
+    size = np.diff(edge)
+    end = np.repeat(np.where(size <= LEAF, edge[1:], 0), size)
+    found = []
+    for d in range(1, LEAF):
+        a = np.flatnonzero(np.arange(len(names)) + d < end)
+        if not len(a):
+            break
+        found.append(allowed(points, sizes, labels, limits, a, a + d, part, whole))
+    for k in np.flatnonzero(size > LEAF).tolist():
+        own = slice(int(edge[k]), int(edge[k + 1]))
+        tree = RTree(points[own], sizes[own], labels[own], limits[own])
+        found += [(x + own.start, y + own.start) for x, y in tree.partners(part, whole)]
+    if found:
+        a, b = (names[np.concatenate(x)] for x in zip(*found))
+        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], 1), axis=0)
+        for k in range(0, len(pairs), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[k:k + 100_000, 0]), pa.array(pairs[k:k + 100_000, 1])], names=["a", "b"])
+
+
 def join(docs: DataFrame, n: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: components of the
     links between texts whose sets of ``n``-word shingles have a Jaccard

@@ -16,24 +16,36 @@ def overlap_needed(size_a, size_b, part: int, whole: int):
     return -(-total // (whole + part))
 
 
+def allowed(points, sizes, labels, limits, a: np.ndarray, b: np.ndarray, part: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (a[k], b[k]) of points those of different labels that the
+    bounds allow: sizes, limits, then the sum of coordinate minima."""
+    need = overlap_needed(sizes[a], sizes[b], part, whole)
+    ok = ((labels[a] != labels[b]) & (np.minimum(sizes[a], sizes[b]) * whole >= np.maximum(sizes[a], sizes[b]) * part)
+          & (np.minimum(limits[a], limits[b]) >= need))
+    a, b, need = a[ok], b[ok], need[ok]
+    good = np.zeros(len(a), bool)
+    for k in range(0, len(a), 1 << 14):
+        at = slice(k, k + (1 << 14))
+        good[at] = np.minimum(points[a[at]], points[b[at]]).sum(1) >= need[at]
+    return a[good], b[good]
+
+
 class RTree:
     """Points sorted by recursive halving along the widest coordinate.  Each
     node has the coordinate maxima, the size range and the label range of its
     points.  The overlap of a set with any set below a node is at most the
-    sum of coordinate minima of its counts and the node's maxima."""
+    sum of coordinate minima of its counts and the node's maxima.  ``limits``
+    is a further bound on the overlap of each point."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, limits: np.ndarray):
-        """``limits``: a bound of its own on the overlap of each point."""
         self.order = self._sort(points)
         self.points, self.sizes, self.labels, self.limits = points[self.order], sizes[self.order], labels[self.order], limits[self.order]
         self.levels: list[tuple[np.ndarray, ...]] = []
-        top, least, most, one, other, limit = self.points, self.sizes, self.sizes, self.labels, self.labels, self.limits
-        while len(top) > LEAF:
-            at = np.arange(0, len(top), LEAF)
-            top, least, most = np.maximum.reduceat(top, at), np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)
-            one, other = np.minimum.reduceat(one, at), np.maximum.reduceat(other, at)
-            limit = np.maximum.reduceat(limit, at)
-            self.levels.append((top, least, most, one, other, limit))
+        node = (self.points, self.sizes, self.sizes, self.labels, self.labels, self.limits)
+        while len(node[0]) > LEAF:
+            at = np.arange(0, len(node[0]), LEAF)
+            node = tuple(f.reduceat(x, at) for f, x in zip((np.maximum, np.minimum, np.maximum, np.minimum, np.maximum, np.maximum), node))
+            self.levels.append(node)
 
     @staticmethod
     def _sort(points: np.ndarray) -> np.ndarray:
@@ -51,22 +63,20 @@ class RTree:
         return np.concatenate(done) if done else np.zeros(0, np.int64)
 
     def partners(self, part: int, whole: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (as indexes of the points given) whose bound allows a
+        """Pairs (as indexes of the points given) whose bounds allow a
         similarity of part/whole and whose labels differ; each pair once."""
-        for q in range(len(self.points)):
-            nodes = None
+        n = len(self.points)
+        for q in range(n):
+            size, label = int(self.sizes[q]), self.labels[q]
+            at = None
             for top, least, most, one, other, limit in reversed(self.levels):
-                nodes = np.arange(len(top)) if nodes is None else (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
-                nodes = nodes[nodes < len(top)]
-                nodes = nodes[self._may(q, top[nodes], least[nodes], most[nodes], limit[nodes], part, whole) & ((one[nodes] != self.labels[q]) | (other[nodes] != self.labels[q]))]
-            at = np.arange(len(self.points)) if nodes is None else (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
-            at = at[(at < len(self.points)) & (at > q)]
-            at = at[self.labels[at] != self.labels[q]]
-            at = at[self._may(q, self.points[at], self.sizes[at], self.sizes[at], self.limits[at], part, whole)]
-            if len(at):
-                yield np.full(len(at), self.order[q]), self.order[at]
-
-    def _may(self, q, top, least, most, limit, part, whole) -> np.ndarray:
-        n = int(self.sizes[q])
-        bound = np.minimum(np.minimum(self.points[q], top).sum(1), np.minimum(self.limits[q], limit))
-        return (bound >= overlap_needed(n, least, part, whole)) & (most * whole >= n * part) & (n * whole >= least * part)
+                at = np.arange(len(top)) if at is None else (at[:, None] * LEAF + np.arange(LEAF)).ravel()
+                at = at[at < len(top)]
+                need = overlap_needed(size, least[at], part, whole)
+                at = at[((one[at] != label) | (other[at] != label)) & (most[at] * whole >= size * part) & (size * whole >= least[at] * part)
+                        & (np.minimum(self.limits[q], limit[at]) >= need) & (np.minimum(self.points[q], top[at]).sum(1) >= need)]
+            at = np.arange(n) if at is None else (at[:, None] * LEAF + np.arange(LEAF)).ravel()
+            at = at[(at < n) & (at > q)]
+            a, b = allowed(self.points, self.sizes, self.labels, self.limits, np.full(len(at), q), at, part, whole)
+            if len(a):
+                yield self.order[a], self.order[b]
