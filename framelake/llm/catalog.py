@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontaminate, jaccard, language, packing, pii, quality, simhash, substrings, toxicity
+from framelake.llm import decontaminate, jaccard, language, packing, passages, pii, quality, simhash, substrings, toxicity
 from framelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op4_passages")
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digest(table(spark, sf_dir, "documents"))
+
+
 @register("op5_substrings")
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
