@@ -33,6 +33,7 @@ SIZE = 2048
 END_ID = 0
 END_OF_TEXT = "<|endoftext|>"
 GROUP_TOKENS = 8 << 20        # tokens packed by one task; bounds its memory
+SPARE = 64                    # a bin with more room than size / SPARE is worth emptying
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -117,21 +118,17 @@ class Bins:
                 self.fill[y] += self.length[i]
 
     def improve(self) -> None:
-        """While a step increases the sum of squared fills: take from the
-        emptiest underfull bins and fill the others.  Each step raises the
-        sum, which is bounded, so the search ends."""
-        open_bins = sorted((b for b in range(len(self.items)) if 0 < self.fill[b] < self.size), key=lambda b: (self.fill[b], b))
-        while len(open_bins) > 1:
+        """While a step increases the sum of squared fills: take from bins
+        with much room, emptiest first, and fill the others, fullest first.
+        The sum is bounded, so the search ends."""
+        changed = True
+        while changed:
             changed = False
-            source = open_bins[0]
-            for target in reversed(open_bins[1:]):
-                while self.items[source] and self._step(source, target):
-                    changed = True
-                if not self.items[source]:
-                    break
-            if not changed:
-                open_bins.pop(0)         # no exchange helps this bin any more
-            open_bins = sorted((b for b in open_bins if 0 < self.fill[b] < self.size), key=lambda b: (self.fill[b], b))
+            open_bins = sorted((b for b in range(len(self.items)) if 0 < self.fill[b] < self.size), key=lambda b: (self.fill[b], b))
+            for source in [b for b in open_bins if self.size - self.fill[b] > self.size // SPARE]:
+                for target in reversed(open_bins):
+                    while target != source and self.items[source] and self.fill[source] <= self.fill[target] < self.size and self._step(source, target):
+                        changed = True
 
     def _step(self, a: int, b: int) -> bool:
         """The best exchange that moves tokens from bin a into the fuller b."""
@@ -227,7 +224,7 @@ def pack(pieces: DataFrame, size: int = SIZE, group_tokens: int = GROUP_TOKENS)
         groups = max(1, -(-tokens // group_tokens))
         packed = cut(_pack_groups(rest, groups, level, size), "packed")
         # a bin with little room is as good as full; the others are tried again together
-        spare = F.col("room") > size // 64
+        spare = F.col("room") > size // SPARE
         left = packed.where(spare).agg(F.sum("length")).first()[0] or 0
         again = groups > 1 and 0 < left < tokens
         part = packed.where(~spare) if again else packed
