@@ -235,13 +235,16 @@ def keep_one(docs: DataFrame, n: int = 5, part: int = 80, whole: int = 100) -> D
     """The rows of ``docs`` but for all of each component except its least id
     (one row of it where the id repeats).  Rows without a word or id stay."""
     got = cut(join(docs, n, part, whole), "jaccard-join")
-    gone = got.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = cut(got.where("doc_id <> component_id").select("doc_id").distinct(), "jaccard-gone")
     many = cut(got.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "jaccard-repeats")
-    if many.isEmpty():
-        return left
-    again = left.join(many, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates(["doc_id"])
-    return left.join(many, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(again)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    # only rows that may have to go, or to be told apart, are shuffled
+    sieve = Sieve(gone.union(many), "doc_id")
+    some = sieve.take(rows).join(gone, "doc_id", "left_anti")
+    if not many.isEmpty():
+        again = some.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        some = some.join(many, "doc_id", "left_anti").unionByName(again)
+    return sieve.take(rows, passing=False).unionByName(some).select("_row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:
