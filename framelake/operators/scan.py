@@ -31,6 +31,16 @@ def _prev_blocks(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _attach(d: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``d`` with the columns of its block's summary row.  NULL keys and NULL
+    blocks (a NULL order column; sorts first) are values like any other, as
+    in a window."""
+    on = [*keys, BLK]
+    s = summary.select(*[F.col(c).alias(f"_s_{c}") for c in on], *[c for c in summary.columns if c not in on])
+    cond = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in on]
+    return d.join(s, cond, "left").drop(*[f"_s_{c}" for c in on])
+
+
 def ordered_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                   block: Column, name: str = "ix") -> DataFrame:
     """Add ``name`` = 1-based position of each row within ``keys`` in ``order``.
@@ -42,9 +52,10 @@ def ordered_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     offs = counts.select(*keys, BLK, F.coalesce(F.sum("_n").over(_prev_blocks(keys)), F.lit(0))
                          .cast("bigint").alias("_off"))
     local = Window.partitionBy(*keys, BLK).orderBy(*order)
-    return (d.join(offs, [*keys, BLK])
-             .withColumn(name, (F.col("_off") + F.row_number().over(local)).cast("bigint"))
-             .drop(BLK, "_off"))
+    d = d.withColumn("_l", F.row_number().over(local))
+    return (_attach(d, offs, keys)
+             .withColumn(name, (F.col("_off") + F.col("_l")).cast("bigint"))
+             .drop(BLK, "_off", "_l"))
 
 
 def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -55,9 +66,10 @@ def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     per_blk = d.groupBy(*keys, BLK).agg(F.max("_v").alias("_bm"))
     carry = per_blk.select(*keys, BLK, F.max("_bm").over(_prev_blocks(keys)).alias("_carry"))
     local = Window.partitionBy(*keys, BLK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (d.join(carry, [*keys, BLK])
-             .withColumn(name, F.greatest(F.col("_carry"), F.max("_v").over(local)))
-             .drop(BLK, "_v", "_carry"))
+    d = d.withColumn("_l", F.max("_v").over(local))
+    return (_attach(d, carry, keys)
+             .withColumn(name, F.greatest(F.col("_carry"), F.col("_l")))
+             .drop(BLK, "_v", "_carry", "_l"))
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -72,9 +84,10 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     carry = per_blk.select(*keys, BLK, F.last("_bl", ignorenulls=True)
                            .over(_prev_blocks(keys)).alias("_carry"))
     local = Window.partitionBy(*keys, BLK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (d.join(carry, [*keys, BLK])
-             .withColumn(name, F.coalesce(F.last("_v", ignorenulls=True).over(local), F.col("_carry")))
-             .drop(BLK, "_v", "_carry"))
+    d = d.withColumn("_l", F.last("_v", ignorenulls=True).over(local))
+    return (_attach(d, carry, keys)
+             .withColumn(name, F.coalesce("_l", "_carry"))
+             .drop(BLK, "_v", "_carry", "_l"))
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -86,10 +99,10 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     carry = per_blk.select(*keys, BLK, F.lag("_bl").over(Window.partitionBy(*keys).orderBy(BLK))
                            .alias("_carry"))
     local = Window.partitionBy(*keys, BLK).orderBy(*order)
-    rn = F.row_number().over(local)
-    return (d.join(carry, [*keys, BLK])
-             .withColumn(name, F.when(rn == 1, F.col("_carry")).otherwise(F.lag("_v").over(local)))
-             .drop(BLK, "_v", "_carry"))
+    d = d.withColumn("_l", F.lag("_v").over(local)).withColumn("_edge", F.row_number().over(local) == 1)
+    return (_attach(d, carry, keys)
+             .withColumn(name, F.when(F.col("_edge"), F.col("_carry")).otherwise(F.col("_l")))
+             .drop(BLK, "_v", "_carry", "_l", "_edge"))
 
 
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -101,6 +114,8 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     carry = per_blk.select(*keys, BLK, F.lead("_bf").over(Window.partitionBy(*keys).orderBy(BLK))
                            .alias("_carry"))
     local = Window.partitionBy(*keys, BLK).orderBy(*order)
-    return (d.join(carry, [*keys, BLK])
-             .withColumn(name, F.coalesce(F.lead("_v").over(local), F.col("_carry")))
-             .drop(BLK, "_v", "_carry"))
+    # the last row of a block takes the next block's value, also where the next value is NULL
+    d = d.withColumn("_l", F.lead("_v").over(local)).withColumn("_edge", F.lead(F.lit(True)).over(local).isNull())
+    return (_attach(d, carry, keys)
+             .withColumn(name, F.when(F.col("_edge"), F.col("_carry")).otherwise(F.col("_l")))
+             .drop(BLK, "_v", "_carry", "_l", "_edge"))

@@ -40,14 +40,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder used for lineage cuts and written tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    runs, tests) a folder below the warehouse directory is configured.
+    Uses the cluster's ``spark.checkpoint.dir``.  Where that is unset, a local
+    master gets a folder below the warehouse directory; on a cluster this is
+    an error, as each machine would write to a disk of its own.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         wh = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         d = wh.rstrip("/") + "/framelake-checkpoints"

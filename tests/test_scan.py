@@ -59,3 +59,23 @@ def test_result_invariant_to_partition_count(spark, data):
     a = scan.ordered_index(data.repartition(1), ["k"], ["t", "id"], idiv(F.col("t"), F.lit(1000)))
     b = scan.ordered_index(data.repartition(13), ["k"], ["t", "id"], idiv(F.col("t"), F.lit(1000)))
     assert _cmp(a, b, ["k", "id", "ix"])
+
+
+def test_null_keys_orders_and_values(spark):
+    """NULL keys, order values and values behave as in a plain window."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from framelake.operators import scan as SC
+    rows = [(k, None if i % 11 == 5 else i * 7 % 40, i, None if i % 3 == 0 else i) for i, k in enumerate([1, None, 2, None, 1, 1, None] * 9)]
+    df = spark.createDataFrame(rows, "k int, t int, id int, v int")
+    order, blk = ["t", "id"], F.floor(F.col("t") / 8)
+    w = Window.partitionBy("k").orderBy(*order)
+    want = (df.withColumn("ix", F.row_number().over(w).cast("bigint")).withColumn("prev", F.lag("v").over(w)).withColumn("next", F.lead("v").over(w))
+            .withColumn("top", F.max("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("last", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    got = SC.ordered_index(df, ["k"], order, blk, "ix")
+    got = SC.previous_value(got, ["k"], order, blk, F.col("v"), "prev")
+    got = SC.next_value(got, ["k"], order, blk, F.col("v"), "next")
+    got = SC.running_max(got, ["k"], order, blk, F.col("v"), "top")
+    got = SC.fill_forward(got, ["k"], order, blk, F.col("v"), "last").select(want.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
