@@ -179,7 +179,7 @@ def test_pii(make_docs):
 
 def test_pii_is_linear():
     text = "a" * 200_000 + "@" + "1." * 100_000 + "9" * 200_000 + "+1" + "(" * 100_000
-    assert pii.base_spans(text)[:1] == [("email", 0, text.index("+") )] or pii.base_spans(text)
+    assert [s[:2] for s in pii.base_spans(text)][0] == ("email", 0)
 
 
 def test_packing(make_docs):
