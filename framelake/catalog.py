@@ -41,6 +41,7 @@ HOUR_US = 3600 * 1000000            # scan block for the events-based frame fixt
 DAY_US = 24 * HOUR_US
 PAYLOAD_FPS = (30000, 1001)         # constant frame rate used at reassembly
 BATCH_CORES = 8
+PART_FRAMES = 16                    # frames per part of a reassembled chunk
 PROGRESS_STEP = 100
 SLICE_START_US, SLICE_LEN_US = 3 * DAY_US, DAY_US
 
@@ -172,17 +173,15 @@ def q_keyframe_segments(spark, d):
 @register("keyframe_select", with_fx(
     "SELECT video_id, frame_id, pts_us, size_bytes FROM fx_frames WHERE pict_type = 'I'", "fx_frames"))
 def q_keyframe_select(spark, d):
-    return TD.frames(spark, d).where(F.col("pict_type") == "I").select(
-        "video_id", "frame_id", "pts_us", "size_bytes")
+    return TD.frames(spark, d, only="I").select("video_id", "frame_id", "pts_us", "size_bytes")
 
 
 @register("time_slice", with_fx(f"""
     SELECT video_id, frame_id, pts_us, pict_type FROM fx_frames
     WHERE pts_us >= {SLICE_START_US} AND pts_us < {SLICE_START_US + SLICE_LEN_US}""", "fx_frames"))
 def q_time_slice(spark, d):
-    f = TD.frames(spark, d)
-    return f.where((F.col("pts_us") >= SLICE_START_US) & (F.col("pts_us") < SLICE_START_US + SLICE_LEN_US)) \
-            .select("video_id", "frame_id", "pts_us", "pict_type")
+    f = TD.frames(spark, d, between=(SLICE_START_US, SLICE_START_US + SLICE_LEN_US))
+    return f.select("video_id", "frame_id", "pts_us", "pict_type")
 
 
 @register("keyframe_chunks", with_fx(f"""
@@ -245,10 +244,10 @@ def _numbered(spark, d):
 
 _EXPLODED_SQL = ("ex", """
     SELECT video_id, chunk_id, i + 1 AS local_no, substring(hex(payload), 128 * i + 1, 128) AS data_hex
-    FROM (SELECT video_id, chunk_id, payload, unnest(range(octet_length(payload) // 64)) AS i FROM fx_payload) p""")
+    FROM (SELECT video_id, chunk_id, payload, unnest(range((octet_length(payload) + 63) // 64)) AS i FROM fx_payload) p""")
 _OFFSETS_SQL = ("offs", """
-    SELECT video_id, chunk_id, octet_length(payload) // 64 AS frame_count,
-           CAST(coalesce(sum(octet_length(payload) // 64) OVER (PARTITION BY video_id ORDER BY chunk_id
+    SELECT video_id, chunk_id, (octet_length(payload) + 63) // 64 AS frame_count,
+           CAST(coalesce(sum((octet_length(payload) + 63) // 64) OVER (PARTITION BY video_id ORDER BY chunk_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS frame_offset
     FROM fx_payload""")
 _NUMBERED_SQL = ("numbered", """
@@ -289,12 +288,14 @@ def q_frame_store_roundtrip(spark, d):
 
 
 @register("chunk_manifest", with_fx("""
-    SELECT video_id, chunk_id, count(*) AS n_frames, min(frame_no) AS first_no, max(frame_no) AS last_no,
-           string_agg(CAST(frame_no AS VARCHAR), ',' ORDER BY frame_no) AS frame_nos
-    FROM numbered GROUP BY 1, 2""", "fx_payload", ctes=_PAYLOAD_CTES))
+    SELECT video_id, chunk_id, row_number() OVER (PARTITION BY video_id, chunk_id ORDER BY first_no) AS run_no,
+           first_no, last_no, n_frames
+    FROM (SELECT video_id, chunk_id, min(frame_no) AS first_no, max(frame_no) AS last_no, count(*) AS n_frames
+          FROM (SELECT video_id, chunk_id, frame_no,
+                       frame_no - row_number() OVER (PARTITION BY video_id, chunk_id ORDER BY frame_no) AS run
+                FROM numbered) n GROUP BY video_id, chunk_id, run) r""", "fx_payload", ctes=_PAYLOAD_CTES))
 def q_chunk_manifest(spark, d):
-    m = FR.manifest(_numbered(spark, d).drop("data"))
-    return m.withColumn("frame_nos", F.array_join(F.col("frame_nos").cast("array<string>"), ","))
+    return FR.manifest(_numbered(spark, d))
 
 
 @register("frame_names", with_fx("""
@@ -325,23 +326,23 @@ def q_frame_timestamps(spark, d):
                      .alias("pts_us"))
 
 
-@register("reassemble", with_fx("""
-    SELECT video_id, chunk_id, min(frame_no) AS first_no, max(frame_no) AS last_no, count(*) AS n_frames,
-           string_agg(data_hex, '' ORDER BY frame_no) AS payload_hex, CAST(count(*) * 64 AS BIGINT) AS n_bytes
-    FROM numbered GROUP BY 1, 2""", "fx_payload", ctes=_PAYLOAD_CTES))
+@register("reassemble", with_fx(f"""
+    SELECT video_id, chunk_id, (frame_no - 1) // {PART_FRAMES} AS part_no, min(frame_no) AS first_no,
+           max(frame_no) AS last_no, count(*) AS n_frames, string_agg(data_hex, '' ORDER BY frame_no) AS payload_hex,
+           CAST(sum(length(data_hex)) // 2 AS BIGINT) AS n_bytes
+    FROM numbered GROUP BY 1, 2, 3""", "fx_payload", ctes=_PAYLOAD_CTES))
 def q_reassemble(spark, d):
-    r = FR.reassemble(_numbered(spark, d), "strict")
-    return r.select("video_id", "chunk_id", "first_no", "last_no", "n_frames",
+    r = FR.reassemble(_numbered(spark, d), "strict", frames_per_part=PART_FRAMES)
+    return r.select("video_id", "chunk_id", "part_no", "first_no", "last_no", "n_frames",
                     F.hex("payload").alias("payload_hex"), F.length("payload").cast("bigint").alias("n_bytes"))
 
 
 @register("require_frames", with_fx("""
-    SELECT video_id, CAST(sum(octet_length(payload) // 64) AS BIGINT) AS n_frames FROM fx_payload GROUP BY 1""",
-    "fx_payload"))
+    SELECT video_id, chunk_id, CAST((octet_length(payload) + 63) // 64 AS BIGINT) AS n_frames
+    FROM fx_payload""", "fx_payload"))
 def q_require_frames(spark, d):
     counts = FR.chunk_frame_counts_from_payload(TD.payload(spark, d), TD.PAYLOAD_FRAME_BYTES)
-    per_video = counts.groupBy("video_id").agg(F.sum("frame_count").cast("bigint").alias("n_frames"))
-    return FR.require_frames(per_video, "n_frames")
+    return FR.require_frames(counts.withColumnRenamed("frame_count", "n_frames"), "n_frames")
 
 
 # ------------------------------------------------ ordered frame scans (F*)
@@ -380,11 +381,11 @@ def q_frame_gaps(spark, d):
 
 
 @register("first_frame", with_fx("""
-    SELECT video_id, arg_min(frame_id, pts_us) AS frame_id, min(pts_us) AS pts_us,
-           arg_min(pict_type, pts_us) AS pict_type, arg_min(size_bytes, pts_us) AS size_bytes
-    FROM fx_frames GROUP BY 1""", "fx_frames"))
+    SELECT video_id, frame_id, pts_us, pict_type, size_bytes FROM (
+      SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY pts_us, frame_id) AS rn FROM fx_frames) f
+    WHERE rn = 1""", "fx_frames"))
 def q_first_frame(spark, d):
-    return FR.first_frame(TD.frames(spark, d), frame_col="pts_us")
+    return FR.first_frame(TD.frames(spark, d), order=("pts_us", "frame_id"))
 
 
 @register("unprocessed_frames", with_fx("""

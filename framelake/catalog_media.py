@@ -253,7 +253,7 @@ def q_stream_resource_windows(spark, d):
 
 @register("stream_frames", with_fx("""
     SELECT video_id, chunk_id, i + 1 AS local_no, substring(hex(payload), 128 * i + 1, 128) AS data_hex
-    FROM (SELECT video_id, chunk_id, payload, unnest(range(octet_length(payload) // 64)) AS i FROM fx_payload) p""",
+    FROM (SELECT video_id, chunk_id, payload, unnest(range((octet_length(payload) + 63) // 64)) AS i FROM fx_payload) p""",
     "fx_payload"))
 def q_stream_frames(spark, d):
     """Chunk payloads ingested by a streaming file source into the frame store."""

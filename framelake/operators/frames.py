@@ -18,13 +18,19 @@ from framelake.functions.scalars import idiv
 from framelake.operators import scan
 
 
+def frame_count(n_bytes: Column, frame_bytes: int) -> Column:
+    """Frames in ``n_bytes`` bytes, a partial tail included."""
+    return idiv(n_bytes + F.lit(frame_bytes - 1), F.lit(frame_bytes)).cast("bigint")
+
+
 def explode_frames(chunks: DataFrame, frame_bytes: int, payload: str = "payload") -> DataFrame:
     """A4: one chunk row (raw fixed-size frames back to back) -> one row per
-    whole frame, ``local_no`` 1-based; a partial tail is dropped.
+    frame, ``local_no`` 1-based.  A partial tail is a row of its own, shorter
+    than ``frame_bytes``; empty and NULL payloads give no rows.
 
     ``sequence`` + ``substring`` is a narrow generator inside codegen; no UDF,
     no shuffle."""
-    n = idiv(F.length(payload), F.lit(frame_bytes))
+    n = frame_count(F.length(payload), frame_bytes)
     keep = [c for c in chunks.columns if c != payload]
     return (chunks.select(*keep, payload,
                           F.explode(F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1))).alias("_i"))
@@ -36,7 +42,8 @@ def explode_frames(chunks: DataFrame, frame_bytes: int, payload: str = "payload"
 def chunk_frame_counts_from_payload(chunks: DataFrame, frame_bytes: int, payload: str = "payload") -> DataFrame:
     """E1 on payloads: frames per chunk without materialising the frames."""
     return chunks.select("video_id", "chunk_id",
-                         idiv(F.length(payload), F.lit(frame_bytes)).cast("bigint").alias("frame_count"))
+                         F.coalesce(frame_count(F.length(payload), frame_bytes), F.lit(0).cast("bigint"))
+                          .alias("frame_count"))
 
 
 def chunk_offsets(counts: DataFrame, count_col: str = "frame_count") -> DataFrame:
@@ -59,13 +66,21 @@ def number_frames(frames: DataFrame, offsets: DataFrame) -> DataFrame:
                   .drop("frame_offset"))
 
 
-def manifest(frames: DataFrame) -> DataFrame:
-    """Per chunk: count, first/last number and the sorted frame numbers
-    (bounded by the chunk length)."""
-    return (frames.groupBy("video_id", "chunk_id")
-                  .agg(F.count(F.lit(1)).alias("n_frames"), F.min("frame_no").alias("first_no"),
-                       F.max("frame_no").alias("last_no"),
-                       F.sort_array(F.collect_list("frame_no")).alias("frame_nos")))
+def manifest(frames: DataFrame, block_frames: int = 4096) -> DataFrame:
+    """Per chunk the runs of consecutive frame numbers, one row each:
+    ``run_no`` (1-based), first and last number, and count.  A chunk without
+    holes is one row, however long it is; repeated numbers count once.
+
+    Frames minus their position is constant within a run; positions come from
+    the blocked ordered index, so no task holds a whole chunk."""
+    keys = ["video_id", "chunk_id"]
+    block = lambda c: idiv(F.col(c), F.lit(block_frames))
+    ix = scan.ordered_index(frames.select(*keys, "frame_no").distinct(), keys, ["frame_no"], block("frame_no"))
+    runs = (ix.groupBy(*keys, (F.col("frame_no") - F.col("ix")).alias("_run"))
+              .agg(F.min("frame_no").alias("first_no"), F.max("frame_no").alias("last_no"),
+                   F.count(F.lit(1)).alias("n_frames")))
+    numbered = scan.ordered_index(runs, keys, ["first_no"], block("first_no"), "run_no")
+    return numbered.select(*keys, "run_no", "first_no", "last_no", "n_frames")
 
 
 def frame_gaps(frames: DataFrame, keys: Sequence[str], frame_col: str, block: Column) -> DataFrame:
@@ -95,58 +110,65 @@ def progress_marks(frames: DataFrame, step: int, block: Column, order: Sequence[
     return ix.where(F.col("ix") % step == 0)
 
 
-def first_frame(frames: DataFrame, key: str = "video_id", frame_col: str = "frame_no") -> DataFrame:
-    """The first frame per video as a partial (map-side) aggregate."""
+def first_frame(frames: DataFrame, key: str = "video_id",
+                order: Sequence[str] = ("frame_no",)) -> DataFrame:
+    """The first frame per video in ``order`` (end it with a unique column
+    where the first may tie) as a partial (map-side) aggregate."""
     other = [c for c in frames.columns if c != key]
-    return (frames.groupBy(key).agg(F.min_by(F.struct(*other), F.col(frame_col)).alias("_f"))
+    return (frames.groupBy(key).agg(F.min_by(F.struct(*other), F.struct(*order)).alias("_f"))
                   .select(key, "_f.*"))
 
 
-# A reassembled chunk is one row, built through its hex form (2x): keep it
-# well below the 2 GB row limit.  Larger chunks are written as ordered frame
-# rows (the frame store) for an encoder to stream instead.
-MAX_CHUNK_BYTES = 512 * 1024 * 1024
-
-
 def reassemble(frames: DataFrame, policy: str = "strict", data: str = "data",
-               max_chunk_bytes: int = MAX_CHUNK_BYTES) -> DataFrame:
-    """Ordered reassembly of a chunk's frames into one payload.
-
-    One output row per *chunk* (never per video: a row is limited to 2 GB),
-    frames ordered by integer ``frame_no``.  Policies for holes in the
-    numbering: ``strict`` raises, ``skip`` concatenates what exists,
-    ``fill_previous`` repeats the previous frame for every missing number.
-    A chunk over ``max_chunk_bytes`` fails the job with a clear error
-    instead of an oversized row.
+               frames_per_part: int = 16) -> DataFrame:
+    """Ordered reassembly of a chunk's frames.
+
+    A chunk of any length becomes rows ``(video_id, chunk_id, part_no,
+    first_no, last_no, n_frames, payload)``, to be written one after the other
+    in ``part_no`` order: the frames of one part are those whose number lies
+    in one range of ``frames_per_part``, so no row or task grows with the
+    chunk.  Within a part frames are ordered by integer ``frame_no``.
+
+    Policies for holes in a chunk's numbering: ``strict`` raises, ``skip``
+    concatenates what exists, ``fill_previous`` repeats the previous frame for
+    every missing number.  A number that occurs twice raises under ``strict``
+    and is concatenated twice under ``skip``; under ``fill_previous`` the
+    copies follow its last occurrence (by bytes).
     """
-    g = (frames.groupBy("video_id", "chunk_id")
-               .agg(F.array_sort(F.collect_list(F.struct("frame_no", data))).alias("_fr"),
-                    F.min("frame_no").alias("first_no"), F.max("frame_no").alias("last_no"),
-                    F.count(F.lit(1)).alias("n_frames"), F.sum(F.length(data)).alias("_bytes")))
-    g = g.withColumn("_fr", F.when(F.col("_bytes") <= max_chunk_bytes, F.col("_fr")).otherwise(
-        F.raise_error(F.format_string("chunk %s/%s has %s bytes; reassemble at most %s per row",
-                                      "video_id", "chunk_id", "_bytes", F.lit(max_chunk_bytes)))
-         .cast(g.schema["_fr"].dataType)))
-    dense = (F.col("last_no") - F.col("first_no") + 1) == F.col("n_frames")
-    if policy == "strict":
-        g = g.withColumn("_fr", F.when(dense, F.col("_fr")).otherwise(
-            F.raise_error(F.format_string("gap in frames of video %s chunk %s", "video_id", "chunk_id"))
-             .cast(g.schema["_fr"].dataType)))
-        parts = F.transform("_fr", lambda x: F.hex(x[data]))
-    elif policy == "skip":
-        parts = F.transform("_fr", lambda x: F.hex(x[data]))
-    elif policy == "fill_previous":
-        # element k repeats until the next present number: next_no - no copies
-        nxt = F.transform("_fr", lambda x, i: F.coalesce(
-            F.get(F.col("_fr"), i + 1)["frame_no"], x["frame_no"] + 1))
-        g = g.withColumn("_next", nxt)
-        parts = F.transform(F.arrays_zip("_fr", "_next"),
-                            lambda z: F.repeat(F.hex(z["_fr"][data]),
-                                               (z["_next"] - z["_fr"]["frame_no"]).cast("int")))
-    else:
+    if policy not in ("strict", "skip", "fill_previous"):
         raise ValueError(f"unknown reassembly policy {policy!r}")
-    return g.select("video_id", "chunk_id", "first_no", "last_no", "n_frames",
-                    F.unhex(F.array_join(parts, "")).alias("payload"))
+    keys = ["video_id", "chunk_id"]
+    f = frames.select(*keys, "frame_no", F.col(data).alias("_data"))
+    if policy == "fill_previous":
+        # the copies are rows of their own, so a long hole spreads over parts
+        holes = frame_gaps(frames, keys, "frame_no", idiv(F.col("frame_no"), F.lit(4096)))
+        last = (f.join(holes.select(*keys, "frame_no", "next_no"), [*keys, "frame_no"])
+                 .groupBy(*keys, "frame_no", "next_no").agg(F.max("_data").alias("_data")))
+        f = f.unionByName(last.select(
+            *keys, F.explode(F.sequence(F.col("frame_no") + 1, F.col("next_no") - 1)).alias("frame_no"), "_data"))
+    part = idiv(F.col("frame_no") - 1, F.lit(frames_per_part)).cast("bigint")
+    g = (f.groupBy(*keys, part.alias("part_no"))
+          .agg(F.array_sort(F.collect_list(F.struct("frame_no", "_data"))).alias("_fr"),
+               F.min("frame_no").alias("first_no"), F.max("frame_no").alias("last_no"),
+               F.count(F.lit(1)).alias("n_frames")))
+    payload = F.aggregate("_fr", F.lit(b""), lambda acc, x: F.concat(acc, x["_data"]))
+    out = g.select(*keys, "part_no", "first_no", "last_no", "n_frames", payload.alias("payload"))
+    return _require_dense(out, keys) if policy == "strict" else out
+
+
+def _require_dense(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fails where the frame numbers of a chunk have a hole or a repeat: inside
+    a part, or between a part and the one before it (a window over part rows,
+    whose bytes stay out of it)."""
+    meta = parts.select(*keys, "part_no", "first_no", "last_no", "n_frames")
+    prev = scan.previous_value(meta, keys, ["part_no"], idiv(F.col("part_no"), F.lit(4096)),
+                               F.col("last_no"), "_prev")
+    bad = ((F.col("last_no") - F.col("first_no") + 1 != F.col("n_frames"))
+           | (F.col("first_no") != F.col("_prev") + 1))
+    checked = prev.groupBy(*keys).agg(F.max(F.coalesce(bad, F.lit(False))).alias("_bad"))
+    ok = F.when(~F.col("_bad"), F.col("n_frames")).otherwise(
+        F.raise_error(F.format_string("gap in frames of video %s chunk %s", *keys)).cast("bigint"))
+    return parts.join(checked, list(keys)).withColumn("n_frames", ok).drop("_bad")
 
 
 def unprocessed(extracted: DataFrame, processed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -154,8 +176,9 @@ def unprocessed(extracted: DataFrame, processed: DataFrame, keys: Sequence[str])
     return extracted.join(processed.select(*keys), list(keys), "left_anti")
 
 
-def require_frames(counts: DataFrame, count_col: str, what: str = "video_id") -> DataFrame:
-    """Fail the job when a unit produced no frames."""
+def require_frames(counts: DataFrame, count_col: str,
+                   keys: Sequence[str] = ("video_id", "chunk_id")) -> DataFrame:
+    """Fail the job when a unit (a chunk) produced no frames."""
+    unit = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
     return counts.withColumn(count_col, F.when(F.col(count_col) > 0, F.col(count_col)).otherwise(
-        F.raise_error(F.format_string("no frames extracted for %s", F.col(what).cast("string")))
-         .cast("bigint")))
+        F.raise_error(F.concat(F.lit("no frames extracted for "), unit)).cast("bigint")))

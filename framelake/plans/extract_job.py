@@ -2,22 +2,29 @@
 
 1. list the chunk files (``binaryFile``; ``length`` comes from the listing,
    so counting frames reads no content),
-2. per chunk: ``frame_count = length div frame_bytes`` and the exclusive
-   running offset (a window over the one-row-per-chunk table),
-3. explode each chunk's content into frames (narrow, in the chunk's task),
-4. number them ``offset + local_no`` (size-checked broadcast of the offsets),
+2. per chunk: its frame count and the exclusive running offset (a window over
+   the one-row-per-chunk table),
+3. plan byte ranges of a few frames each from the file lengths and spread them
+   over the tasks (metadata only),
+4. each task opens its ranges and emits one row per frame, numbered
+   ``offset + local_no``,
 5. write the partitioned frame store (dynamic overwrite per chunk).
 
+A file of any length is read in parallel and no row holds more than one frame.
+
 The video id is the chunk file's parent folder and the chunk id the number
 in its name (``chunk_%03d``); ordering is by that integer, never by text.
 """
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.functions.scalars import basename, idiv, strip_extension
+from framelake.functions.scalars import basename, strip_extension
 from framelake.operators import frames as FR
 from framelake.sources.frame_store import write_frame_store
 
@@ -40,18 +47,51 @@ def chunk_files(spark: SparkSession, root: str, glob: str = "*.mp4") -> DataFram
     return _raw(spark, root, glob).select("path", "length", *_keys())
 
 
+def _ranges(batches, frame_bytes: int):
+    """Reads ``n_bytes`` from ``start`` of ``path``, one frame at a time.  Paths
+    are opened through Arrow's filesystems (local, HDFS, S3 and others)."""
+    from pyarrow.fs import FileSystem
+    for b in batches:
+        for r in b.itertuples(index=False):
+            fs, inner = FileSystem.from_uri(re.sub(r"^file:/(?=[^/])", "file:///", r.path))
+            with fs.open_input_file(inner) as f:
+                for at in range(0, r.n_bytes, frame_bytes):
+                    data = f.read_at(min(frame_bytes, r.n_bytes - at), r.start + at)
+                    yield pd.DataFrame({
+                        "video_id": [r.video_id], "chunk_id": [r.chunk_id],
+                        "local_no": [(r.start + at) // frame_bytes + 1],
+                        "frame_no": [r.frame_offset + (r.start + at) // frame_bytes + 1], "data": [data]})
+
+
 def extract_frames(spark: SparkSession, root: str, frame_bytes: int, glob: str = "*.mp4",
-                   geometry: tuple[int, int, int] | None = None) -> DataFrame:
-    """Numbered frames of every chunk file (steps 1-4).  Each file's bytes are
-    read once, in its own task, and exploded there; only the per-chunk counts
-    and offsets (metadata) are shuffled.  ``geometry = (height, width,
-    channels)`` adds the frame-row columns the pixel operators read."""
+                   geometry: tuple[int, int, int] | None = None, frames_per_read: int = 16) -> DataFrame:
+    """Numbered frames of every chunk file (steps 1-4); each byte is read once.
+    ``geometry = (height, width, channels)`` adds the frame-row columns the
+    pixel operators read.
+
+    A partial frame at a file's end is a shorter row of its own; with a
+    ``geometry`` it fails the job, as it is no picture."""
+    from framelake.session import ship_package
+
     if geometry is not None and geometry[0] * geometry[1] * geometry[2] != frame_bytes:
         raise ValueError("geometry does not match frame_bytes")
-    counts = chunk_files(spark, root, glob).select(
-        "video_id", "chunk_id", idiv(F.col("length"), F.lit(frame_bytes)).cast("bigint").alias("frame_count"))
-    chunks = _raw(spark, root, glob).select(*_keys(), F.col("content").alias("payload"))
-    frames = FR.number_frames(FR.explode_frames(chunks, frame_bytes), FR.chunk_offsets(counts))
+    ship_package(spark)
+    files = chunk_files(spark, root, glob)
+    if geometry is not None:
+        whole = F.col("length") % frame_bytes == 0
+        files = files.withColumn("length", F.when(whole, F.col("length")).otherwise(F.raise_error(
+            F.concat(F.lit("partial frame at the end of "), F.col("path"))).cast("bigint")))
+    counts = files.withColumn("frame_count", FR.frame_count(F.col("length"), frame_bytes))
+    step = frame_bytes * frames_per_read
+    ranges = (FR.chunk_offsets(counts).where(F.col("length") > 0)
+                .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1,
+                                                          F.lit(step).cast("bigint"))))
+                .select("path", "video_id", "chunk_id", "frame_offset", "start",
+                        F.least(F.lit(step), F.col("length") - F.col("start")).alias("n_bytes")))
+    # a task's ranges are neighbours in one chunk, so the store gets few files per chunk
+    frames = (ranges.repartitionByRange("video_id", "chunk_id", "start")
+                    .mapInPandas(lambda bs: _ranges(bs, frame_bytes),
+                                 "video_id string, chunk_id bigint, local_no bigint, frame_no bigint, data binary"))
     if geometry is not None:
         h, w, c = geometry
         frames = frames.select("*", F.lit(h).alias("height"), F.lit(w).alias("width"), F.lit(c).alias("nChannels"))

@@ -35,7 +35,3 @@ def read_frame_store(spark: SparkSession, path: str) -> DataFrame:
     """Read the store back; filters on video_id/chunk_id prune partitions and
     filters on frame_no / pts_us are pushed into the Parquet scan."""
     return spark.read.parquet(path)
-
-
-def write_manifest(manifest: DataFrame, path: str) -> None:
-    manifest.write.mode("overwrite").parquet(path)

@@ -10,6 +10,8 @@ these definitions live in :mod:`framelake.oracle`; the two must stay equal.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,28 @@ def pts_us(ts_name: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EPOCH}', {ts_name})")
 
 
-def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_frames: frame metadata (key frames are the signup events)."""
+def _instant(us: int) -> Column:
+    """The TIMESTAMP_NTZ literal ``us`` microseconds after EPOCH."""
+    at = datetime.fromisoformat(EPOCH) + timedelta(microseconds=us)
+    return F.lit(at.isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz")
+
+
+def frames(spark: SparkSession, sf_dir: str, only: str | None = None,
+           between: tuple[int, int] | None = None) -> DataFrame:
+    """fx_frames: frame metadata (key frames are the signup events).
+
+    ``only`` keeps one picture type and ``between`` one half-open range of
+    ``pts_us``; both are put as filters on the stored columns, which reach the
+    Parquet scan, where filters on the computed ones would not."""
     ev = table(spark, sf_dir, "events")
+    if only is not None:
+        kind = F.col("event_type")
+        stored = {"I": kind == "signup", "B": kind == "error",
+                  "P": kind.isNull() | ~kind.isin("signup", "error")}
+        ev = ev.where(stored[only])
+    if between is not None:
+        start, end = (_instant(us) for us in between)
+        ev = ev.where((F.col("ts") >= start) & (F.col("ts") < end))
     return ev.select(
         (F.col("user_id") % N_VIDEOS).alias("video_id"),
         F.col("event_id").alias("frame_id"),

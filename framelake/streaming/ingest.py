@@ -2,9 +2,12 @@
 
 New chunk files are picked up by a streaming file source; every micro-batch
 explodes its chunks into frames and writes them with dynamic partition
-overwrite keyed on ``(video_id, chunk_id)``.  A replayed batch (after a crash
-between write and commit) rewrites the same partitions, so the store never
-holds duplicates; the checkpoint makes a restart continue where it stopped.
+overwrite keyed on ``(batch_id, video_id)``.  A replayed batch (after a crash
+between write and commit) rewrites its own partitions, so the store never
+holds duplicates, and rows of one chunk that arrive in two batches are all
+kept.  There are as many directories as batches and videos, not chunks;
+``chunk_id`` is a sorted column, so filters on it skip row groups.  The
+checkpoint makes a restart continue where it stopped.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from framelake.operators.frames import explode_frames
 
@@ -21,10 +25,10 @@ def ingest_chunks(spark: SparkSession, stream: DataFrame, to_chunks: Callable[[D
     """Run the ingestion until the source is drained (``availableNow``)."""
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        frames = explode_frames(to_chunks(batch), frame_bytes)
+        frames = explode_frames(to_chunks(batch), frame_bytes).withColumn("batch_id", F.lit(epoch_id))
         (frames.sortWithinPartitions("video_id", "chunk_id", "local_no")
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("video_id", "chunk_id").parquet(store_path))
+               .partitionBy("batch_id", "video_id").parquet(store_path))
 
     q = (stream.writeStream.foreachBatch(write_batch)
                .option("checkpointLocation", checkpoint)

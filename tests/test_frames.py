@@ -22,36 +22,63 @@ def _numbered(spark):
 def test_numbers_dense_from_one(spark):
     n = _numbered(spark)
     per = {v: sorted(r.frame_no for r in n.where(F.col("video_id") == v).collect()) for v in (0, 1)}
-    assert per[0] == list(range(1, 8)) and per[1] == [1, 2]
+    assert per[0] == list(range(1, 11)) and per[1] == [1, 2]     # tails are frames too
 
 
-def test_explode_then_reassemble_is_identity_minus_tail(spark):
-    n = _numbered(spark)
-    got = {(r.video_id, r.chunk_id): r.payload for r in FR.reassemble(n, "strict").collect()}
-    for r in _chunks(spark).collect():
-        whole = len(r.payload) // 16 * 16
-        if whole:
-            assert got[(r.video_id, r.chunk_id)] == r.payload[:whole]
-        else:
-            assert (r.video_id, r.chunk_id) not in got
+def _payloads(parts):
+    got = {}
+    for r in sorted(parts.collect(), key=lambda r: r.part_no):
+        key = (r.video_id, r.chunk_id)
+        got[key] = got.get(key, b"") + bytes(r.payload)
+    return got
+
+
+@pytest.mark.parametrize("per_part", [1, 2, 16])
+def test_explode_then_reassemble_is_identity(spark, per_part):
+    parts = FR.reassemble(_numbered(spark), "strict", frames_per_part=per_part)
+    assert _payloads(parts) == {(r.video_id, r.chunk_id): bytes(r.payload) for r in _chunks(spark).collect()}
+    assert all(r.n_frames <= per_part for r in parts.collect())
+    if per_part == 1:
+        assert parts.where("video_id = 0 and chunk_id = 2").count() == 5      # one chunk, several parts
 
 
-def test_reassembly_policies_on_gap(spark):
+def test_empty_and_null_payloads_give_no_frames(spark):
+    ch = spark.createDataFrame([(0, 0, b""), (0, 1, None), (None, 2, b"abc")],
+                               "video_id long, chunk_id long, payload binary")
+    assert [(r.video_id, r.chunk_id, r.local_no, bytes(r.data)) for r in FR.explode_frames(ch, 2).collect()] == [
+        (None, 2, 1, b"ab"), (None, 2, 2, b"c")]
+    counts = {r.chunk_id: r.frame_count for r in FR.chunk_frame_counts_from_payload(ch, 2).collect()}
+    assert counts == {0: 0, 1: 0, 2: 2}
+
+
+@pytest.mark.parametrize("per_part", [2, 16])
+def test_reassembly_policies_on_gap(spark, per_part):
     rows = [(0, 0, 1, b"a"), (0, 0, 2, b"b"), (0, 0, 5, b"e")]
     df = spark.createDataFrame(rows, "video_id long, chunk_id long, frame_no long, data binary")
     with pytest.raises(Exception):
-        FR.reassemble(df, "strict").collect()
-    assert FR.reassemble(df, "skip").first().payload == b"abe"
-    assert FR.reassemble(df, "fill_previous").first().payload == b"abbbe"
+        FR.reassemble(df, "strict", frames_per_part=per_part).collect()
+    with pytest.raises(Exception):                                   # a repeat is no dense numbering either
+        FR.reassemble(df.where("frame_no < 3").unionAll(df.where("frame_no = 2")), "strict").collect()
+    assert _payloads(FR.reassemble(df, "skip", frames_per_part=per_part)) == {(0, 0): b"abe"}
+    assert _payloads(FR.reassemble(df, "fill_previous", frames_per_part=per_part)) == {(0, 0): b"abbbe"}
     gaps = FR.frame_gaps(df, ["video_id"], "frame_no", F.lit(0)).collect()
     assert [(g.frame_no, g.next_no, g.missing) for g in gaps] == [(2, 5, 2)]
+    assert [tuple(r) for r in FR.manifest(df.unionAll(df), block_frames=2).orderBy("run_no").collect()] == [
+        (0, 0, 1, 1, 2, 2), (0, 0, 2, 5, 5, 1)]
+
+
+def test_first_frame_breaks_ties(spark):
+    rows = [(0, 7, 100), (0, 3, 100), (0, 1, 200), (1, 9, None)]
+    df = spark.createDataFrame(rows, "video_id long, frame_id long, pts_us long")
+    got = {r.video_id: r.frame_id for r in FR.first_frame(df, order=("pts_us", "frame_id")).collect()}
+    assert got == {0: 3, 1: 9}
 
 
 def test_integer_order_beyond_text_order(spark):
     rows = [(0, 0, n, bytes([n % 256])) for n in (999999, 1000000, 1000001, 999998)]
     df = spark.createDataFrame(rows, "video_id long, chunk_id long, frame_no long, data binary")
-    r = FR.reassemble(df, "strict").first()
-    assert r.payload == bytes([999998 % 256, 999999 % 256, 1000000 % 256, 1000001 % 256])
+    got = _payloads(FR.reassemble(df, "strict"))
+    assert got == {(0, 0): bytes([999998 % 256, 999999 % 256, 1000000 % 256, 1000001 % 256])}
 
 
 def test_frame_store_roundtrip_and_idempotent_rerun(spark, tmp_dir):
@@ -69,8 +96,9 @@ def test_frame_store_roundtrip_and_idempotent_rerun(spark, tmp_dir):
 
 
 def test_require_frames_raises(spark):
-    df = spark.createDataFrame([(0, 0)], "video_id long, n long")
-    with pytest.raises(Exception):
+    df = spark.createDataFrame([(0, 0, 3), (0, 1, 0)], "video_id long, chunk_id long, n long")
+    assert FR.require_frames(df.where("chunk_id = 0"), "n").count() == 1
+    with pytest.raises(Exception, match="0/1"):
         FR.require_frames(df, "n").collect()
 
 
@@ -109,25 +137,19 @@ def test_extract_job_from_chunk_files(spark, tmp_dir):
             f.write(payload)
     plan = chunk_files(spark, f"{tmp_dir}/chunks")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]      # listing reads no bytes
-    fr = extract_frames(spark, f"{tmp_dir}/chunks", 8).collect()
+    fr = extract_frames(spark, f"{tmp_dir}/chunks", 8, frames_per_read=2).collect()
     got = sorted((r.video_id, r.chunk_id, r.frame_no, bytes(r.data)) for r in fr)
     want, no = [], {"vidA": 0, "vidB": 0}
     for (v, c) in sorted(src, key=lambda k: (k[0], k[1])):      # integer chunk order: 0, 2, 10
         p = src[(v, c)]
-        for i in range(len(p) // 8):
+        for i in range(-(-len(p) // 8)):
             no[v] += 1
             want.append((v, c, no[v], p[i * 8:(i + 1) * 8]))
     assert got == sorted(want)
     extract_to_store(spark, f"{tmp_dir}/chunks", 8, f"{tmp_dir}/store")
     assert spark.read.parquet(f"{tmp_dir}/store").count() == len(want)
-
-
-def test_reassemble_refuses_oversized_chunks(spark):
-    rows = [(0, 0, n, bytes(100)) for n in range(1, 6)]
-    df = spark.createDataFrame(rows, "video_id long, chunk_id long, frame_no long, data binary")
-    assert FR.reassemble(df, "strict", max_chunk_bytes=500).first().payload == bytes(500)
-    with pytest.raises(Exception):
-        FR.reassemble(df, "strict", max_chunk_bytes=499).collect()
+    with pytest.raises(Exception, match="vidA"):                 # 33 bytes are no whole 2x2x2 frames
+        extract_frames(spark, f"{tmp_dir}/chunks", 8, geometry=(2, 2, 2)).collect()
 
 
 def test_append_only_log_last_write_wins(spark, tmp_dir):

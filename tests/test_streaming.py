@@ -44,7 +44,7 @@ def test_ingest_resumes_without_duplicates(spark, tmp_dir):
     docs.where(F.col("doc_id") >= 100).write.parquet(f"{src}/part2")
     run()                                                     # new chunks only
     total = spark.read.parquet(f"{tmp_dir}/store")
-    expect = docs.select((F.length(F.encode("text", "UTF-8")) / 64).cast("bigint").alias("n")) \
+    expect = docs.select((F.ceil(F.length(F.encode("text", "UTF-8")) / 64)).cast("bigint").alias("n")) \
                  .agg(F.sum("n")).first()[0]
     assert total.count() == expect
     assert total.groupBy("video_id", "chunk_id", "local_no").count().where("count > 1").count() == 0
@@ -78,3 +78,18 @@ def test_ingest_raw_chunk_files_with_binaryfile_stream(spark, tmp_dir):
     got = sorted((r.chunk_id, r.local_no, bytes(r.data)) for r in spark.read.parquet(f"{tmp_dir}/store").collect())
     assert [(c, n) for c, n, _ in got] == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2)]
     assert got[3][2] == bytes(range(100, 116))
+
+
+def test_a_chunk_in_two_batches_keeps_all_its_rows(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    schema = "video_id long, chunk_id long, payload binary"
+
+    def run():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+        ingest_chunks(spark, stream, lambda b: b, 2, f"{tmp_dir}/store", f"{tmp_dir}/ckpt")
+
+    for i, payload in enumerate((b"abcd", b"efg")):
+        spark.createDataFrame([(0, 5, payload)], schema).write.parquet(f"{src}/part{i}")
+        run()
+    rows = spark.read.parquet(f"{tmp_dir}/store").orderBy("batch_id", "local_no").collect()
+    assert b"".join(bytes(r.data) for r in rows) == b"abcdefg"
