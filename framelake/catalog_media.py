@@ -29,8 +29,7 @@ PHASES = [("probe", "2024-01-01 00:00:00", "2024-01-02 00:00:00"),
     LEFT JOIN (SELECT video_id, count(*) AS n, sum(octet_length(payload)) AS b FROM fx_packets
                WHERE media_type = 'audio' GROUP BY 1) a USING (video_id)""", "fx_packets"))
 def q_extract_audio(spark, d):
-    pk = TD.packets(spark, d)
-    return MD.audio_report(pk, pk.select("video_id").distinct())
+    return MD.audio_report(TD.packets(spark, d))
 
 
 @register("fps_resample", with_fx(f"""
@@ -63,7 +62,7 @@ def q_fps_resample(spark, d):
                                  WHERE media_type = 'audio') h USING (video_id)""", "fx_packets"))
 def q_remux_audio(spark, d):
     pk = TD.packets(spark, d).select("video_id", "media_type", "pts_us", "packet_id")
-    return MD.remux(MD.select_media(pk, "video"), MD.select_media(pk, "audio"), DAY_US)
+    return MD.remux(pk, DAY_US)
 
 
 @register("metadata_delta", with_fx("""
@@ -190,9 +189,9 @@ _PHASE_SQL = ("phases", " UNION ALL ".join(
 
 
 @register("resource_profile", with_fx("""
-    SELECT r.run_id, p.phase, count(*) AS n_samples, avg(cpu_percent) AS avg_cpu, max(cpu_percent) AS peak_cpu,
+    SELECT r.run_id, coalesce(p.phase, 'unassigned') AS phase, count(*) AS n_samples, avg(cpu_percent) AS avg_cpu, max(cpu_percent) AS peak_cpu,
            avg(ram_percent) AS avg_ram, max(ram_percent) AS peak_ram
-    FROM fx_resources r JOIN phases p ON r.ts >= p.start_ts AND r.ts < p.end_ts GROUP BY 1, 2""",
+    FROM fx_resources r LEFT JOIN phases p ON r.ts >= p.start_ts AND r.ts < p.end_ts GROUP BY 1, 2""",
     "fx_resources", ctes=[_PHASE_SQL]))
 def q_resource_profile(spark, d):
     plan = spark.createDataFrame(PHASES, "phase string, start_ts string, end_ts string").select(
@@ -232,9 +231,9 @@ def q_resource_windows(spark, d):
     "fx_resources"))
 def q_stream_resource_windows(spark, d):
     """S1 as a stream: resource samples arrive through a file stream, are
-    watermarked and windowed; the stream is drained (availableNow) and every
-    complete snapshot replaces a table in the shared folder, whose final
-    state is returned (nothing is held on the driver)."""
+    watermarked and windowed; each micro-batch writes the windows it changed
+    under its own number (a replayed batch replaces its folder), and the last
+    state of every window is read back.  State beyond the watermark is freed."""
     from framelake.session import scratch_path
     from framelake.streaming.resources import stream_resource_windows
     schema = TD.table(spark, d, "events").schema
@@ -243,12 +242,13 @@ def q_stream_resource_windows(spark, d):
                          (F.floor(F.col("value") * 0.8) / 4.0).alias("cpu_percent"),
                          F.get_json_object("props", "$.k").cast("double").alias("ram_percent"))
     out = scratch_path(spark, "resource-windows")
-    q = (stream_resource_windows(samples, WINDOW, "2 hours").writeStream.outputMode("complete")
-         .foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(out))
+    q = (stream_resource_windows(samples, WINDOW, "2 hours").writeStream.outputMode("update")
+         .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch_id={i}"))
          .option("checkpointLocation", scratch_path(spark, "res-ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return MT.latest_per(spark.read.parquet(out), ["run_id", "window_start", "window_end"], ["batch_id"],
+                         ["n_samples", "avg_cpu", "peak_cpu", "avg_ram", "peak_ram"]).drop("n_records")
 
 
 @register("stream_frames", with_fx("""
@@ -282,6 +282,16 @@ def q_matmul_coo(spark, d):
     return matmul_coo(a, a)
 
 
+@register("gram_matrix", with_fx("""
+    SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+           CAST(sum(vals[i + 1] * vals[j + 1]) AS DOUBLE) AS g
+    FROM fx_arrays, (SELECT unnest(range(64)) AS i) a, (SELECT unnest(range(64)) AS j) b GROUP BY 1, 2""", "fx_arrays"))
+def q_gram_matrix(spark, d):
+    """L2's distributed half over whole pixel values, whose sums are exact."""
+    from framelake.operators.linalg import gram_matrix
+    return gram_matrix(TD.pixel_arrays(spark, d), "vals")
+
+
 @register("svd_topk")
 def q_svd_topk(spark, d):
     from framelake.operators.linalg import svd_topk

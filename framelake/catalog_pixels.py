@@ -195,22 +195,19 @@ _RESIZE_SQL = [
     ("rdim", f"SELECT {SIDE} AS ih, {SIDE} AS iw"),
     _sql_sampling("rsamp", "rlv", "rdim"),
 ]
+_AT = "vals[s.y{0} * 8 + s.x{1} + 1]"
 _RESIZE_BODY = f"""
-    SELECT a.video_id, a.frame_no, CAST(s.oy AS INTEGER) AS y, CAST(s.ox AS INTEGER) AS x,
-           {_u8(_bilinear('a.v', 'b.v', 'c.v', 'd.v'))} AS v
-    FROM rsamp s JOIN fx_pixels a ON a.y = s.y0 AND a.x = s.x0
-    JOIN fx_pixels b ON b.frame_no = a.frame_no AND b.y = s.y0 AND b.x = s.x1
-    JOIN fx_pixels c ON c.frame_no = a.frame_no AND c.y = s.y1 AND c.x = s.x0
-    JOIN fx_pixels d ON d.frame_no = a.frame_no AND d.y = s.y1 AND d.x = s.x1"""
+    SELECT video_id, frame_no, CAST(s.oy AS INTEGER) AS y, CAST(s.ox AS INTEGER) AS x,
+           {_u8(_bilinear(_AT.format(0, 0), _AT.format(0, 1), _AT.format(1, 0), _AT.format(1, 1)))} AS v
+    FROM fx_arrays, rsamp s"""
 
 
-@register("resize_pixels", with_fx(_RESIZE_BODY, "fx_pixels", ctes=_RESIZE_SQL))
+@register("resize_pixels", with_fx(_RESIZE_BODY, "fx_arrays", ctes=_RESIZE_SQL))
 def q_resize_pixels(spark, d):
-    px = TD.pixels(spark, d)
-    return PX.resize_pixels(px, SIDE, SIDE, *RESIZE_TO)
+    return PX.resize_pixels(TD.pixel_arrays(spark, d), "vals", SIDE, SIDE, *RESIZE_TO)
 
 
-@register("rescale_frames", with_fx(_RESIZE_BODY, "fx_pixels", ctes=_RESIZE_SQL))
+@register("rescale_frames", with_fx(_RESIZE_BODY, "fx_arrays", ctes=_RESIZE_SQL))
 def q_rescale_frames(spark, d):
     """I8 on the production path: numpy bilinear resize per frame row."""
     return frames_to_pixels(PX.resize_frames(TD.pixel_frames(spark, d), *RESIZE_TO))
@@ -439,3 +436,105 @@ def q_run_summary(spark, d):
     from framelake.plans.logo_job import replace_logo_summary
     return replace_logo_summary(TD.pixels(spark, d).select("video_id", "frame_no", "y", "x", "v"),
                                 _template(spark, d), _logo(spark, d), SIDE, SIDE, THRESHOLD)
+
+
+# -------------------------------------------------- three channels and alpha
+def _sql_resized_c(name: str, samp: str, src: str, value: str) -> tuple[str, str]:
+    """Every channel of ``src(y, x, c, <value>)`` at every size of ``samp``."""
+    joins = " ".join(f"JOIN {src} {al} ON {al}.c = k.c AND {al}.y = s.y{yy} AND {al}.x = s.x{xx}"
+                     for al, yy, xx in (("a", 0, 0), ("b", 0, 1), ("d", 1, 0), ("e", 1, 1)))
+    mixed = _u8(_bilinear(f"a.{value}", f"b.{value}", f"d.{value}", f"e.{value}"))
+    return (name, f"""
+        SELECT s.scale_ix, s.sh, s.sw, s.oy, s.ox, k.c, {mixed} AS {value}
+        FROM {samp} s CROSS JOIN (SELECT DISTINCT c FROM {src}) k {joins}""")
+
+
+def _sql_detect_c(src: str) -> list[tuple[str, str]]:
+    """Best match per frame of ``src``, the sums of the channels added up."""
+    hit = f"score > {THRESHOLD}::DOUBLE"
+    return [
+        ("cm", f"""
+            SELECT p.video_id, p.frame_no, t.scale_ix, t.sh, t.sw, p.y - t.oy AS py, p.x - t.ox AS px, p.c,
+                   count(*) AS n, sum(p.v) AS sv, sum(p.v * p.v) AS svv, sum(p.v * t.v) AS svt
+            FROM {src} p JOIN ctr t ON t.c = p.c AND p.y - t.oy BETWEEN 0 AND {SIDE} - t.sh
+                                   AND p.x - t.ox BETWEEN 0 AND {SIDE} - t.sw
+            GROUP BY ALL"""),
+        ("cs", """
+            SELECT video_id, frame_no, scale_ix, sh, sw, py, px,
+                   CASE WHEN den = 0 THEN 0.0::DOUBLE ELSE num / den END AS score
+            FROM (SELECT video_id, frame_no, scale_ix, sh, sw, py, px,
+                         CAST(sum(n * svt - sv * st) AS DOUBLE) AS num,
+                         sqrt(CAST(sum(n * svv - sv * sv) AS DOUBLE) * CAST(sum(n * stt - st * st) AS DOUBLE)) AS den
+                  FROM cm JOIN ctsum USING (scale_ix, c) GROUP BY ALL) q"""),
+        ("cb", f"""
+            SELECT video_id, frame_no, {hit} AS detected, greatest(score, 0.0::DOUBLE) AS confidence,
+                   CASE WHEN {hit} THEN scale_ix END AS scale_ix,
+                   CASE WHEN {hit} THEN (SELECT scale FROM scl WHERE scl.scale_ix = r.scale_ix) END AS scale,
+                   CASE WHEN {hit} THEN CAST(px AS INTEGER) END AS x,
+                   CASE WHEN {hit} THEN CAST(py AS INTEGER) END AS y,
+                   CASE WHEN {hit} THEN sw END AS w, CASE WHEN {hit} THEN sh END AS h
+            FROM (SELECT *, row_number() OVER (PARTITION BY video_id, frame_no
+                                               ORDER BY score DESC, scale_ix, py, px) AS rn FROM cs) r
+            WHERE rn = 1"""),
+    ]
+
+
+_BGR_LEVELS = [
+    _LEVELS[0],
+    ("tdim", "SELECT 3 AS ih, 3 AS iw"),
+    _LEVELS[2],
+    ("ctpl", """SELECT y - 2 AS y, x - 2 AS x, c, v FROM fx_bgr
+                WHERE frame_no = 0 AND y BETWEEN 2 AND 4 AND x BETWEEN 2 AND 4"""),
+    _sql_sampling("tsamp", "lv", "tdim"),
+    _sql_resized_c("ctr", "tsamp", "ctpl", "v"),
+    ("ctsum", "SELECT scale_ix, c, sum(v) AS st, sum(v * v) AS stt FROM ctr GROUP BY 1, 2"),
+]
+#: the logo's channels 0 to 2 are colours, channel 3 its alpha
+_BGR_BLEND = _BGR_LEVELS + [
+    ("cfirst", """SELECT * FROM fx_bgr p WHERE frame_no =
+                  (SELECT min(frame_no) FROM fx_bgr q WHERE q.video_id = p.video_id)"""),
+    *_sql_detect_c("cfirst"),
+    ("clogo", """SELECT y, x, c, v FROM fx_bgr WHERE frame_no = 1 AND y < 3 AND x < 3
+                 UNION ALL
+                 SELECT y, x, 3 AS c, CAST(CASE x WHEN 0 THEN 0 WHEN 1 THEN 128 ELSE 255 END AS BIGINT) AS v
+                 FROM fx_bgr WHERE frame_no = 1 AND y < 3 AND x < 3 AND c = 0"""),
+    _sql_resized_c("clr", "tsamp", "clogo", "v"),
+    ("cblend", """
+        SELECT p.video_id, p.frame_no, p.y, p.x, p.c,
+               CASE WHEN l.v IS NULL THEN p.v ELSE CAST(floor(
+                    (1.0::DOUBLE - CAST(a.v AS DOUBLE) / 255.0::DOUBLE) * CAST(p.v AS DOUBLE)
+                    + (CAST(a.v AS DOUBLE) / 255.0::DOUBLE) * CAST(l.v AS DOUBLE)) AS BIGINT) END AS v
+        FROM fx_bgr p LEFT JOIN cb ON cb.video_id = p.video_id AND cb.detected
+        LEFT JOIN clr l ON l.c = p.c AND l.sh = cb.h AND l.sw = cb.w AND l.oy = p.y - cb.y AND l.ox = p.x - cb.x
+        LEFT JOIN clr a ON a.c = 3 AND a.sh = l.sh AND a.sw = l.sw AND a.oy = l.oy AND a.ox = l.ox"""),
+]
+
+
+def _bgr_image(frames: DataFrame, frame_no: int, y0: int, x0: int) -> np.ndarray:
+    """A 3x3 crop of one frame, as a parameter image."""
+    data = frames.where(F.col("frame_no") == frame_no).first()["data"]
+    return np.frombuffer(bytes(data), np.uint8).reshape(SIDE, SIDE, 3)[y0:y0 + 3, x0:x0 + 3].copy()
+
+
+def _bgr_template(frames: DataFrame) -> np.ndarray:
+    return _bgr_image(frames, TD.TEMPLATE_FRAME, TD.TEMPLATE_Y0, TD.TEMPLATE_X0)
+
+
+@register("detect_frames_bgr", with_fx("SELECT * FROM cb", "fx_bgr", ctes=_BGR_LEVELS + _sql_detect_c("fx_bgr")))
+def q_detect_frames_bgr(spark, d):
+    """I4 on frames of three channels."""
+    frames = TD.bgr_frames(spark, d)
+    return PX.detect_frames(frames, _bgr_template(frames))
+
+
+@register("blend_frames_bgr", with_fx("""
+    SELECT video_id, frame_no, string_agg(printf('%02X', v), '' ORDER BY y, x, c) AS data_hex
+    FROM cblend GROUP BY 1, 2""", "fx_bgr", ctes=_BGR_BLEND))
+def q_blend_frames_bgr(spark, d):
+    """I6 on frames of three channels with a logo of four: first-frame boxes."""
+    frames = TD.bgr_frames(spark, d)
+    template = _bgr_template(frames)
+    alpha = np.tile(np.array(TD.LOGO_ALPHA_BY_COLUMN, np.uint8), (TD.LOGO_SIDE, 1))
+    logo = np.dstack([_bgr_image(frames, TD.LOGO_FRAME, 0, 0), alpha])
+    boxes = PX.first_frame_detection(frames, lambda f: PX.detect_frames(f, template)).drop("frame_no")
+    return PX.blend_frames(frames, boxes, logo).select("video_id", "frame_no", F.hex("data").alias("data_hex"))

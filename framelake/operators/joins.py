@@ -24,8 +24,13 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               max_rows: int = BROADCAST_MAX_ROWS, prune: str | None = None) -> DataFrame:
+    """``prune`` names a column of ``on`` without NULLs in ``small``: a filter
+    on its least value, which keeps every row, makes Spark take the small side
+    as selective and prune the partitions of ``big`` by the join keys."""
     shared_dir(small.sparkSession)
     s = small.checkpoint(eager=True)
-    n = s.count()
+    n, low = s.agg(F.count(F.lit(1)), F.min(prune) if prune else F.lit(None)).first()
+    if low is not None:
+        s = s.where(F.col(prune) >= F.lit(low))
     return big.join(F.broadcast(s) if n <= max_rows else s, on if isinstance(on, str) else list(on), how)

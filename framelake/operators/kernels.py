@@ -290,6 +290,7 @@ def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
     import time
     from concurrent.futures import ThreadPoolExecutor
     t0 = time.perf_counter()
+    frames = [comparable(f, pyramid.c) for f in frames]
     best = [(0.0, None, None) for _ in frames]
     by_shape: dict[tuple, list[int]] = {}
     for i, f in enumerate(frames):
@@ -298,8 +299,7 @@ def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
     run = pool.map if pool else map
     try:
         for (ph, pw), idx in by_shape.items():
-            c = 1 if frames[idx[0]].ndim == 2 else frames[idx[0]].shape[2]
-            per_frame = ph * (pw // 2 + 1) * c * 16 + 4 * (ph + 1) * (pw + 1) * 8
+            per_frame = ph * (pw // 2 + 1) * pyramid.c * 16 + 4 * (ph + 1) * (pw + 1) * 8
             size = max(1, GROUP_BYTES // per_frame)
             cached = pyramid.spectra(ph, pw)
             for g0 in range(0, len(idx), size):
@@ -331,7 +331,7 @@ def best_in_levels(frame: np.ndarray, pyramid: TemplatePyramid, levels: list[int
     """Best ``(score, level_position, y, x)`` of one frame over the given
     pyramid levels (the partial result of a level-split detection); ties go
     to the earliest level, then the first position in row-major order."""
-    fs = _FrameStats(frame)
+    fs = _FrameStats(comparable(frame, pyramid.c))
     best = (0.0, -1, -1, -1)
     for k in levels:
         level = pyramid.levels[k]
@@ -350,49 +350,52 @@ def detect(frame: np.ndarray, pyramid: TemplatePyramid, threshold: float = DEFAU
     return detect_batch([frame], pyramid, threshold)[0]
 
 
-def blend(frame: np.ndarray, logo: np.ndarray, x: int, y: int, w: int, h: int) -> np.ndarray:
-    """Alpha-blend ``logo`` (resized to w x h) into ``frame`` at (x, y).
+def _split_alpha(img: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """Colour channels and alpha (the last of two or four channels, else None)."""
+    img = _chan(img)
+    return (img[:, :, :-1], img[:, :, -1]) if img.shape[2] in (2, 4) else (img, None)
 
-    The box is clipped to the frame and the logo *cropped* (not squeezed);
-    a 4th logo channel is the alpha (a/255), otherwise alpha is 1.  The float
-    result is truncated into uint8; pixels outside the box are unchanged."""
-    out = frame.copy()
-    fh, fw = frame.shape[:2]
-    lg = resize_bilinear(logo, h, w)
-    lg = _chan(lg)
-    fc = 1 if frame.ndim == 2 else frame.shape[2]
-    if lg.shape[2] in (2, 4):
-        alpha = lg[:, :, -1].astype(np.float64) / 255.0
-        color = lg[:, :, :-1].astype(np.float64)
-    else:
-        alpha = np.ones((h, w))
-        color = lg.astype(np.float64)
-    cw, ch = min(w, fw - x), min(h, fh - y)
-    if cw <= 0 or ch <= 0:
-        return out
-    a = alpha[:ch, :cw][:, :, None]
-    roi = _chan(out)[y:y + ch, x:x + cw].astype(np.float64)
-    col = color[:ch, :cw]
-    if col.shape[2] != fc:
-        col = np.repeat(col[:, :, :1], fc, axis=2)
-    v = (1.0 - a) * roi + a * col
-    res = np.floor(v).astype(np.uint8)
-    if frame.ndim == 2:
-        out[y:y + ch, x:x + cw] = res[:, :, 0]
-    else:
-        out[y:y + ch, x:x + cw] = res
-    return out
+
+def comparable(frame: np.ndarray, channels: int) -> np.ndarray:
+    """The frame with as many channels as a template of ``channels``: its own
+    alpha is left out where the template has none; any other difference is an
+    error, as scores over unlike channels mean nothing."""
+    f = _chan(frame)
+    if f.shape[2] != channels:
+        f = _split_alpha(f)[0]
+    if f.shape[2] != channels:
+        raise ValueError(f"a frame of {_chan(frame).shape[2]} channels does not match a template of {channels}")
+    return f
 
 
 def blend_patch(frame: np.ndarray, logo: np.ndarray, x: int, y: int, w: int, h: int):
-    """The changed region only: ``(x, y, w, h, patch)`` of :func:`blend`
-    after clipping, or None when the box lies outside the frame."""
+    """The region that blending ``logo`` (resized to w x h) at (x, y) changes:
+    ``(x, y, w, h, patch)``, or None when the box lies outside the frame.
+
+    The box is clipped to the frame and the logo *cropped* (not squeezed); the
+    last of two or four logo channels is the alpha (a/255), otherwise alpha is
+    1.  Colour channels are blended and truncated into uint8; a frame's own
+    alpha stays as it is.  A grey logo goes into every colour channel; a
+    colour logo on a grey frame is an error."""
     fh, fw = frame.shape[:2]
     cw, ch = min(w, fw - x), min(h, fh - y)
     if cw <= 0 or ch <= 0:
         return None
-    out = blend(frame, logo, x, y, w, h)
-    return x, y, cw, ch, np.ascontiguousarray(out[y:y + ch, x:x + cw])
+    color, alpha = _split_alpha(resize_bilinear(logo, h, w)[:ch, :cw])
+    roi, own = _split_alpha(frame[y:y + ch, x:x + cw])
+    if color.shape[2] not in (1, roi.shape[2]):
+        raise ValueError(f"a logo of {color.shape[2]} colours does not fit a frame of {roi.shape[2]}")
+    a = (np.ones((ch, cw)) if alpha is None else alpha.astype(np.float64) / 255.0)[:, :, None]
+    res = np.floor((1.0 - a) * roi.astype(np.float64) + a * color.astype(np.float64)).astype(np.uint8)
+    if own is not None:
+        res = np.dstack([res, own])
+    return x, y, cw, ch, np.ascontiguousarray(res.reshape((ch, cw) + frame.shape[2:]))
+
+
+def blend(frame: np.ndarray, logo: np.ndarray, x: int, y: int, w: int, h: int) -> np.ndarray:
+    """The whole frame with the region of :func:`blend_patch` put in."""
+    res = blend_patch(frame, logo, x, y, w, h)
+    return frame.copy() if res is None else apply_patch(frame, x, y, res[4])
 
 
 def apply_patch(frame: np.ndarray, x: int, y: int, patch: np.ndarray) -> np.ndarray:
@@ -406,12 +409,14 @@ def annotate(frame: np.ndarray, x: int, y: int, w: int, h: int, thickness: int =
     """Draw a box outline ``thickness`` pixels wide inside [x, x+w] x [y, y+h]."""
     out = frame.copy()
     fh, fw = frame.shape[:2]
-    yy, xx = np.mgrid[0:fh, 0:fw]
-    inside = (xx >= x) & (xx <= x + w) & (yy >= y) & (yy <= y + h)
-    border = inside & ((xx - x < thickness) | (x + w - xx < thickness)
-                       | (yy - y < thickness) | (y + h - yy < thickness))
-    if frame.ndim == 2:
-        out[border] = color[1]
-    else:
-        out[border] = np.asarray(color[:frame.shape[2]], dtype=np.uint8)
+    c = color[1] if frame.ndim == 2 else np.asarray((*color, 255)[:frame.shape[2]], dtype=np.uint8)
+    rows, cols = slice(max(y, 0), min(y + h + 1, fh)), slice(max(x, 0), min(x + w + 1, fw))
+    for k in range(min(thickness, h + 1)):
+        for r in {y + k, y + h - k}:
+            if 0 <= r < fh:
+                out[r, cols] = c
+    for k in range(min(thickness, w + 1)):
+        for q in {x + k, x + w - k}:
+            if 0 <= q < fw:
+                out[rows, q] = c
     return out

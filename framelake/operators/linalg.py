@@ -18,10 +18,9 @@ def matmul_coo(a: DataFrame, b: DataFrame) -> DataFrame:
 def gram_matrix(rows: DataFrame, vector_col: str) -> DataFrame:
     """``G = X^T X`` of a tall matrix stored one vector per row.
 
-    Every task multiplies its Arrow batches with numpy and emits its partial
-    d x d sums as ``(i, j, g)`` rows; one aggregation adds the partials (the
-    same tree of partial sums as a distributed Gram computation).  Only d^2
-    values per batch leave a task, whatever the number of rows."""
+    Every task multiplies its Arrow batches with numpy, adds them up and emits
+    its partial d x d sums once as ``(i, j, g)`` rows; one aggregation adds the
+    partials.  Only d^2 values leave a task, whatever the number of rows."""
     import numpy as np
     import pandas as pd
 
@@ -29,11 +28,12 @@ def gram_matrix(rows: DataFrame, vector_col: str) -> DataFrame:
     ship_package(rows.sparkSession)
 
     def run(batches):
+        g = None
         for b in batches:
-            if not len(b):
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in b[vector_col]])
-            g = x.T @ x
+            if len(b):
+                x = np.stack([np.asarray(v, dtype=np.float64) for v in b[vector_col]])
+                g = x.T @ x if g is None else g + x.T @ x
+        if g is not None:
             i, j = np.indices(g.shape)
             yield pd.DataFrame({"i": i.ravel().astype(np.int32), "j": j.ravel().astype(np.int32), "g": g.ravel()})
 
@@ -44,8 +44,8 @@ def gram_matrix(rows: DataFrame, vector_col: str) -> DataFrame:
 def svd_topk(spark: SparkSession, rows: DataFrame, vector_col: str, k: int) -> DataFrame:
     """Top-k singular values of a tall matrix (one row per vector): the
     square roots of the largest eigenvalues of the Gram matrix.  Only the
-    d x d Gram (d = vector length, bounded by the schema) reaches the driver
-    for the eigendecomposition — never the rows."""
+    d x d Gram reaches the driver for the eigendecomposition, never the rows;
+    it grows with the vector length alone, not with the table."""
     import numpy as np
     entries = gram_matrix(rows, vector_col).collect()
     d = max(r.i for r in entries) + 1

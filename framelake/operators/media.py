@@ -16,16 +16,16 @@ def select_media(packets: DataFrame, media_type: str | None) -> DataFrame:
     return packets if media_type is None else packets.where(F.col("media_type") == media_type)
 
 
-def audio_report(packets: DataFrame, videos: DataFrame) -> DataFrame:
+def audio_report(packets: DataFrame) -> DataFrame:
     """C4: per video whether an audio track exists, its packet count and
-    bytes; a video without audio gets ``found = false`` and zeros."""
-    audio = (select_media(packets, "audio").groupBy("video_id")
-             .agg(F.count(F.lit(1)).alias("n_packets"),
-                  F.sum(F.length("payload")).cast("bigint").alias("audio_bytes")))
-    return (videos.join(audio, "video_id", "left")
-                  .select("video_id", F.col("n_packets").isNotNull().alias("found"),
-                          F.coalesce("n_packets", F.lit(0).cast("bigint")).alias("n_packets"),
-                          F.coalesce("audio_bytes", F.lit(0).cast("bigint")).alias("audio_bytes")))
+    bytes; a video without audio gets ``found = false`` and zeros.  One pass:
+    a conditional aggregate over all packets."""
+    audio = F.col("media_type") == "audio"
+    return (packets.groupBy("video_id")
+                   .agg(F.count_if(audio).alias("n_packets"),
+                        F.coalesce(F.sum(F.when(audio, F.length("payload"))), F.lit(0)).cast("bigint")
+                         .alias("audio_bytes"))
+                   .select("video_id", (F.col("n_packets") > 0).alias("found"), "n_packets", "audio_bytes"))
 
 
 def resample_slot(pts_us, fps_num: int, fps_den: int):
@@ -64,16 +64,15 @@ def fps_resample(frames: DataFrame, fps_num: int, fps_den: int, block_slots: int
         F.col("w").isNull().alias("is_dup"))
 
 
-def remux(video: DataFrame, audio: DataFrame, block_us: int) -> DataFrame:
-    """Interleave video and audio packets by (pts, media type, id)
+def remux(packets: DataFrame, block_us: int) -> DataFrame:
+    """Interleave the packets of all tracks by (pts, media type, id)
     with a per-video sequence number; a video without audio still gets its
-    video packets (``has_audio = false``)."""
-    pk = video.unionByName(audio)
-    seq = scan.ordered_index(pk, ["video_id"], ["pts_us", "media_type", "packet_id"],
+    other packets (``has_audio = false``)."""
+    seq = scan.ordered_index(packets, ["video_id"], ["pts_us", "media_type", "packet_id"],
                              idiv(F.col("pts_us"), F.lit(block_us)), "seq")
-    has = (audio.groupBy("video_id").agg(F.lit(True).alias("has_audio")))
-    return (seq.join(has, "video_id", "left")
-               .withColumn("has_audio", F.coalesce("has_audio", F.lit(False))))
+    has = (packets.groupBy(F.col("video_id").alias("_v"))
+                  .agg(F.coalesce(F.bool_or(F.col("media_type") == "audio"), F.lit(False)).alias("has_audio")))
+    return seq.join(has, F.col("video_id").eqNullSafe(F.col("_v")), "left").drop("_v")
 
 
 def before_after(stats: DataFrame, key: str, side_col: str, before: str, after: str,

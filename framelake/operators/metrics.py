@@ -63,8 +63,9 @@ def phase_durations(records: DataFrame, key: str, phase: str, order: list[str],
 
 def resource_profile(samples: DataFrame, phases: DataFrame, bin_us: int) -> DataFrame:
     """Average and true peak CPU/RAM per run and phase.  Samples are
-    assigned to phases by a binned range join against the (small, bounded)
-    phase plan ``(phase, start_ts, end_ts)``."""
+    assigned to phases by a binned range join against the phase plan
+    ``(phase, start_ts, end_ts)``; those outside every phase form the phase
+    ``unassigned``.  Spark broadcasts the plan where its size allows."""
     from framelake.functions.scalars import idiv
     epoch = "TIMESTAMP_NTZ'2000-01-01 00:00:00'"
     us = lambda c: F.expr(f"timestampdiff(MICROSECOND, {epoch}, {c})")
@@ -72,9 +73,8 @@ def resource_profile(samples: DataFrame, phases: DataFrame, bin_us: int) -> Data
                       F.explode(F.sequence(idiv(us("start_ts"), F.lit(bin_us)),
                                            idiv(us("end_ts") - 1, F.lit(bin_us)))).alias("_bin"))
     s = samples.withColumn("_bin", idiv(us("ts"), F.lit(bin_us)))
-    j = (s.join(F.broadcast(p), "_bin")
-          .where((F.col("ts") >= F.col("start_ts")) & (F.col("ts") < F.col("end_ts"))))
-    return j.groupBy("run_id", "phase").agg(
+    j = s.join(p, (s["_bin"] == p["_bin"]) & (s["ts"] >= p["start_ts"]) & (s["ts"] < p["end_ts"]), "left")
+    return j.groupBy("run_id", F.coalesce("phase", F.lit("unassigned")).alias("phase")).agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.avg("cpu_percent").alias("avg_cpu"), F.max("cpu_percent").alias("peak_cpu"),
         F.avg("ram_percent").alias("avg_ram"), F.max("ram_percent").alias("peak_ram"))

@@ -154,9 +154,11 @@ def detect_frames(frames: DataFrame, template: np.ndarray, threshold: float = K.
     errors = [T.StructField("error", T.StringType())] if quarantine else []
     schema = T.StructType(key_fields + DETECTION_FIELDS + timing + errors)
 
+    channels = 1 if tpl.ndim == 2 else tpl.shape[2]
+
     def decode(d, h, w, c):
         try:
-            return _img(d, h, w, c), None
+            return K.comparable(_img(d, h, w, c), channels), None
         except Exception as ex:  # noqa: BLE001  (policy: quarantine the frame)
             if not quarantine:
                 raise
@@ -424,22 +426,6 @@ def _axis_cols(o: Column, n_in: int | Column, n_out: int | Column):
     return i0c, F.least(i0c + 1, n_in_c - 1).cast("int"), ac
 
 
-def sampling_map(spark, in_h: int, in_w: int, out_h: int, out_w: int) -> DataFrame:
-    """For every output pixel its four source pixels and weights — a table
-    of ``4 * out_h * out_w`` rows (bounded by the output size)."""
-    g = spark.range(out_h * out_w).select((F.col("id") / out_w).cast("int").alias("oy"),
-                                          (F.col("id") % out_w).cast("int").alias("ox"))
-    y0, y1, ay = _axis_cols(F.col("oy"), in_h, out_h)
-    x0, x1, ax = _axis_cols(F.col("ox"), in_w, out_w)
-    g = g.select("oy", "ox", y0.alias("y0"), y1.alias("y1"), ay.alias("ay"),
-                 x0.alias("x0"), x1.alias("x1"), ax.alias("ax"))
-    nb = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(yy).alias("sy"), F.col(xx).alias("sx"))
-                             for k, (yy, xx) in enumerate([("y0", "x0"), ("y0", "x1"),
-                                                           ("y1", "x0"), ("y1", "x1")])]))
-    return g.select("oy", "ox", "ay", "ax", nb.alias("n")).select(
-        "oy", "ox", "ay", "ax", "n.k", F.col("n.sy").alias("y"), F.col("n.sx").alias("x"))
-
-
 def bilinear_value(p00: Column, p01: Column, p10: Column, p11: Column, ay: Column, ax: Column) -> Column:
     one = F.lit(1.0)
     return (one - ay) * ((one - ax) * p00 + ax * p01) + ay * ((one - ax) * p10 + ax * p11)
@@ -450,17 +436,19 @@ def to_uint8(v: Column) -> Column:
     return F.least(F.lit(255), F.greatest(F.lit(0), F.floor(v + F.lit(0.5)))).cast("bigint")
 
 
-def resize_pixels(pixels: DataFrame, in_h: int, in_w: int, out_h: int, out_w: int,
+def resize_pixels(frames: DataFrame, values: str, in_h: int, in_w: int, out_h: int, out_w: int,
                   keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
-    """I1 on pixel rows: join the (broadcast, bounded) sampling map on the
-    source coordinate, pivot the four neighbours, evaluate the weights."""
-    m = F.broadcast(sampling_map(pixels.sparkSession, in_h, in_w, out_h, out_w))
-    j = pixels.select(*keys, "y", "x", "v").join(m, ["y", "x"])
-    g = j.groupBy(*keys, "oy", "ox").agg(
-        F.first("ay").alias("ay"), F.first("ax").alias("ax"),
-        *[F.max(F.when(F.col("k") == k, F.col("v"))).alias(f"p{k}") for k in range(4)])
-    v = bilinear_value(*[F.col(f"p{k}").cast("double") for k in range(4)], F.col("ay"), F.col("ax"))
-    return g.select(*keys, F.col("oy").alias("y"), F.col("ox").alias("x"), to_uint8(v).alias("v"))
+    """I1 on frames whose pixels are an array column (row-major, one channel):
+    one row per output pixel, its four neighbours picked by position.  Narrow:
+    no join, no shuffle."""
+    g = frames.select(*keys, F.col(values).alias("_v"),
+                      F.explode(F.sequence(F.lit(0), F.lit(out_h * out_w - 1))).alias("_i"))
+    oy, ox = (F.col("_i") / out_w).cast("int"), (F.col("_i") % out_w).cast("int")
+    y0, y1, ay = _axis_cols(oy, in_h, out_h)
+    x0, x1, ax = _axis_cols(ox, in_w, out_w)
+    at = lambda y, x: F.get("_v", y * in_w + x).cast("double")
+    v = bilinear_value(at(y0, x0), at(y0, x1), at(y1, x0), at(y1, x1), ay, ax)
+    return g.select(*keys, oy.alias("y"), ox.alias("x"), to_uint8(v).alias("v"))
 
 
 def _check_twin_size(n: int, what: str) -> None:
@@ -548,9 +536,14 @@ def first_frame_detection(frames: DataFrame, detect_fn, key: str = "video_id",
     """D3: run ``detect_fn`` only on the first frame of each video, giving one
     detection row per video.  The per-video minimum comes from the key
     columns alone (pixels are pruned from that branch) and selects the frames
-    through a checked broadcast semi join, so no frame is shuffled."""
-    first = frames.select(key, frame_col).groupBy(key).agg(F.min(frame_col).alias(frame_col))
-    return detect_fn(join_small(frames, first, [key, frame_col], "left_semi"))
+    through a checked broadcast semi join, so no frame is shuffled.
+
+    Frames with a ``chunk_id`` (a frame store) are joined on it too: it is a
+    partition column, so only the folders of first chunks are read."""
+    parts = [c for c in ("chunk_id",) if c in frames.columns]
+    first = (frames.where(F.col(frame_col).isNotNull()).groupBy(key)
+                   .agg(F.min(F.struct(frame_col, *parts)).alias("_f")).select(key, "_f.*"))
+    return detect_fn(join_small(frames, first, [key, *parts, frame_col], "left_semi", prune=frame_col))
 
 
 def reuse_detection(frame_keys: DataFrame, det: DataFrame, key: str = "video_id") -> DataFrame:

@@ -22,6 +22,15 @@ FX: dict[str, str] = {
                     128.0::DOUBLE + 256.0::DOUBLE * CAST(embedding[i + 1] AS DOUBLE)))) AS BIGINT) AS v,
                CAST(embedding[i + 1] AS DOUBLE) AS e
         FROM embeddings, (SELECT unnest(range(64)) AS i) r""",
+    "fx_arrays": """
+        SELECT label AS video_id, vec_id AS frame_no,
+               list_transform(embedding, lambda e: CAST(floor(least(255.0::DOUBLE, greatest(0.0::DOUBLE,
+                    128.0::DOUBLE + 256.0::DOUBLE * CAST(e AS DOUBLE)))) AS BIGINT)) AS vals
+        FROM embeddings""",
+    "fx_bgr": """
+        SELECT video_id, frame_no, CAST(i // 8 AS INTEGER) AS y, CAST(i % 8 AS INTEGER) AS x,
+               CAST(c AS INTEGER) AS c, vals[(i + 21 * c) % 64 + 1] AS v
+        FROM fx_arrays, (SELECT unnest(range(64)) AS i) r, (SELECT unnest(range(3)) AS c) k""",
     "fx_template": """
         SELECT y - 2 AS ty, x - 2 AS tx, v AS t FROM fx_pixels
         WHERE frame_no = 0 AND y BETWEEN 2 AND 4 AND x BETWEEN 2 AND 4""",
@@ -34,14 +43,13 @@ FX: dict[str, str] = {
                encode(text) AS payload
         FROM documents""",
     "fx_packets": """
-        SELECT * FROM (
-          SELECT user_id % 4 AS video_id,
-                 CASE WHEN event_type = 'purchase' THEN 'audio'
-                      WHEN event_type IN ('view', 'click') THEN 'video' END AS media_type,
-                 epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS pts_us,
-                 event_id AS packet_id, encode(props) AS payload
-          FROM events) p
-        WHERE media_type IS NOT NULL AND NOT (media_type = 'audio' AND video_id = 3)""",
+        SELECT user_id % 4 AS video_id,
+               CASE WHEN event_type = 'purchase' AND user_id % 4 <> 3 THEN 'audio'
+                    WHEN event_type IN ('view', 'click') THEN 'video'
+                    WHEN event_type = 'signup' THEN 'subtitle' ELSE 'data' END AS media_type,
+               epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS pts_us,
+               event_id AS packet_id, encode(props) AS payload
+        FROM events""",
     "fx_probe": """
         SELECT video_id, fps_text,
           '{"streams":[{"index":0,"codec_type":"audio","sample_rate":"48000"},'
@@ -72,7 +80,7 @@ FX: dict[str, str] = {
 }
 
 # Fixture dependencies: a fixture's CTE must come after the ones it reads.
-_DEPS = {"fx_template": ["fx_pixels"], "fx_logo": ["fx_pixels"]}
+_DEPS = {"fx_template": ["fx_pixels"], "fx_logo": ["fx_pixels"], "fx_bgr": ["fx_arrays"]}
 
 
 def with_fx(sql: str, *names: str, ctes: list[tuple[str, str]] | None = None) -> str:

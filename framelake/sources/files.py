@@ -20,16 +20,18 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*.mp4") -> Data
               .orderBy("name"))
 
 
-def read_images(spark: SparkSession, path: str, drop_invalid: bool = True) -> DataFrame:
+def read_images(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
     """A3: decode image files with Spark's ``image`` source.
 
     Rows carry ``origin, height, width, nChannels, mode, data`` (BGR/BGRA
-    byte order).  Undecodable files are dropped (``dropInvalid``) or, with
-    ``drop_invalid=False``, kept as rows with ``nChannels = -1`` so callers
-    can fail on them (see :func:`require_images`)."""
-    df = spark.read.format("image").option("dropInvalid", drop_invalid).load(path)
-    return df.select("image.origin", "image.height", "image.width", "image.nChannels",
-                     "image.mode", "image.data")
+    byte order).  An undecodable file fails the job; ``on_error="drop"`` leaves
+    it out and ``"keep"`` keeps it as a row with ``nChannels = -1``."""
+    if on_error not in ("raise", "drop", "keep"):
+        raise ValueError(f"unknown error policy {on_error!r}")
+    df = spark.read.format("image").option("dropInvalid", on_error == "drop").load(path)
+    images = df.select("image.origin", "image.height", "image.width", "image.nChannels",
+                       "image.mode", "image.data")
+    return require_images(images) if on_error == "raise" else images
 
 
 def require_images(images: DataFrame) -> DataFrame:

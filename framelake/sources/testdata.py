@@ -23,6 +23,7 @@ EPOCH = "2024-01-01 00:00:00"
 TEMPLATE_FRAME, TEMPLATE_Y0, TEMPLATE_X0, TEMPLATE_SIDE = 0, 2, 2, 3
 LOGO_FRAME, LOGO_SIDE = 1, 3
 LOGO_ALPHA_BY_COLUMN = (0, 128, 255)
+CHANNEL_SHIFT = 21
 BAD_FPS_TEXT = {0: "0/0", 1: "abc", 2: "25"}   # keyed by p_partkey % 100
 
 
@@ -115,17 +116,18 @@ def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_packets: purchases are audio packets, views/clicks video packets;
-    video 3 has no audio track."""
+    """fx_packets: purchases are audio packets, views/clicks video packets and
+    signups subtitles; all others are data, and so are the purchases of video
+    3, which has no audio track."""
     ev = table(spark, sf_dir, "events")
-    media = (F.when(F.col("event_type") == "purchase", "audio")
-              .when(F.col("event_type").isin("view", "click"), "video"))
-    p = ev.select((F.col("user_id") % N_VIDEOS).alias("video_id"), media.alias("media_type"),
-                  pts_us("ts").alias("pts_us"),
-                  F.col("event_id").alias("packet_id"),
-                  F.encode("props", "UTF-8").alias("payload"))
-    return p.where(F.col("media_type").isNotNull()
-                   & ~((F.col("media_type") == "audio") & (F.col("video_id") == N_VIDEOS - 1)))
+    silent = F.col("user_id") % N_VIDEOS == N_VIDEOS - 1
+    media = (F.when((F.col("event_type") == "purchase") & ~silent, "audio")
+              .when(F.col("event_type").isin("view", "click"), "video")
+              .when(F.col("event_type") == "signup", "subtitle").otherwise("data"))
+    return ev.select((F.col("user_id") % N_VIDEOS).alias("video_id"), media.alias("media_type"),
+                     pts_us("ts").alias("pts_us"),
+                     F.col("event_id").alias("packet_id"),
+                     F.encode("props", "UTF-8").alias("payload"))
 
 
 def fps_text_col() -> Column:
@@ -189,11 +191,26 @@ def coo(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.sum("l_quantity").alias("v")))
 
 
-def pixel_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_pixels as frame rows: one row per frame, raw uint8 bytes in ``data``."""
-    from framelake.operators.pixels import frames_from_arrays
+def pixel_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_pixels with one row per frame: its values as the array ``vals``."""
     emb = table(spark, sf_dir, "embeddings")
     vals = F.transform("embedding", lambda e: F.floor(F.least(F.lit(255.0), F.greatest(
         F.lit(0.0), F.lit(128.0) + F.lit(256.0) * e.cast("double")))).cast("int"))
-    f = emb.select(F.col("label").alias("video_id"), F.col("vec_id").alias("frame_no"), vals.alias("_vals"))
-    return frames_from_arrays(f, "_vals", FRAME_SIDE, FRAME_SIDE, 1)
+    return emb.select(F.col("label").alias("video_id"), F.col("vec_id").alias("frame_no"), vals.alias("vals"))
+
+
+def pixel_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_pixels as frame rows: one row per frame, raw uint8 bytes in ``data``."""
+    from framelake.operators.pixels import frames_from_arrays
+    return frames_from_arrays(pixel_arrays(spark, sf_dir), "vals", FRAME_SIDE, FRAME_SIDE, 1)
+
+
+def bgr_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_bgr as frame rows: 8x8 frames of three channels; channel ``c`` shows
+    the same values, begun ``CHANNEL_SHIFT * c`` places later."""
+    from framelake.operators.pixels import frames_from_arrays
+    n = FRAME_SIDE * FRAME_SIDE
+    vals = F.transform(F.sequence(F.lit(0), F.lit(3 * n - 1)), lambda k: F.get(
+        "vals", (F.floor(k / 3) + CHANNEL_SHIFT * (k % 3)).cast("int") % n))
+    f = pixel_arrays(spark, sf_dir).select("video_id", "frame_no", vals.alias("vals"))
+    return frames_from_arrays(f, "vals", FRAME_SIDE, FRAME_SIDE, 3)

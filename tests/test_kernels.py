@@ -116,3 +116,42 @@ def test_threaded_detection_equals_serial():
     frames[1][3:9, 4:12] = tpl                               # an exact copy elsewhere: a tie on score
     pyr = K.TemplatePyramid(tpl)
     assert K.detect_batch(frames, pyr, threads=4) == K.detect_batch(frames, pyr, threads=1)
+
+
+def test_blend_keeps_the_frames_own_alpha():
+    frame = np.full((4, 4, 4), 58, np.uint8)
+    frame[:, :, 3] = 77
+    logo = np.full((2, 2, 4), 255, np.uint8)
+    logo[:, :, :3] = (58, 143, 63)
+    out = K.blend(frame, logo, 1, 1, 2, 2)
+    assert out[1, 1].tolist() == [58, 143, 63, 77] and out[0, 0].tolist() == [58, 58, 58, 77]
+    grey = np.full((4, 4), 9, np.uint8)
+    with pytest.raises(ValueError):
+        K.blend(grey, logo, 0, 0, 2, 2)
+    both = np.dstack([np.full((2, 2), 200, np.uint8), np.full((2, 2), 255, np.uint8)])
+    assert K.blend(frame, both, 0, 0, 2, 2)[0, 0].tolist() == [200, 200, 200, 77]
+
+
+def test_detection_drops_frame_alpha_and_refuses_other_channels():
+    rng = np.random.default_rng(4)
+    bgr = rng.integers(0, 256, (12, 12, 3), dtype=np.uint8)
+    pyr = K.TemplatePyramid(bgr[3:8, 4:9].copy())
+    want = K.detect(bgr, pyr)
+    assert want["detected"] and (want["x"], want["y"]) == (4, 3)
+    alpha = rng.integers(0, 256, (12, 12), dtype=np.uint8)
+    assert K.detect(np.dstack([bgr, alpha]), pyr) == want
+    assert K.best_in_levels(np.dstack([bgr, alpha]), pyr, [0])[0] == K.best_in_levels(bgr, pyr, [0])[0]
+    with pytest.raises(ValueError):
+        K.detect(bgr[:, :, 0], pyr)
+
+
+@pytest.mark.parametrize("box", [(2, 3, 4, 5), (0, 0, 11, 9), (8, 7, 6, 6), (3, 3, 1, 0), (5, 5, 2, 2)])
+@pytest.mark.parametrize("thickness", [1, 2, 5])
+def test_annotated_pixels_are_those_near_the_box_edge(box, thickness):
+    x, y, w, h = box
+    f = np.zeros((10, 12, 3), np.uint8)
+    yy, xx = np.mgrid[0:10, 0:12]
+    inside = (xx >= x) & (xx <= x + w) & (yy >= y) & (yy <= y + h)
+    border = inside & ((xx - x < thickness) | (x + w - xx < thickness)
+                       | (yy - y < thickness) | (y + h - yy < thickness))
+    assert np.array_equal(K.annotate(f, x, y, w, h, thickness)[:, :, 1] == 255, border)

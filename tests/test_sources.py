@@ -27,13 +27,16 @@ def test_image_source_bgr_and_bgra(spark, tmp_dir):
     _png(f"{tmp_dir}/rgba.png", [[10, 20, 30, 255]], 6)                # 1x1 RGBA
     with open(f"{tmp_dir}/broken.png", "wb") as f:
         f.write(b"abc")
-    imgs = {r.origin.rsplit("/", 1)[-1]: r for r in read_images(spark, tmp_dir).collect()}
+    imgs = {r.origin.rsplit("/", 1)[-1]: r for r in read_images(spark, tmp_dir, on_error="drop").collect()}
     assert set(imgs) == {"rgb.png", "rgba.png"}                        # undecodable file dropped
     assert imgs["rgb.png"].mode == 16 and bytes(imgs["rgb.png"].data)[:3] == bytes([30, 20, 10])
     assert imgs["rgba.png"].mode == 24 and bytes(imgs["rgba.png"].data) == bytes([30, 20, 10, 255])
-    kept = read_images(spark, tmp_dir, drop_invalid=False)
+    kept = read_images(spark, tmp_dir, on_error="keep")
+    assert kept.count() == 3
     with pytest.raises(Exception):
         require_images(kept).collect()
+    with pytest.raises(Exception):                                     # the default
+        read_images(spark, tmp_dir).collect()
 
 
 def test_list_files_name_sorted(spark):
