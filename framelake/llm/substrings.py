@@ -39,6 +39,7 @@ LENGTH = 400
 WIDTHS = (128, 16, 1)
 GRAM = 8                    # bytes that decide whether a place is an anchor
 RARE, DENSE = 7, 4          # anchors are one place in 2**RARE, or 2**DENSE
+HOT, SALTS = 1000, 64       # a name of over 1/HOT of the repeated units is met in SALTS tasks
 UNITS = "core long, hull long, doc_id long, h long, p long"
 BLOCK = SLICE_BYTES         # window starts handled at once in a long text
 
@@ -166,6 +167,25 @@ def _meet(texts: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     return texts.join(r, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), how)
 
 
+def _repeats(units: DataFrame, name: str) -> DataFrame:
+    """The values of ``name`` that occur more than once: value, salt, hot.  A
+    value that makes up 1/HOT of their units or more (so at most HOT values)
+    gets a row for every salt."""
+    counts = cut(units.groupBy(name).agg(F.count("*").alias("n")).where("n > 1"), f"{name}s")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * HOT >= total
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return counts.select(name, hot.alias("hot"), F.explode(salts).alias("salt"))
+
+
+def _meet_repeats(units: DataFrame, repeats: DataFrame, name: str, how: str) -> DataFrame:
+    """Semi or anti join on ``name``, the units of a hot value dealt over its salts."""
+    hot = F.broadcast(repeats.where("hot and salt = 0").select(name, F.lit(True).alias("_hot")))      # at most HOT rows
+    dealt = units.join(hot, name, "left").withColumn(
+        "salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("doc_id", "h", "p"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+    return dealt.join(repeats.select(name, "salt"), [name, "salt"], how).select(*units.columns)
+
+
 def repeated(docs: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """(doc_id, h, p): units all of whose strings have a partner."""
     found = None
@@ -173,16 +193,16 @@ def repeated(docs: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WI
     for level, width in enumerate(widths):
         # the units of the whole corpus are named twice rather than stored; later there are few
         named = all_units(docs, width, length) if units is None else cut(finer_units(docs, units, width, length), f"units-{width}")
-        again = cut(named.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), f"cores-{width}")
-        alive = cut(named.join(again, "core", "left_semi"), f"alive-{width}")
-        hulls = cut(alive.groupBy("hull").agg(F.count("*").alias("n")).where("n > 1").select("hull"), f"hulls-{width}")
-        done = alive.join(hulls, "hull", "left_semi")
+        alive = cut(_meet_repeats(named, _repeats(named, "core"), "core", "left_semi"), f"alive-{width}")
+        hulls = _repeats(alive, "hull")
+        # written, so that what follows sums up within tasks before it shuffles
+        done = cut(_meet_repeats(alive, hulls, "hull", "left_semi"), f"done-{width}")
         part = done.select("doc_id", "h", "p")
         found = part if found is None else found.unionByName(part)
         if level == len(widths) - 1:
             return found
         # what is open may still match a part of a finished unit: one of each kind goes along
-        open_units = cut(alive.join(hulls, "hull", "left_anti"), f"open-{width}")
+        open_units = cut(_meet_repeats(alive, hulls, "hull", "left_anti"), f"open-{width}")
         one = done.groupBy("core", "hull").agg(F.min(F.struct("doc_id", "h", "p")).alias("r"))
         open_cores = cut(open_units.select("core").distinct(), f"open-cores-{width}")
         partners = one.join(open_cores, "core", "left_semi").select("r.*")
