@@ -72,6 +72,39 @@ def test_passages(make_docs):
     assert got[500]["spans"] == "90:160" and got[501]["spans"] == "40:110" and got[503]["n_words_covered"] >= 70
 
 
+def test_passages_of_a_template(make_docs):
+    """Header and footer with unlike words between, and a stray seed before a passage."""
+    head, foot, line = prose(81, 60), prose(82, 60), prose(83, 51)
+    rows = [(600 + 10 * gap + k, f"{head} {prose(gap * 7 + k, gap)} {foot}") for gap in (40, 90, 140) for k in range(3)]
+    rows += [(9000 + k, f"{prose(900 + k, 40)} {prose(84, 7)} {prose(910 + k, 18)} {line}") for k in range(2)]
+    got = {r["doc_id"]: r["spans"] for r in passages.digest(make_docs(rows)).collect()}
+    assert got == {600 + 10 * gap + k: f"0:60,{60 + gap}:{120 + gap}" for gap in (40, 90, 140) for k in range(3)} | {9000 + k: "65:116" for k in range(2)}
+
+
+def test_parts_of_chains():
+    """The parts cover what all alike parts of a chain together cover."""
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        a, b, xs, ys = [], [], [], []
+        for part in range(int(rng.integers(2, 7))):
+            n = int(rng.integers(passages.K, 30))
+            xs += [len(a), len(a) + n - passages.K] if n > passages.K else [len(a)]
+            ys += [len(b), len(b) + n - passages.K] if n > passages.K else [len(b)]
+            same = rng.integers(0, 1 << 60, n).tolist()
+            a += same + rng.integers(0, 1 << 60, int(rng.integers(0, 25))).tolist()
+            b += same + rng.integers(0, 1 << 60, int(rng.integers(1, 25))).tolist()
+        u, v, want, got = np.array(a, np.uint64), np.array(b, np.uint64), set(), set()
+        for i in range(len(xs)):
+            for j in range(i, len(xs)):
+                n, m = xs[j] - xs[i] + passages.K, ys[j] - ys[i] + passages.K
+                if min(n, m) >= passages.MIN_PIECE and len(set(a[xs[i]:xs[i] + n]) & set(b[ys[i]:ys[i] + m])) >= passages.MIN_ALIKE * max(n, m):
+                    want |= set(range(xs[i], xs[i] + n))
+        for x0, x1, y0, y1, hit in passages.align(u, v, xs, ys):
+            assert hit == len(set(a[x0:x1]) & set(b[y0:y1])) >= passages.MIN_ALIKE * max(x1 - x0, y1 - y0)
+            got |= set(range(x0, x1))
+        assert want == got
+
+
 def test_chain_is_best():
     """The Fenwick chain scores as the quadratic recurrence does."""
     rng = np.random.default_rng(3)
