@@ -81,6 +81,20 @@ def test_passages_of_a_template(make_docs):
     assert got == {600 + 10 * gap + k: f"0:60,{60 + gap}:{120 + gap}" for gap in (40, 90, 140) for k in range(3)} | {9000 + k: "65:116" for k in range(2)}
 
 
+def test_passages_of_rows_without_id(spark, make_docs):
+    """Rows without an id hide no other copies, whichever key is least."""
+    rows, least = [], 0
+    for k in range(8):
+        line = prose(700 + k, 60)
+        copies = [(2 * k, f"{line} {prose(720 + k, 20)}"), (2 * k + 1, f"{prose(740 + k, 20)} {line}"), (None, f"{prose(760 + k, 9)} {line}")]
+        rows += copies
+        key = "xxhash64(coalesce(cast(doc_id as string), 'null'), xxhash64(text))"
+        least += spark.createDataFrame(copies, "doc_id long, text string").selectExpr("doc_id", f"{key} as r").orderBy("r").first()["doc_id"] is None
+    rows += [(50, prose(780, 60)), (None, prose(780, 60))]
+    got = {r["doc_id"]: (r["spans"], r["other_id"]) for r in passages.digest(make_docs(rows)).collect()}
+    assert least and got == {2 * k: ("0:60", 2 * k + 1) for k in range(8)} | {2 * k + 1: ("20:80", 2 * k) for k in range(8)} | {50: ("0:60", None)}
+
+
 def test_parts_of_chains():
     """The parts cover what all alike parts of a chain together cover."""
     rng = np.random.default_rng(5)
