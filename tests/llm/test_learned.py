@@ -95,6 +95,19 @@ def test_passages_of_rows_without_id(spark, make_docs):
     assert least and got == {2 * k: ("0:60", 2 * k + 1) for k in range(8)} | {2 * k + 1: ("20:80", 2 * k) for k in range(8)} | {50: ("0:60", None)}
 
 
+def test_passages_of_common_phrases(spark, make_docs):
+    """Seeds of a passage that other rows of lower key have as phrases, and
+    a passage that a row has twice."""
+    line, twice = prose(790, 60).split(), prose(791, 60)
+    rows = [(1, prose(792, 20) + " " + " ".join(line)), (2, " ".join(line) + " " + prose(793, 30))]
+    rows += [(100 * k + v, f"{prose(1000 + 100 * k + v, 30)} {' '.join(line[k:k + 6])} {prose(9000 + 100 * k + v, 30)}") for k in range(1, 55) for v in range(6)]
+    rows += [(60_000, f"{twice} {prose(794, 40)} {twice}"), (60_001, f"{prose(795, 25)} {twice}")]
+    rows += [(60_010 + k, f"{prose(796 + k, 10)} " + "over and over again " * (40 + k)) for k in range(2)]
+    got = {r["doc_id"]: r["spans"] for r in passages.digest(make_docs(rows)).collect()}
+    assert got.pop(60_010) == "10:170" and got.pop(60_011) in ("10:174", "10:170")
+    assert got == {1: "20:80", 2: "0:60", 60_000: "0:60,100:160", 60_001: "25:85"}
+
+
 def test_parts_of_chains():
     """The parts cover what all alike parts of a chain together cover."""
     rng = np.random.default_rng(5)
