@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framelake.llm import decontaminate, jaccard, language, packing, passages, pii, quality, simhash, substrings, toxicity
+from framelake.llm import (alignment, decontaminate, exact_dedup, jaccard, language, packing, passages, phrases, pii, quality, simhash,
+                           substrings, toxicity)
 from framelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +72,18 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_pack")
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op11_exact", exact_dedup.DIGEST_SQL)
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op12_phrases", phrases.DIGEST_SQL)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(table(spark, sf_dir, "documents"))
