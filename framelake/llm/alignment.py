@@ -22,6 +22,7 @@ empty table gives no rows.  Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -35,7 +36,7 @@ from framelake.session import ship_package
 
 BATCH_BYTES = 1 << 20          # text encoded at once
 ROWS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-        "same_ids binary, same_n binary, pair_a binary, pair_b binary, pair_n binary, counted binary")
+        "same_ids binary, pair_a binary, pair_b binary, pair_n binary, counted binary")
 
 
 def paths() -> tuple[str, str]:
@@ -58,12 +59,12 @@ class Pair:
 
     a: object
     b: object
-    a_bytes: list[bytes]
-    b_bytes: list[bytes]
+    a_bytes: pa.LargeBinaryArray
+    b_bytes: pa.LargeBinaryArray
     a_len: np.ndarray
     b_len: np.ndarray
     same: np.ndarray        # A id -> B id of the same bytes, or -1
-    texts: list[str]        # "id,", then "id|" of A, "id,", then "id;" of B
+    texts: pa.LargeBinaryArray        # "id,", then "id|" of A, "id,", then "id;" of B
 
 
 @lru_cache(maxsize=2)
@@ -89,8 +90,9 @@ def load(a_path: str, b_path: str) -> Pair:
             b_bytes.append(b"")
         else:
             b_bytes.append(piece.replace("▁", " ").encode())
-    return Pair(a, b, a_bytes, b_bytes, np.array([len(x) for x in a_bytes]), np.array([len(x) for x in b_bytes]),
-                identity(a_bytes, b_bytes), [f"{i}{end}" for n, ends in ((len(a_bytes), ",|"), (len(b_bytes), ",;")) for end in ends for i in range(n)])
+    texts = [f"{i}{end}".encode() for n, ends in ((len(a_bytes), ",|"), (len(b_bytes), ",;")) for end in ends for i in range(n)]
+    return Pair(a, b, *(pa.array(x, pa.large_binary()) for x in (a_bytes, b_bytes)), np.array([len(x) for x in a_bytes]), np.array([len(x) for x in b_bytes]),
+                identity(a_bytes, b_bytes), pa.array(texts, pa.large_binary()))
 
 
 def identity(a_bytes: list[bytes], b_bytes: list[bytes]) -> np.ndarray:
@@ -103,32 +105,25 @@ def identity(a_bytes: list[bytes], b_bytes: list[bytes]) -> np.ndarray:
 
 
 def groups(a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the last A and the last B token of each group, from the byte
-    lengths of two encodings of the same bytes."""
+    """Which A and which B tokens end a group, from the byte lengths of two
+    encodings of the same bytes."""
     a_end, b_end = np.cumsum(a_len), np.cumsum(b_len)
-    at = np.searchsorted(b_end, a_end)
-    hit = np.flatnonzero(b_end[np.minimum(at, len(b_end) - 1)] == a_end)
-    return hit, at[hit]
+    ends = np.zeros((2, int(a_end[-1]) + 1 if len(a_end) else 1), bool)
+    ends[0, a_end] = True
+    ends[1, b_end] = True
+    return ends[1, a_end], ends[0, b_end]
 
 
-def written(pair: Pair, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
-    """Groups as text: ``a1,a2|b1;a3|b2,b3``."""
+def written(pair: Pair, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> np.ndarray:
+    """Places in ``pair.texts`` that spell the groups: ``a1,a2|b1;a3|b2,b3;``."""
     na, nb = len(pair.a_bytes), len(pair.b_bytes)
-    of_a, of_b = a.copy(), b + 2 * na
-    of_a[last_a] += na
-    of_b[last_b] += nb
     out = np.empty(len(a) + len(b), np.int64)
     # an A token comes after the B tokens of the groups before, a B token after the A tokens of its own
-    before = np.concatenate(([0], last_b + 1))[np.searchsorted(last_a, np.arange(len(a)))]
-    upto = (last_a + 1)[np.searchsorted(last_b, np.arange(len(b)))]
-    out[np.arange(len(a)) + before] = of_a
-    out[np.arange(len(b)) + upto] = of_b
-    texts = pair.texts
-    return "".join([texts[k] for k in out.tolist()])[:-1]
-
-
-def _packed(x: np.ndarray) -> bytes:
-    return x.astype("<u4").tobytes()
+    b_before = np.concatenate(([0], np.flatnonzero(last_b) + 1))
+    a_upto = np.flatnonzero(last_a) + 1
+    out[np.arange(len(a)) + b_before[np.cumsum(last_a) - last_a]] = a + last_a * na
+    out[np.arange(len(b)) + a_upto[np.cumsum(last_b) - last_b]] = b + (2 * na + last_b * nb)
+    return out
 
 
 def encode(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -137,7 +132,7 @@ def encode(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     ship_package(docs.sparkSession)
     rows = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     names = [c.split()[0] for c in ROWS.split(", ")]
-    types = [pa.int64()] * 5 + [pa.string()] + [pa.binary()] * 6
+    types = [pa.int64()] * 5 + [pa.string()] + [pa.binary()] * 5
 
     def batch(cols):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
@@ -150,39 +145,75 @@ def encode(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             edges = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), big.num_rows]
             for lo, hi in zip(edges, edges[1:]):
                 b = big.slice(lo, hi - lo)
-                texts = b.column(1).to_pylist()
-                out = [[] for _ in names]
-                tokens = zip(pair.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False), pair.b.encode(texts, num_threads=1))
-                for doc_id, text, (ea, eb) in zip(b.column(0).to_pylist(), texts, tokens):
-                    row = _aligned(pair, text, ea.ids, eb, vector)
-                    for o, v in zip(out, (doc_id, *row, None)):
-                        o.append(v)
-                if texts:
-                    yield batch(out)
+                rows = _aligned(pair, b.column(1).to_pylist(), vector)
+                if rows:
+                    yield batch([b.column(0).to_pylist(), *zip(*rows), [None] * len(rows)])
         if vector.any():
-            yield batch([[None]] * 11 + [[vector.astype("<i8").tobytes()]])
+            yield batch([[None]] * 10 + [[vector.astype("<i8").tobytes()]])
     return rows.mapInArrow(run, ROWS)
 
 
-_NONE = (0, 0, 0, 0, "", b"", b"", b"", b"", b"")
-
-
-def _aligned(pair: Pair, text: str, ids_a: list[int], ids_b: list[int], vector: np.ndarray) -> tuple:
-    """n_a .. groups_sha256 of a text, its identity links and its other pairs
-    with how often each occurs; adds the identity links to ``vector``."""
-    whole = (" " + text).encode()
-    if not text or b"".join([pair.a_bytes[i] for i in ids_a]) != whole or b"".join([pair.b_bytes[i] for i in ids_b]) != whole:
-        return _NONE
-    a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+_NONE = (0, 0, 0, 0, "", b"", b"", b"", b"")
+
+
+def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array, and where each begins."""
+    flat = array("q")
+    for x in ids:
+        flat.extend(x)
+    return np.frombuffer(flat, np.int64), np.cumsum([0, *map(len, ids)])
+
+
+def _spelled(table: pa.LargeBinaryArray, at: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """Entries ``at`` of ``table`` as one run of bytes, and where each begins."""
+    got = table.take(pa.array(at))
+    return memoryview(got.buffers()[2] or b"").cast("B"), np.frombuffer(got.buffers()[1], np.int64)[:len(at) + 1]
+
+
+def _aligned(pair: Pair, texts: list[str], vector: np.ndarray) -> list[tuple]:
+    """Of each text n_a .. groups_sha256, its identity links (A ids), and its
+    other pairs with how often each occurs; adds the identity links to
+    ``vector``.  The texts are taken as one run of bytes: both encodings end
+    where a text ends."""
+    spaced = [" " + t for t in texts]
+    of_a = [e.ids for e in pair.a.encode_batch_fast(spaced, add_special_tokens=False)]
+    of_b = pair.b.encode(texts, num_threads=1)
+    whole = [w.encode() if t else None for t, w in zip(texts, spaced)]
+    good, runs = [k for k, w in enumerate(whole) if w is not None], []
+    for ids, table in ((of_a, pair.a_bytes), (of_b, pair.b_bytes)):
+        flat, at = _joined([ids[k] for k in good])
+        data, ends = _spelled(table, flat)
+        same = [data[ends[lo]:ends[hi]] == whole[k] for k, lo, hi in zip(good, at, at[1:])]
+        runs.append((good, flat, at))
+        good = [k for k, ok in zip(good, same) if ok]
+    out: list[tuple] = [_NONE] * len(texts)
+    if not good:
+        return out
+    (a, from_a), (b, from_b) = [run[1:] if run[0] == good else _joined([ids[k] for k in good]) for run, ids in zip(runs, (of_a, of_b))]
     last_a, last_b = groups(pair.a_len[a], pair.b_len[b])
-    link_a, link_b = a[last_a], b[last_b]
-    single = (np.diff(last_a, prepend=-1) == 1) & (np.diff(last_b, prepend=-1) == 1) & (pair.same[link_a] == link_b)
-    same, n = np.unique(link_a[single], return_counts=True)
-    vector[same] += n
-    others, m = np.unique(link_a[~single] << 32 | link_b[~single], return_counts=True)
-    digest = hashlib.sha256(written(pair, a, b, last_a, last_b).encode()).hexdigest()
-    return (len(a), len(b), len(last_a), len(last_a), digest, _packed(same), _packed(n),
-            _packed(others >> 32), _packed(others & 0xFFFFFFFF), _packed(m))
+    end_a, end_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
+    link_a, link_b = a[end_a], b[end_b]
+    first = np.searchsorted(end_a, from_a)
+    single = (np.diff(end_a, prepend=-1) == 1) & (np.diff(end_b, prepend=-1) == 1) & (pair.same[link_a] == link_b)
+    vector += np.bincount(link_a[single], minlength=len(vector))
+    text = np.repeat(np.arange(len(good)), np.diff(first))
+    same, from_same = link_a[single].astype("<u4"), np.searchsorted(text[single], np.arange(len(good) + 1))
+    pairs = link_a[~single] << 32 | link_b[~single]
+    of = text[~single]
+    order = np.lexsort((pairs, of))
+    pairs, of = pairs[order], of[order]
+    new = np.flatnonzero(np.concatenate(([True], (pairs[1:] != pairs[:-1]) | (of[1:] != of[:-1])))) if len(pairs) else np.zeros(0, np.int64)
+    times = np.diff(np.append(new, len(pairs)))
+    from_pair = np.searchsorted(of[new], np.arange(len(good) + 1))
+    left, right, times = (pairs[new] >> 32).astype("<u4"), (pairs[new] & 0xFFFFFFFF).astype("<u4"), times.astype("<u4")
+    data, ends = _spelled(pair.texts, written(pair, a, b, last_a, last_b))
+    starts = ends[from_a + from_b]
+    for g, k in enumerate(good):
+        n = int(first[g + 1] - first[g])
+        s, p = slice(from_same[g], from_same[g + 1]), slice(from_pair[g], from_pair[g + 1])
+        out[k] = (len(of_a[k]), len(of_b[k]), n, n, hashlib.sha256(data[starts[g]:starts[g + 1] - 1]).hexdigest(),
+                  same[s].tobytes(), left[p].tobytes(), right[p].tobytes(), times[p].tobytes())
+    return out
 
 
 def _sums(encoded: DataFrame, size: int) -> np.ndarray:
@@ -244,14 +275,14 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
         count, is_best = shared.value
         for b in batches:
             sums, bests = [], []
-            for i, n in zip(b.column("same_ids").to_pylist(), b.column("same_n").to_pylist()):
-                i, n = np.frombuffer(i, "<u4"), np.frombuffer(n, "<u4").astype(np.int64)
-                sums.append(int((count[i] * n).sum()))
-                bests.append(int(n[is_best[i]].sum()))
+            for i in b.column("same_ids").to_pylist():
+                i = np.frombuffer(i, "<u4")
+                sums.append(int(count[i].sum()))
+                bests.append(int(is_best[i].sum()))
             yield pa.RecordBatch.from_arrays([*b.columns[:7], pa.array(sums, pa.int64()), pa.array(bests, pa.int64())],
                                              names=["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "sum_same", "best_same"])
     kept = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-    rows = (encoded.where("counted is null").select(*kept, "same_ids", "same_n")
+    rows = (encoded.where("counted is null").select(*kept, "same_ids")
             .mapInArrow(regular, "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, sum_same long, best_same long"))
     zero = F.lit(0).cast("long")
     return (rows.join(irregular, "row", "left")
