@@ -41,7 +41,7 @@ DEPTH = 4
 LEAST = 30
 TOP = 2000
 COVERED = 80                   # percent of a phrase's count that a longer one may have
-CHUNK_BYTES = 12 << 20         # text sorted at once in a task
+CHUNK_BYTES = 8 << 20         # text sorted at once in a task
 SORTED = 4096                  # partitions up to this size are sorted outright
 PARTITION_ROWS = 4 << 20       # rows a task sorts at most, on average
 IDS = [f"w{k}" for k in range(1, DEPTH + 1)]
