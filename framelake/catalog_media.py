@@ -296,3 +296,35 @@ def q_gram_matrix(spark, d):
 def q_svd_topk(spark, d):
     from framelake.operators.linalg import svd_topk
     return svd_topk(spark, TD.table(spark, d, "embeddings"), "embedding", 5)
+
+
+def _svd_sql(k: int = 5, squarings: int = 16) -> str:
+    """Singular pairs from the Gram matrix alone: its power ``2^squarings`` has
+    the leading vector in every column (taken where the diagonal is largest);
+    the pair is then taken out of the Gram and the next one follows."""
+    ctes = [("x", "SELECT vec_id, CAST(embedding[i + 1] AS DOUBLE) AS v, i FROM embeddings, (SELECT unnest(range(64)) AS i) r"),
+            ("g0", "SELECT a.i, b.i AS j, sum(a.v * b.v) AS g FROM x a JOIN x b USING (vec_id) GROUP BY 1, 2")]
+    for n in range(k):
+        ctes.append((f"p{n}_0", f"SELECT i, j, g / (SELECT max(abs(g)) FROM g{n}) AS g FROM g{n}"))
+        for m in range(squarings):
+            ctes.append((f"q{n}_{m}", f"SELECT a.i, b.j, sum(a.g * b.g) AS g FROM p{n}_{m} a JOIN p{n}_{m} b ON a.j = b.i GROUP BY 1, 2"))
+            ctes.append((f"p{n}_{m + 1}", f"SELECT i, j, g / (SELECT max(abs(g)) FROM q{n}_{m}) AS g FROM q{n}_{m}"))
+        power = f"p{n}_{squarings}"
+        ctes.append((f"c{n}", f"SELECT i, g FROM {power} WHERE j = (SELECT i FROM {power} WHERE i = j ORDER BY g DESC, i LIMIT 1)"))
+        ctes.append((f"v{n}", f"SELECT i, g / (SELECT sqrt(sum(g * g)) FROM c{n}) AS v FROM c{n}"))
+        ctes.append((f"w{n}", f"SELECT g.i, sum(g.g * v.v) AS w FROM g0 g JOIN v{n} v ON g.j = v.i GROUP BY 1"))
+        ctes.append((f"l{n}", f"SELECT sum(w.w * v.v) AS l FROM w{n} w JOIN v{n} v USING (i)"))
+        ctes.append((f"g{n + 1}", f"SELECT g.i, g.j, g.g - l.l * a.v * b.v AS g FROM g{n} g JOIN v{n} a ON g.i = a.i JOIN v{n} b ON g.j = b.i, l{n} l"))
+        ctes.append((f"r{n}", f"SELECT sqrt(sum((w.w - l.l * v.v) * (w.w - l.l * v.v))) / (SELECT l FROM l0) AS r FROM w{n} w JOIN v{n} v USING (i), l{n} l"))
+    rows = " UNION ALL ".join(f"SELECT CAST({n} AS INTEGER) AS k, round(sqrt(l), 4) AS sigma, round(r, 6) AS residual FROM l{n}, r{n}" for n in range(k))
+    return "WITH " + ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in ctes) + " " + rows
+
+
+@register("svd_pairs", _svd_sql())
+def q_svd_pairs(spark, d):
+    """L2 whole: pairs from the tree of triangular factors, checked against a
+    Gram matrix that is formed anew."""
+    from framelake.operators.linalg import gram_matrix, pair_residuals, singular_pairs
+    x = TD.table(spark, d, "embeddings")
+    out = pair_residuals(singular_pairs(x, "embedding", 5), gram_matrix(x, "embedding"))
+    return out.select("k", F.round("sigma", 4).alias("sigma"), F.round("residual", 6).alias("residual"))
