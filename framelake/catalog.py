@@ -231,6 +231,17 @@ def q_chunk_frame_counts(spark, d):
                                                 F.col("last_pts_us") - F.col("first_pts_us")))
 
 
+@register("task_per_chunk", with_fx("""
+    SELECT CAST(dense_rank() OVER (ORDER BY video_id, chunk_id) - 1 AS INTEGER) AS task_no, CAST(1 AS BIGINT) AS n_chunks, video_id, chunk_id, n_frames
+    FROM (SELECT video_id, chunk_id, count(*) AS n_frames FROM c GROUP BY 1, 2) g""", "fx_frames", ctes=_CHUNKED_CTES))
+def q_task_per_chunk(spark, d):
+    """What each task of the per-chunk stage holds."""
+    f = CH.one_task_per_chunk(CH.assign_equal_chunks(TD.frames(spark, d), N_CHUNKS))
+    return (f.groupBy(F.spark_partition_id().alias("task_no"))
+             .agg(F.count_distinct("video_id", "chunk_id").alias("n_chunks"), F.min("video_id").alias("video_id"),
+                  F.min("chunk_id").alias("chunk_id"), F.count(F.lit(1)).alias("n_frames")))
+
+
 # --------------------------------------------- frame store & numbering (A/F/G)
 def _payload_frames(spark, d):
     return FR.explode_frames(TD.payload(spark, d), TD.PAYLOAD_FRAME_BYTES)

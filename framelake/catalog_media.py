@@ -273,6 +273,74 @@ def q_stream_frames(spark, d):
                        F.hex("data").alias("data_hex"))
 
 
+# Chunks arrive in files of about so many chunks, twelve at least.
+FILE_CHUNKS, LEAST_FILES = 100_000, 12
+PROGRESS_BATCHES = 10
+
+
+def _arriving(spark, d):
+    """fx_payload written as the files of a stream: file ``k`` of ``n`` holds
+    the chunks whose number leaves ``k``.  One file is one micro-batch."""
+    from framelake.session import scratch_path
+    chunks, path = TD.payload(spark, d), scratch_path(spark, "arriving")
+    n = max(LEAST_FILES, -(-chunks.count() // FILE_CHUNKS))
+    part = F.pmod(F.col("chunk_id"), F.lit(n)).cast("int")
+    chunks.withColumn("part_no", part).repartitionById(n, "part_no").write.parquet(path)
+    return spark.readStream.schema("video_id long, chunk_id long, payload binary, part_no int").option("maxFilesPerTrigger", 1).parquet(path)
+
+
+_ARRIVING_SQL = f"(SELECT greatest({LEAST_FILES}, (count(*) + {FILE_CHUNKS - 1}) // {FILE_CHUNKS}) AS n FROM fx_payload)"
+
+
+@register("stream_resume", with_fx("""
+    SELECT video_id, chunk_id, CAST((octet_length(payload) + 63) // 64 AS BIGINT) AS n_frames,
+           CAST(octet_length(payload) AS BIGINT) AS n_bytes, CAST(1 AS BIGINT) AS n_batches, CAST(2 AS BIGINT) AS n_runs
+    FROM fx_payload WHERE octet_length(payload) > 0""", "fx_payload"))
+def q_stream_resume(spark, d):
+    """S3: an ingestion is stopped when its third micro-batch is written but
+    not committed, and started again from its checkpoint; every frame is in
+    the store once."""
+    from framelake.session import scratch_path
+    from framelake.streaming.ingest import Stopped, ingest_chunks
+    stream = _arriving(spark, d)
+    store, ckpt, runs = scratch_path(spark, "resume-store"), scratch_path(spark, "resume-ckpt"), 1
+    try:
+        ingest_chunks(spark, stream, lambda b: b, TD.PAYLOAD_FRAME_BYTES, store, ckpt, stop_after=3)
+    except Stopped:
+        runs += 1
+        ingest_chunks(spark, stream, lambda b: b, TD.PAYLOAD_FRAME_BYTES, store, ckpt)
+    frames = spark.read.parquet(store)
+    return (frames.groupBy(F.col("video_id").cast("bigint").alias("video_id"), "chunk_id")
+                  .agg(F.count(F.lit(1)).alias("n_frames"), F.sum(F.length("data")).cast("bigint").alias("n_bytes"),
+                       F.count_distinct("batch_id").alias("n_batches"))
+                  .withColumn("n_runs", F.lit(runs).cast("bigint")))
+
+
+@register("batch_progress", with_fx(f"""
+    SELECT part_no, n_frames, n_failed, CAST(sum(n_frames) OVER () AS BIGINT) AS frames_done,
+           CAST(sum(n_failed) OVER () AS BIGINT) AS failed_done, count(*) OVER () AS n_records, count(*) OVER () // {PROGRESS_BATCHES} AS n_marks,
+           CAST(sum(n_frames - n_failed) OVER () AS DOUBLE) / CAST(sum(n_frames) OVER () AS DOUBLE) AS success_rate
+    FROM (SELECT CAST(chunk_id % n AS INTEGER) AS part_no, CAST(sum((octet_length(payload) + 63) // 64) AS BIGINT) AS n_frames,
+                 count(*) FILTER (WHERE octet_length(payload) % 64 > 0) AS n_failed
+          FROM fx_payload, {_ARRIVING_SQL} a GROUP BY 1) p""", "fx_payload"))
+def q_batch_progress(spark, d):
+    """F4/C5/E4 per micro-batch: frames and failures observed while a batch is
+    written, and a checkpoint record after each; the last record and the marks
+    of every tenth batch are read back."""
+    from framelake.session import scratch_path
+    from framelake.streaming.ingest import ingest_chunks, read_progress
+    log = scratch_path(spark, "progress-log")
+    ingest_chunks(spark, _arriving(spark, d), lambda b: b, TD.PAYLOAD_FRAME_BYTES, scratch_path(spark, "progress-store"),
+                  scratch_path(spark, "progress-ckpt"), log=log, every=PROGRESS_BATCHES, observe={"part_no": F.max("part_no")})
+    records = read_progress(spark, log)
+    last = records.agg(F.max_by(F.struct("frames_done", "failed_done"), "batch_id").alias("l"), F.count(F.lit(1)).alias("n_records"),
+                       F.count_if("is_mark").alias("n_marks"))
+    rows = records.select(F.col("part_no").cast("int").alias("part_no"), "n_frames", "n_failed", F.lit(0).alias("_one"))
+    last = last.select(F.lit(0).alias("_one"), "l.*", "n_records", "n_marks",
+                       ((F.col("l.frames_done") - F.col("l.failed_done")).cast("double") / F.col("l.frames_done").cast("double")).alias("success_rate"))
+    return rows.join(last, "_one").drop("_one")
+
+
 # ---------------------------------------------------------- linear algebra (L)
 @register("matmul_coo", with_fx("""
     SELECT a.i, b.j, sum(a.v * b.v) AS v FROM fx_coo a JOIN fx_coo b ON a.j = b.i GROUP BY 1, 2""", "fx_coo"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from framelake.functions.scalars import idiv
 from framelake.operators import scan
+from framelake.operators.joins import by_keys, join_small
 
 
 def frame_count(n_bytes: Column, frame_bytes: int) -> Column:
@@ -59,9 +60,8 @@ def number_frames(frames: DataFrame, offsets: DataFrame) -> DataFrame:
 
     No global sort: the chunk offsets (one row per chunk) are joined onto the
     frames with a size-checked broadcast, so frame bytes are not shuffled."""
-    from framelake.operators.joins import join_small
     o = offsets.select("video_id", "chunk_id", "frame_offset")
-    return (join_small(frames, o, ["video_id", "chunk_id"])
+    return (join_small(frames, o, ["video_id", "chunk_id"], null_keys=True)
                   .withColumn("frame_no", (F.col("frame_offset") + F.col("local_no")).cast("bigint"))
                   .drop("frame_offset"))
 
@@ -98,7 +98,7 @@ def batch_plan(frames: DataFrame, cores: int, block: Column, order: Sequence[str
     counts = frames.groupBy("video_id").agg(F.count(F.lit(1)).alias("_n"))
     ix = scan.ordered_index(frames, ["video_id"], order, block)
     size = F.greatest(idiv(F.col("_n"), F.lit(cores * 4)), F.lit(1))
-    return (ix.join(counts, "video_id")
+    return (by_keys(ix, counts, ["video_id"])
               .withColumn("batch_size", size.cast("bigint"))
               .withColumn("batch_id", idiv(F.col("ix") - 1, F.col("batch_size")))
               .drop("_n"))
@@ -142,7 +142,7 @@ def reassemble(frames: DataFrame, policy: str = "strict", data: str = "data",
     if policy == "fill_previous":
         # the copies are rows of their own, so a long hole spreads over parts
         holes = frame_gaps(frames, keys, "frame_no", idiv(F.col("frame_no"), F.lit(4096)))
-        last = (f.join(holes.select(*keys, "frame_no", "next_no"), [*keys, "frame_no"])
+        last = (by_keys(f, holes.select(*keys, "frame_no", "next_no"), [*keys, "frame_no"])
                  .groupBy(*keys, "frame_no", "next_no").agg(F.max("_data").alias("_data")))
         f = f.unionByName(last.select(
             *keys, F.explode(F.sequence(F.col("frame_no") + 1, F.col("next_no") - 1)).alias("frame_no"), "_data"))
@@ -167,8 +167,8 @@ def _require_dense(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
            | (F.col("first_no") != F.col("_prev") + 1))
     checked = prev.groupBy(*keys).agg(F.max(F.coalesce(bad, F.lit(False))).alias("_bad"))
     ok = F.when(~F.col("_bad"), F.col("n_frames")).otherwise(
-        F.raise_error(F.format_string("gap in frames of video %s chunk %s", *keys)).cast("bigint"))
-    return parts.join(checked, list(keys)).withColumn("n_frames", ok).drop("_bad")
+        F.raise_error(F.format_string("gap in frames of video %s chunk %s", *[F.col(k).cast("string") for k in keys])).cast("bigint"))
+    return by_keys(parts, checked, keys).withColumn("n_frames", ok).drop("_bad")
 
 
 def unprocessed(extracted: DataFrame, processed: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from framelake.functions.scalars import idiv
 from framelake.operators import scan
+from framelake.operators.joins import by_keys
 
 
 def select_media(packets: DataFrame, media_type: str | None) -> DataFrame:
@@ -54,7 +55,7 @@ def fps_resample(frames: DataFrame, fps_num: int, fps_den: int, block_slots: int
                   .select("video_id", F.explode(F.sequence(
                       F.greatest(F.col("lo"), F.col("b") * block_slots),
                       F.least(F.col("hi"), F.col("b") * block_slots + block_slots - 1))).alias("slot")))
-    g = grid.join(winners, ["video_id", "slot"], "left")
+    g = by_keys(grid, winners, ["video_id", "slot"], "left")
     filled = scan.fill_forward(g, ["video_id"], ["slot"], idiv(F.col("slot"), F.lit(block_slots)),
                                F.col("w"), "src")
     return filled.select(
@@ -70,9 +71,9 @@ def remux(packets: DataFrame, block_us: int) -> DataFrame:
     other packets (``has_audio = false``)."""
     seq = scan.ordered_index(packets, ["video_id"], ["pts_us", "media_type", "packet_id"],
                              idiv(F.col("pts_us"), F.lit(block_us)), "seq")
-    has = (packets.groupBy(F.col("video_id").alias("_v"))
+    has = (packets.groupBy("video_id")
                   .agg(F.coalesce(F.bool_or(F.col("media_type") == "audio"), F.lit(False)).alias("has_audio")))
-    return seq.join(has, F.col("video_id").eqNullSafe(F.col("_v")), "left").drop("_v")
+    return by_keys(seq, has, ["video_id"], "left")
 
 
 def before_after(stats: DataFrame, key: str, side_col: str, before: str, after: str,

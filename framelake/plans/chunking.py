@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from framelake.functions.scalars import chunk_name, idiv
 from framelake.operators import scan
+from framelake.operators.joins import by_keys
 
 # Default block width for ordered scans over frame metadata: frames of one
 # video have distinct timestamps, so a block holds at most block_us * fps rows.
@@ -54,7 +55,7 @@ def assign_equal_chunks(frames: DataFrame, n_chunks: int) -> DataFrame:
     """D5 (equal-width plan): chunk of each frame by arithmetic, no join with
     the plan beyond the per-video extent (one row per video)."""
     ext = video_extent(frames)
-    return (frames.join(ext, "video_id")
+    return (by_keys(frames, ext, ["video_id"])
                   .withColumn("chunk_id", nominal_chunk(F.col("pts_us"), F.col("dur_us"), n_chunks)
                               .cast("int"))
                   .drop("dur_us"))
@@ -73,7 +74,7 @@ def range_join_chunks(frames: DataFrame, plan: DataFrame, bin_us: int) -> DataFr
                     F.explode(F.sequence(idiv(F.col("start_us"), F.lit(bin_us)),
                                          idiv(F.col("end_us") - 1, F.lit(bin_us)))).alias("_bin"))
     f = frames.withColumn("_bin", idiv(F.col("pts_us"), F.lit(bin_us)))
-    return (f.join(p, ["video_id", "_bin"])
+    return (by_keys(f, p, ["video_id", "_bin"])
              .where((F.col("pts_us") >= F.col("start_us")) & (F.col("pts_us") < F.col("end_us")))
              .drop("_bin", "start_us", "end_us"))
 
@@ -101,7 +102,7 @@ def keyframe_segments(frames: DataFrame, n_chunks: int, block_us: int = DEFAULT_
     last pts + 1 of each video.
     """
     ext = extent.select("video_id", "dur_us") if extent is not None else video_extent(frames)
-    f = (frames.join(ext, "video_id")
+    f = (by_keys(frames, ext, ["video_id"])
                .withColumn("_nom", nominal_chunk(F.col("pts_us"), F.col("dur_us"), n_chunks)))
     seg = scan.running_max(f, ["video_id"], ["pts_us", "frame_id"],
                            idiv(F.col("pts_us"), F.lit(block_us)),
@@ -120,8 +121,8 @@ def keyframe_segments(frames: DataFrame, n_chunks: int, block_us: int = DEFAULT_
     if not with_frames:
         return segs
     # pts restart per chunk (reset timestamps)
-    return (seg.join(segs.select("video_id", F.col("nominal_chunk").alias("_seg"), "chunk_id",
-                                 "first_pts_us"), ["video_id", "_seg"])
+    return (by_keys(seg, segs.select("video_id", F.col("nominal_chunk").alias("_seg"), "chunk_id",
+                                     "first_pts_us"), ["video_id", "_seg"])
                .withColumn("pts_in_chunk_us", F.col("pts_us") - F.col("first_pts_us"))
                .drop("_seg", "_nom", "dur_us", "first_pts_us"))
 
@@ -130,7 +131,7 @@ def keyframe_chunks(frames: DataFrame, n_chunks: int) -> DataFrame:
     """Key frames only, each with its equal-time chunk."""
     keys = frames.where(F.col("pict_type") == "I")
     ext = video_extent(frames)
-    return (keys.join(ext, "video_id")
+    return (by_keys(keys, ext, ["video_id"])
                 .select("video_id", nominal_chunk(F.col("pts_us"), F.col("dur_us"), n_chunks)
                         .cast("int").alias("chunk_id"), "frame_id", "pts_us"))
 
@@ -145,14 +146,39 @@ def force_keyframes(frames: DataFrame, n_chunks: int) -> DataFrame:
     firsts = (f.groupBy("video_id", "chunk_id")
                .agg(F.min(F.struct("pts_us", "frame_id")).alias("_first"))
                .select("video_id", "chunk_id", F.col("_first.frame_id").alias("_ffid")))
-    return (f.join(firsts, ["video_id", "chunk_id"])
+    return (by_keys(f, firsts, ["video_id", "chunk_id"])
              .select("video_id", "chunk_id", "frame_id", "pts_us",
                      (F.col("pict_type") == "I").alias("was_key"),
-                     ((F.col("pict_type") == "I") | (F.col("frame_id") == F.col("_ffid"))).alias("is_key")))
-
-
-def one_task_per_chunk(chunks: DataFrame, n_chunks: int) -> DataFrame:
-    """Give every chunk its own task (range partitioning on the chunk key
-    never puts two chunks of the n in one partition the way hash
-    partitioning can); AQE still applies to the metadata stages."""
-    return chunks.repartitionByRange(n_chunks, "video_id", "chunk_id")
+                     ((F.col("pict_type") == "I") | F.col("frame_id").eqNullSafe(F.col("_ffid"))).alias("is_key")))
+
+
+def chunk_ranks(chunks: DataFrame, keys: tuple[str, ...] = ("video_id", "chunk_id"), per_task: int = 100_000) -> DataFrame:
+    """The distinct keys of ``chunks`` with a dense ``rank`` from 0 in key
+    order (NULLs first), without a task that sees all of them: the keys are
+    sorted by range and written, each range is numbered by itself, and the
+    counts of the ranges before it (one row per range) are added."""
+    from framelake.session import scratch_path
+    spark = chunks.sparkSession
+    d = chunks.select(*keys).distinct()
+    path = scratch_path(spark, "chunk-ranks")       # written: a range keeps its rows when a task is run again
+    (d.repartitionByRange(max(1, -(-d.count() // per_task)), *keys).withColumn("_range", F.spark_partition_id()).write.parquet(path))
+    d = spark.read.parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = d.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = Window.partitionBy("_range").orderBy(*keys)
+    return (d.withColumn("_l", F.row_number().over(local)).join(offsets, "_range")
+             .select(*keys, (F.col("_before") + F.col("_l") - 1).cast("bigint").alias("rank")))
+
+
+def one_task_per_chunk(frames: DataFrame, n_chunks: int | None = None,
+                       keys: tuple[str, ...] = ("video_id", "chunk_id")) -> DataFrame:
+    """Every chunk's rows in a task of their own, as many tasks as chunks.
+
+    Each chunk has a dense rank, which *is* its partition, so no two chunks
+    ever share a task (hashing the key, or sampling its range bounds, can put
+    two into one).  The column ``task_no`` holds the rank.  A known ``n_chunks``
+    saves counting them."""
+    ranks = chunk_ranks(frames, keys)
+    n = n_chunks or ranks.count()
+    ranked = by_keys(frames, ranks, keys).withColumn("task_no", F.col("rank").cast("int")).drop("rank")
+    return ranked.repartitionById(max(n, 1), "task_no")

@@ -6,13 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.operators.joins import by_keys
 from framelake.plans.chunking import video_extent
 
 
 def sweep_rows(frames: DataFrame, n_min: int, n_max: int) -> DataFrame:
     """Per chunk count ``n`` in [n_min, n_max] and chunk: the bytes the chunk
     holds (the work a chunk of that sweep setting carries)."""
-    f = (frames.join(video_extent(frames), "video_id")
+    f = (by_keys(frames, video_extent(frames), ["video_id"])
                .select("pts_us", "dur_us", "size_bytes",
                        F.explode(F.sequence(F.lit(n_min), F.lit(n_max))).alias("num_chunks")))
     chunk = F.least(F.col("num_chunks").cast("bigint") - 1,

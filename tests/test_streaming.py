@@ -1,10 +1,11 @@
 """Streaming forms equal their batch twins; ingestion resumes without duplicates."""
 
 
+import pytest
 from pyspark.sql import functions as F
 
 from framelake.sources import testdata as TD
-from framelake.streaming.ingest import ingest_chunks
+from framelake.streaming.ingest import Stopped, ingest_chunks, read_progress
 from framelake.streaming.resources import resource_windows, stream_resource_windows
 from tests.conftest import SF_SMALL
 
@@ -93,3 +94,43 @@ def test_a_chunk_in_two_batches_keeps_all_its_rows(spark, tmp_dir):
         run()
     rows = spark.read.parquet(f"{tmp_dir}/store").orderBy("batch_id", "local_no").collect()
     assert b"".join(bytes(r.data) for r in rows) == b"abcdefg"
+
+
+def arriving(spark, path, parts=5):
+    """Files of a stream: file k holds one chunk of 3 * (k + 1) + 1 bytes."""
+    for k in range(parts):
+        row = [(k % 2, k, bytes([65 + k]) * (3 * (k + 1) + 1))]
+        spark.createDataFrame(row, "video_id long, chunk_id long, payload binary").coalesce(1).write.parquet(f"{path}/part{k}")
+    return (spark.readStream.schema("video_id long, chunk_id long, payload binary")
+            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(path))
+
+
+@pytest.mark.parametrize("stop_after", [1, 3, 5])
+def test_a_stopped_run_goes_on_from_its_checkpoint(spark, tmp_dir, stop_after):
+    stream = arriving(spark, f"{tmp_dir}/in")
+    args = (spark, stream, lambda b: b, 3, f"{tmp_dir}/store", f"{tmp_dir}/ckpt", f"{tmp_dir}/log")
+    with pytest.raises(Stopped):
+        ingest_chunks(*args, every=2, stop_after=stop_after)
+    assert read_progress(spark, f"{tmp_dir}/log").count() == stop_after
+    ingest_chunks(*args, every=2)
+    store = spark.read.parquet(f"{tmp_dir}/store")
+    per_chunk = {r.chunk_id: (r.n, r.b) for r in store.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("batch_id").alias("b")).collect()}
+    assert per_chunk == {k: (k + 2, 1) for k in range(5)}
+    log = read_progress(spark, f"{tmp_dir}/log").orderBy("batch_id").collect()
+    assert [r.batch_id for r in log] == list(range(5))
+    assert [r.n_frames for r in log] == [2, 3, 4, 5, 6] and [r.frames_done for r in log] == [2, 5, 9, 14, 20]
+    assert [r.failed_done for r in log] == [1, 2, 3, 4, 5] and [r.is_mark for r in log] == [False, True, False, True, False]
+
+
+def test_a_real_failure_is_not_taken_for_a_stop(spark, tmp_dir):
+    stream = arriving(spark, f"{tmp_dir}/in", 2)
+    with pytest.raises(Exception, match="no_such_column"):
+        ingest_chunks(spark, stream, lambda b: b.select("no_such_column"), 3, f"{tmp_dir}/store", f"{tmp_dir}/ckpt", stop_after=1)
+
+
+def test_records_hold_observed_metrics(spark, tmp_dir):
+    stream = arriving(spark, f"{tmp_dir}/in", 3)
+    ingest_chunks(spark, stream, lambda b: b, 3, f"{tmp_dir}/store", f"{tmp_dir}/ckpt", f"{tmp_dir}/log",
+                  observe={"last_chunk": F.max("chunk_id"), "n_bytes": F.sum(F.length("data"))})
+    log = read_progress(spark, f"{tmp_dir}/log").orderBy("batch_id").collect()
+    assert [(r.last_chunk, r.n_bytes) for r in log] == [(0, 4), (1, 7), (2, 10)]
