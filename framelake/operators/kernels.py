@@ -91,12 +91,13 @@ def _fft_shape(n: int) -> int:
     return best
 
 
-# Template spectra are cached per frame shape only while they fit this budget;
-# beyond it they are rebuilt once per group of frames (scales outer, frames
-# inner).  A group holds as many frames' spectra + integral images as fit
-# GROUP_BYTES (about 4 frames at 1080p BGR).
-SPECTRA_CACHE_BYTES = 256 * 1024 * 1024
-GROUP_BYTES = 512 * 1024 * 1024
+# A frame is scored in overlapping tiles of this size (overlap-save), so spectra
+# are as large as a tile, whatever the frame: 25 levels of three channels take
+# 118 MB, are built once per Python worker and serve every frame.  Templates of
+# more than half a tile get larger tiles.  Spectra beyond the budget (such
+# templates) are built anew for each frame.
+TILE_H, TILE_W = 384, 512
+SPECTRA_CACHE_BYTES = 160 * 1024 * 1024
 
 
 class TemplatePyramid:
@@ -127,10 +128,10 @@ class TemplatePyramid:
         """All level spectra for a padded shape, or None if over budget."""
         key = (ph, pw)
         if key not in self._spectra:
-            size = len(self.levels) * ph * (pw // 2 + 1) * self.c * 16
-            if size > SPECTRA_CACHE_BYTES:
+            size = lambda h, w: len(self.levels) * h * (w // 2 + 1) * self.c * 16
+            if size(ph, pw) > SPECTRA_CACHE_BYTES:
                 return None
-            while len(self._spectra) >= 2:                # keep the two most recent frame shapes
+            while sum(size(*k) for k in self._spectra) + size(ph, pw) > SPECTRA_CACHE_BYTES:    # keep the most recent shapes
                 self._spectra.pop(next(iter(self._spectra)))
             self._spectra[key] = [self.spectrum(k, ph, pw) for k in range(len(self.levels))]
         return self._spectra[key]
@@ -159,32 +160,53 @@ def match_scores(frame: np.ndarray, tmpl: np.ndarray) -> np.ndarray:
     return out
 
 
+def integrals(frame: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Integral images of every channel and of the squares over all channels.
+    The first are unsigned 32-bit and may wrap round: the sum of a window, a
+    difference, is exact while it is below 2**32 (windows of 16 million
+    pixels)."""
+    f = _chan(frame)
+    h, w, c = f.shape
+    ones = []
+    for k in range(c):
+        ii = np.zeros((h + 1, w + 1), np.uint32)
+        np.cumsum(f[:, :, k], axis=0, dtype=np.uint32, out=ii[1:, 1:])
+        np.cumsum(ii[1:, 1:], axis=1, out=ii[1:, 1:])
+        ones.append(ii)
+    both = np.zeros((h, w), np.uint32)
+    for k in range(c):
+        wide = f[:, :, k].astype(np.uint32)
+        both += np.multiply(wide, wide, out=wide)
+    squares = np.zeros((h + 1, w + 1))
+    np.cumsum(both, axis=0, dtype=np.float64, out=squares[1:, 1:])
+    np.cumsum(squares[1:, 1:], axis=1, out=squares[1:, 1:])
+    return ones, squares
+
+
 class _FrameStats:
-    """Per-frame quantities shared by all scales: channel spectra and integral
-    images.  Float64 holds every sum exactly (all partial sums stay far below
-    2**53 for 8-bit images up to 4K), so the scores equal the integer formula."""
+    """Quantities of a frame, or of one of its tiles, shared by all scales:
+    channel spectra and integral images (of a tile: views of the frame's, as
+    windows are differences).  Float64 holds every sum exactly (all partial
+    sums stay far below 2**53 for 8-bit images up to 4K), so the scores equal
+    the integer formula."""
 
-    def __init__(self, frame: np.ndarray):
+    def __init__(self, frame: np.ndarray, padded: tuple[int, int] | None = None, sums=None):
         f = _chan(frame)
         self.fh, self.fw, self.c = f.shape
-        self.ph, self.pw = _fft_shape(self.fh), _fft_shape(self.fw)
+        self.ph, self.pw = padded or (_fft_shape(self.fh), _fft_shape(self.fw))
         ff = np.ascontiguousarray(np.moveaxis(f, 2, 0), dtype=np.float64)    # (C, H, W)
         self.spec = np.fft.rfft2(ff, s=(self.ph, self.pw))                     # (C, ph, pw//2+1)
-        self.ii1 = [self._integral(ff[c]) for c in range(self.c)]
-        self.ii2 = self._integral((ff * ff).sum(axis=0))
-
-    def _integral(self, a: np.ndarray) -> np.ndarray:
-        ii = np.zeros((self.fh + 1, self.fw + 1))
-        np.cumsum(a, axis=0, out=ii[1:, 1:])
-        np.cumsum(ii[1:, 1:], axis=1, out=ii[1:, 1:])
-        return ii
+        self.ii1, self.ii2 = sums or integrals(f)
 
     @staticmethod
-    def box(ii: np.ndarray, h: int, w: int) -> np.ndarray:
-        out = ii[h:, w:] - ii[:-h, w:]
-        out -= ii[h:, :-w]
-        out += ii[:-h, :-w]
-        return out
+    def window(ii: np.ndarray, r0: int, r1: int, h: int, w: int, cols: int) -> np.ndarray:
+        """Sums of the h x w windows at rows r0 .. r1 and the first ``cols`` columns."""
+        lines = ii[r0 + h:r1 + h] - ii[r0:r1]
+        return lines[:, w:w + cols] - lines[:, :cols]
+
+    @classmethod
+    def box(cls, ii: np.ndarray, h: int, w: int) -> np.ndarray:
+        return cls.window(ii, 0, len(ii) - h, h, w, ii.shape[1] - w).astype(np.float64)
 
 
 def _level_scores(fs: _FrameStats, level, tspec: np.ndarray) -> np.ndarray:
@@ -216,36 +238,36 @@ def _level_scores(fs: _FrameStats, level, tspec: np.ndarray) -> np.ndarray:
     return num
 
 
-STRIP_ROWS = 32    # score rows per pass: keeps the per-level arithmetic cache-resident
+STRIP = 1 << 16    # score positions per pass: keeps the arithmetic cache-resident
 
 
-def _level_best(fs: _FrameStats, level, tspec: np.ndarray) -> tuple[float, int, int]:
+def _level_best(fs: _FrameStats, level, tspec: np.ndarray, rows: int | None = None, cols: int | None = None) -> tuple[float, int, int]:
     """Best score of one level and its first position in row-major order,
-    computed strip by strip (same values as :func:`_level_scores`)."""
+    computed strip by strip (same values as :func:`_level_scores`).  Only the
+    first ``rows`` and ``cols`` of the valid positions count."""
     ix, sh, sw, r, st, stt = level
     n = float(sh * sw)
     acc = fs.spec[0] * tspec[0]
-    for c in range(1, fs.c):
-        acc += fs.spec[c] * tspec[c]
-    corr = np.fft.irfft2(acc, s=(fs.ph, fs.pw))
+    if fs.c > 1:
+        part = np.empty_like(acc)
+        for c in range(1, fs.c):
+            acc += np.multiply(fs.spec[c], tspec[c], out=part)
     vt = float(int((sh * sw * stt - st * st).sum()))
-    rows, cols = fs.fh - sh + 1, fs.fw - sw + 1
+    rows, cols = min(rows or fs.fh, fs.fh - sh + 1), min(cols or fs.fw, fs.fw - sw + 1)
+    # the column pass first, then only the rows that hold positions
+    np.fft.ifft(acc, axis=0, out=acc)
+    corr = np.fft.irfft(acc[sh - 1:sh - 1 + rows], n=fs.pw, axis=1)
     best, by, bx = -np.inf, 0, 0
-    for r0 in range(0, rows, STRIP_ROWS):
-        r1 = min(rows, r0 + STRIP_ROWS)
-        num = np.rint(corr[sh - 1 + r0:sh - 1 + r1, sw - 1:sw - 1 + cols])
+    strip = max(1, STRIP // cols)
+    for r0 in range(0, rows, strip):
+        r1 = min(rows, r0 + strip)
+        num = np.rint(corr[r0:r1, sw - 1:sw - 1 + cols])
         num *= n
-        ii = fs.ii2
-        vv = ii[r0 + sh:r1 + sh, sw:] - ii[r0:r1, sw:]
-        vv -= ii[r0 + sh:r1 + sh, :cols]
-        vv += ii[r0:r1, :cols]
+        vv = fs.window(fs.ii2, r0, r1, sh, sw, cols)
         vv *= n
         for c in range(fs.c):
-            ii = fs.ii1[c]
-            sv = ii[r0 + sh:r1 + sh, sw:] - ii[r0:r1, sw:]
-            sv -= ii[r0 + sh:r1 + sh, :cols]
-            sv += ii[r0:r1, :cols]
-            num -= sv * float(st[c])
+            sv = fs.window(fs.ii1[c], r0, r1, sh, sw, cols).astype(np.float64)
+            num -= np.multiply(sv, float(st[c]))
             sv *= sv
             vv -= sv
         vv *= vt
@@ -262,6 +284,60 @@ def _level_best(fs: _FrameStats, level, tspec: np.ndarray) -> tuple[float, int,
     return best, by, bx
 
 
+def tile_axis(n: int, template: int, tile: int) -> tuple[int, list[tuple[int, int | None]]]:
+    """Tiles of one axis of ``n`` pixels for templates of up to ``template``:
+    the padded tile size, and of each tile its start and how many positions it
+    answers for (None: all to the end)."""
+    size = min(_fft_shape(n), max(tile, _fft_shape(2 * template)))
+    step = size - template + 1
+    starts = [0]
+    while starts[-1] + size < n:
+        starts.append(starts[-1] + step)
+    return size, [(s, None if s == starts[-1] else step) for s in starts]
+
+
+def best_by_level(frame: np.ndarray, pyramid: TemplatePyramid, ks, run=map) -> dict[int, tuple[float, int, int]]:
+    """``(score, y, x)`` of the best position of each level in ``ks`` that fits
+    the frame, the first in row-major order; tiles are scored through ``run``."""
+    f = _chan(frame)
+    fh, fw = f.shape[:2]
+    ks = [k for k in ks if pyramid.levels[k][1] <= fh and pyramid.levels[k][2] <= fw]
+    if not ks:
+        return {}
+    ph, ys = tile_axis(fh, max(pyramid.levels[k][1] for k in ks), TILE_H)
+    pw, xs = tile_axis(fw, max(pyramid.levels[k][2] for k in ks), TILE_W)
+    spectra = pyramid.spectra(ph, pw)
+
+    def band_stats(y):
+        """Stats of the tiles of one band; their windows come from integral
+        images of the band."""
+        band = f[y:y + ph]
+        ones, squares = integrals(band)
+        return lambda x: _FrameStats(band[:, x:x + pw], (ph, pw), ([ii[:, x:x + pw + 1] for ii in ones], squares[:, x:x + pw + 1]))
+
+    def score(fs, tile, k, tspec):
+        v, y, x = _level_best(fs, pyramid.levels[k], tspec, tile[1], tile[3])
+        return k, v, tile[0] + y, tile[2] + x
+
+    def found():
+        if spectra is not None:
+            for y, rows in ys:
+                stats = band_stats(y)
+                yield from run(lambda t: [score(fs, t, k, spectra[k]) for fs in [stats(t[2])] for k in ks], [(y, rows, x, cols) for x, cols in xs])
+        else:                    # levels outside, so that each spectrum is built once a frame
+            held = [(stats(x), (y, rows, x, cols)) for y, rows in ys for stats in [band_stats(y)] for x, cols in xs]
+            for k in ks:
+                tspec = pyramid.spectrum(k, ph, pw)
+                yield from run(lambda h: [score(*h, k, tspec)], held)
+
+    out: dict[int, tuple[float, int, int]] = {}
+    for scores in found():
+        for k, v, y, x in scores:
+            if k not in out or (v, -y, -x) > (out[k][0], -out[k][1], -out[k][2]):
+                out[k] = (v, y, x)
+    return out
+
+
 def _result(best: float, lv, loc, threshold: float) -> dict:
     found = lv is not None and best > threshold
     return {
@@ -281,70 +357,45 @@ def detect_batch(frames: list[np.ndarray], pyramid: TemplatePyramid,
     The best score starts at 0 and is replaced only by a strictly greater one,
     so non-positive scores never match and the earliest scale wins ties;
     within a scale the first maximum in row-major order wins (lowest y, then
-    x).  The box is reported only above ``threshold``.  Scales run in the
-    outer loop so a template spectrum is built at most once per group of
-    frames.  With ``threads > 1`` the levels are scored concurrently (numpy's
-    FFT and ufuncs release the GIL); results are folded in level order, so
-    the outcome is identical to the serial loop.
+    x).  The box is reported only above ``threshold``.  With ``threads > 1``
+    the tiles of a frame are scored concurrently (numpy's FFT and ufuncs
+    release the GIL); the outcome is that of the serial loop.
     """
     import time
     from concurrent.futures import ThreadPoolExecutor
     t0 = time.perf_counter()
     frames = [comparable(f, pyramid.c) for f in frames]
-    best = [(0.0, None, None) for _ in frames]
-    by_shape: dict[tuple, list[int]] = {}
-    for i, f in enumerate(frames):
-        by_shape.setdefault((_fft_shape(f.shape[0]), _fft_shape(f.shape[1])), []).append(i)
     pool = ThreadPoolExecutor(threads) if threads > 1 else None
-    run = pool.map if pool else map
+    out = []
     try:
-        for (ph, pw), idx in by_shape.items():
-            per_frame = ph * (pw // 2 + 1) * pyramid.c * 16 + 4 * (ph + 1) * (pw + 1) * 8
-            size = max(1, GROUP_BYTES // per_frame)
-            cached = pyramid.spectra(ph, pw)
-            for g0 in range(0, len(idx), size):
-                group = idx[g0:g0 + size]
-                stats = dict(zip(group, run(lambda i: _FrameStats(frames[i]), group)))
-
-                def score_level(k: int, stats=stats, group=group):
-                    level = pyramid.levels[k]
-                    todo = [i for i in group if level[1] <= stats[i].fh and level[2] <= stats[i].fw]
-                    if not todo:
-                        return level, []
-                    tspec = cached[k] if cached is not None else pyramid.spectrum(k, ph, pw)
-                    return level, [(i,) + _level_best(stats[i], level, tspec) for i in todo]
-
-                for level, found in run(score_level, range(len(pyramid.levels))):   # level order
-                    for i, v, y, x in found:
-                        if v > best[i][0]:
-                            best[i] = (v, level, (y, x))
-                del stats
+        for f in frames:
+            v, k, y, x = _first_best(best_by_level(f, pyramid, range(len(pyramid.levels)), pool.map if pool else map))
+            out.append(_result(v, pyramid.levels[k] if k >= 0 else None, (y, x), threshold))
     finally:
         if pool:
             pool.shutdown()
     if timings is not None:   # wall time of the batch, shared out per frame
         timings.extend([(time.perf_counter() - t0) * 1000.0 / max(len(frames), 1)] * len(frames))
-    return [_result(b, lv, loc, threshold) for b, lv, loc in best]
+    return out
 
 
-def best_in_levels(frame: np.ndarray, pyramid: TemplatePyramid, levels: list[int]) -> tuple:
-    """Best ``(score, level_position, y, x)`` of one frame over the given
-    pyramid levels (the partial result of a level-split detection); ties go
-    to the earliest level, then the first position in row-major order."""
-    fs = _FrameStats(comparable(frame, pyramid.c))
+def _first_best(by_level: dict[int, tuple[float, int, int]]) -> tuple:
+    """``(score, level_position, y, x)``: a score above 0, ties go to the
+    earliest level."""
     best = (0.0, -1, -1, -1)
-    for k in levels:
-        level = pyramid.levels[k]
-        if level[1] > fs.fh or level[2] > fs.fw:
-            continue
-        cached = pyramid.spectra(fs.ph, fs.pw)
-        tspec = cached[k] if cached is not None else pyramid.spectrum(k, fs.ph, fs.pw)
-        v, y, x = _level_best(fs, level, tspec)
+    for k in sorted(by_level):
+        v, y, x = by_level[k]
         if v > best[0]:
             best = (v, k, y, x)
     return best
 
 
+def best_in_levels(frame: np.ndarray, pyramid: TemplatePyramid, levels: list[int]) -> tuple:
+    """Best ``(score, level_position, y, x)`` of one frame over the given
+    pyramid levels (the partial result of a level-split detection)."""
+    return _first_best(best_by_level(comparable(frame, pyramid.c), pyramid, levels))
+
+
 def detect(frame: np.ndarray, pyramid: TemplatePyramid, threshold: float = DEFAULT_THRESHOLD) -> dict:
     """Multi-scale detection in one frame (see :func:`detect_batch`)."""
     return detect_batch([frame], pyramid, threshold)[0]

@@ -1,10 +1,14 @@
 """Pixel kernels on plain numpy arrays (no Spark)."""
 
+import os
+
 import numpy as np
 import pytest
 
 from framelake.operators import kernels as K
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def test_scales_match_linspace_and_golden_geometry():
     assert np.array_equal(K.scales(), np.linspace(0.8, 2.0, 25))
@@ -155,3 +159,51 @@ def test_annotated_pixels_are_those_near_the_box_edge(box, thickness):
     border = inside & ((xx - x < thickness) | (x + w - xx < thickness)
                        | (yy - y < thickness) | (y + h - yy < thickness))
     assert np.array_equal(K.annotate(f, x, y, w, h, thickness)[:, :, 1] == 255, border)
+
+
+@pytest.mark.parametrize("shape", [(41, 67), (64, 64), (90, 31)])
+def test_tiles_answer_like_the_whole_frame(shape, monkeypatch):
+    """Tiles far smaller than the frame: same scores, same places, same ties."""
+    rng = np.random.default_rng(sum(shape))
+    frame = rng.integers(0, 4, (*shape, 3), dtype=np.uint8)
+    frame[-12:, -14:] = frame[2:14, 3:17]                       # the same patch twice
+    tmpl = frame[4:9, 5:12].copy()
+    whole = K.detect(frame, K.TemplatePyramid(tmpl))
+    for tile in (12, 17, 23):
+        for budget in (1 << 30, 1):                             # spectra cached, or built for each frame
+            monkeypatch.setattr(K, "TILE_H", tile)
+            monkeypatch.setattr(K, "TILE_W", tile + 3)
+            monkeypatch.setattr(K, "SPECTRA_CACHE_BYTES", budget)
+            pyr = K.TemplatePyramid(tmpl)
+            assert K.detect(frame, pyr) == whole
+            assert K.detect_batch([frame, frame], pyr, threads=3) == [whole, whole]
+            fs = K._FrameStats(frame)
+            for k, (v, y, x) in K.best_by_level(frame, pyr, range(len(pyr.levels))).items():
+                scores = K._level_scores(fs, pyr.levels[k], pyr.spectrum(k, fs.ph, fs.pw))
+                assert v == scores.max() and (y, x) == tuple(np.argwhere(scores == v)[0])
+
+
+def test_tiles_cover_every_position_once():
+    for n, template, tile in ((1080, 180, 384), (1920, 254, 512), (50, 50, 384), (700, 300, 384), (512, 9, 512)):
+        size, tiles = K.tile_axis(n, template, tile)
+        for h in {1, template // 2 or 1, template}:
+            seen = []
+            for start, step in tiles:
+                valid = min(size, n - start) - h + 1
+                assert valid > 0
+                seen += range(start, start + min(step or valid, valid))
+            assert seen == list(range(n - h + 1))
+
+
+def test_a_1080p_worker_stays_below_300_mb():
+    """Peak of a process with the libraries of a Python worker."""
+    import subprocess
+    import sys
+    code = ("import resource, numpy as np, pandas, pyarrow\n"
+            "from framelake.operators import kernels as K\n"
+            "rng = np.random.default_rng(0)\n"
+            "f = [rng.integers(0, 256, (1080, 1920, 3), dtype=np.uint8) for _ in range(2)]\n"
+            "K.detect_batch(f, K.TemplatePyramid(f[0][67:157, 1600:1727].copy()))\n"
+            "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, check=True)
+    assert int(out.stdout) < 300
