@@ -434,8 +434,7 @@ def q_image_stats(spark, d):
 def q_run_summary(spark, d):
     """E4 + flagship: detect once per video, reuse, blend, summarise."""
     from framelake.plans.logo_job import replace_logo_summary
-    return replace_logo_summary(TD.pixels(spark, d).select("video_id", "frame_no", "y", "x", "v"),
-                                _template(spark, d), _logo(spark, d), SIDE, SIDE, THRESHOLD)
+    return replace_logo_summary(TD.pixel_frames(spark, d), _template(spark, d), _logo(spark, d), THRESHOLD)
 
 
 # -------------------------------------------------- three channels and alpha

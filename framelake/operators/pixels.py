@@ -9,14 +9,13 @@ Two physical forms, one semantics (both equal the same SQL oracle):
   :mod:`framelake.operators.kernels` on Arrow batches; the template pyramid
   and its spectra are built once per Python worker.
 * **Pixel rows** (relational twin for small images): one row per pixel
-  ``(video_id, frame_no, y, x, v)``; correlation sums are a generator +
-  partial aggregate, resize and blend are joins/expressions — all inside
-  whole-stage codegen.
-
-The template and the replacement logo are small parameter images (like the
-logo files the driver reads).  They are loaded once with an explicit size
-bound (:data:`MAX_PARAM_PIXELS`) and travel inside the plan as literals;
-frames are never collected.
+  ``(video_id, frame_no, y, x, v)``; the template and the logo at every scale
+  are tables that pixels join with, correlation sums a partial aggregate — all
+  inside whole-stage codegen.
+
+The template and the replacement logo are parameter images (like the logo
+files the driver reads).  They are loaded once with an explicit size bound
+(:data:`MAX_PARAM_PIXELS`); frames are never collected.
 """
 
 from __future__ import annotations
@@ -26,18 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.operators import kernels as K
-from framelake.operators.joins import join_small
+from framelake.operators.joins import BROADCAST_MAX_ROWS, join_small
 from framelake.session import ship_package
 
-MAX_PARAM_PIXELS = 512 * 512          # size bound for template / logo images
-# The relational twin carries every pyramid level as literals in the plan;
-# beyond this many entries use the frame-row path (detect_frames/blend_frames).
-MAX_TWIN_LITERALS = 20000
+MAX_PARAM_PIXELS = 2048 * 2048        # of a template or logo: some 100 MB on the driver
 DETECTION_FIELDS = [
     T.StructField("detected", T.BooleanType()), T.StructField("confidence", T.DoubleType()),
     T.StructField("scale_ix", T.IntegerType()), T.StructField("scale", T.DoubleType()),
@@ -55,12 +51,9 @@ def load_param_image(pixels: DataFrame, y: str = "y", x: str = "x", values: tupl
     n = pixels.count()
     if n > MAX_PARAM_PIXELS:
         raise ValueError(f"parameter image has {n} pixels; bound is {MAX_PARAM_PIXELS}")
-    rows = pixels.select(y, x, *values).collect()
-    h = max(r[0] for r in rows) + 1
-    w = max(r[1] for r in rows) + 1
-    img = np.zeros((h, w, len(values)), dtype=np.uint8)
-    for r in rows:
-        img[r[0], r[1]] = r[2:]
+    rows = pixels.select(y, x, *values).toPandas().to_numpy(dtype=np.int64)
+    img = np.zeros((*(rows[:, :2].max(axis=0) + 1), len(values)), dtype=np.uint8)
+    img[rows[:, 0], rows[:, 1]] = rows[:, 2:]
     return img[:, :, 0] if len(values) == 1 else img
 
 
@@ -386,6 +379,40 @@ def blend_patches(frames: DataFrame, boxes: DataFrame, logo: np.ndarray,
     return j.select(*keys, "data", "height", "width", "nChannels", "x", "y", "w", "h").mapInPandas(run, schema)
 
 
+def blend_stats(frames: DataFrame, boxes: DataFrame, logo: np.ndarray, video_key: str = "video_id") -> DataFrame:
+    """E4 per frame, without the pixels: ``n_pixels`` and ``n_values`` (pixels
+    times channels) of the frame, ``n_changed`` pixels that the blend changes
+    and ``sum_out``, the sum of all values after it.  A frame without a
+    detection is counted as it is."""
+    ship_package(frames.sparkSession)
+    lg = np.ascontiguousarray(logo)
+    b = boxes.select(video_key, "detected", "x", "y", "w", "h")
+    j = join_small(frames, b, video_key, "left", null_keys=True)
+    names = ["n_pixels", "n_values", "n_changed", "sum_out"]
+    schema = T.StructType([frames.schema[video_key]] + [T.StructField(n, T.LongType()) for n in names])
+
+    def run(batches):
+        for p in batches:
+            rows = []
+            for r in p.itertuples(index=False):
+                img = _img(r.data, r.height, r.width, r.nChannels)
+                total, changed = int(img.sum(dtype=np.int64)), 0
+                res = K.blend_patch(img, lg, int(r.x), int(r.y), int(r.w), int(r.h)) if r.detected is True or r.detected == 1 else None
+                if res is not None:
+                    px, py, pw, ph, patch = res
+                    before = img[py:py + ph, px:px + pw]
+                    off = patch != before
+                    changed = int((off if off.ndim == 2 else off.any(axis=2)).sum())
+                    total += int(patch.sum(dtype=np.int64)) - int(before.sum(dtype=np.int64))
+                rows.append((img.shape[0] * img.shape[1], img.size, changed, total))
+            out = p[[video_key]].reset_index(drop=True)
+            for k, name in enumerate(names):
+                out[name] = np.array([row[k] for row in rows], np.int64)
+            yield out
+
+    return j.select(video_key, "data", "height", "width", "nChannels", "detected", "x", "y", "w", "h").mapInPandas(run, schema)
+
+
 def apply_patches(frames: DataFrame, patches: DataFrame,
                   keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
     """Full frames from frames + patches (left join on the frame key: frames
@@ -451,22 +478,20 @@ def resize_pixels(frames: DataFrame, values: str, in_h: int, in_w: int, out_h: i
     return g.select(*keys, oy.alias("y"), ox.alias("x"), to_uint8(v).alias("v"))
 
 
-def _check_twin_size(n: int, what: str) -> None:
-    if n > MAX_TWIN_LITERALS:
-        raise ValueError(f"{what} has {n} pixels over all scales; the pixel-row twin is for small "
-                         f"images (<= {MAX_TWIN_LITERALS}) - use the frame-row operators instead")
-
-
-def _levels_literal(pyr: K.TemplatePyramid):
-    """Literal template entries of every level: (lvl, ty, tx, t)."""
-    _check_twin_size(sum(lv[1] * lv[2] for lv in pyr.levels), "template pyramid")
-    entries = []
-    for li, (ix, sh, sw, r, st, stt) in enumerate(pyr.levels):
-        for ty in range(sh):
-            for tx in range(sw):
-                entries.append(F.struct(F.lit(li).alias("lvl"), F.lit(ty).alias("ty"),
-                                        F.lit(tx).alias("tx"), F.lit(int(r[ty, tx, 0])).cast("bigint").alias("t")))
-    return F.array(*entries)
+def _param_table(spark: SparkSession, levels: list[tuple[tuple[int, ...], np.ndarray]], ids: str, values: str) -> DataFrame:
+    """Levels of a parameter image as a table: the level's ``ids``, row, column
+    and ``values`` of every pixel.  It grows with the image alone; up to
+    :data:`joins.BROADCAST_MAX_ROWS` rows it is sent to every executor, beyond
+    that the join shuffles it."""
+    parts = []
+    for of, img in levels:
+        h, w = img.shape[:2]
+        at = np.indices((h, w)).reshape(2, -1)
+        parts.append(np.concatenate([np.broadcast_to(np.array(of)[:, None], (len(of), h * w)), at, img.reshape(h * w, -1).T]))
+    rows = np.concatenate(parts, axis=1)
+    names = f"{ids} {values}".split()
+    table = spark.createDataFrame(pd.DataFrame(dict(zip(names, rows.astype(np.int64)))), ", ".join(f"{n} bigint" for n in names))
+    return F.broadcast(table) if rows.shape[1] <= BROADCAST_MAX_ROWS else table
 
 
 def _level_const(pyr: K.TemplatePyramid, lvl: Column, what: int, dtype: str) -> Column:
@@ -476,19 +501,24 @@ def _level_const(pyr: K.TemplatePyramid, lvl: Column, what: int, dtype: str) ->
 
 def match_sums(pixels: DataFrame, pyr: K.TemplatePyramid, frame_h: Column, frame_w: Column,
                keys: tuple[str, ...] = ("video_id", "frame_no")) -> DataFrame:
-    """Correlation sums per (frame, level, position): every pixel is paired
-    with the template entries that place it inside a valid window (a bounded
-    generator), then ``count / sum(v) / sum(v^2) / sum(v*t)`` are partially
-    aggregated before the shuffle."""
-    e = pixels.select(*keys, "y", "x", "v", frame_h.alias("_fh"), frame_w.alias("_fw"),
-                      F.explode(_levels_literal(pyr)).alias("_t"))
-    lvl = F.col("_t.lvl")
-    sh, sw = _level_const(pyr, lvl, 1, "int"), _level_const(pyr, lvl, 2, "int")
-    py, px = F.col("y") - F.col("_t.ty"), F.col("x") - F.col("_t.tx")
-    e = e.select(*keys, lvl.alias("lvl"), py.alias("py"), px.alias("px"), "v", F.col("_t.t").alias("t"),
-                 ((py >= 0) & (py <= F.col("_fh") - sh) & (px >= 0) & (px <= F.col("_fw") - sw)).alias("_ok"))
-    e = e.where("_ok")
-    return e.groupBy(*keys, "lvl", "py", "px").agg(
+    """Correlation sums per (frame, level, position): each pixel is dealt over
+    the levels and the template rows that a valid window puts on it, joins
+    that row of the template table, and ``count / sum(v) / sum(v^2) /
+    sum(v*t)`` are partially aggregated before the shuffle.  (Window sums come
+    out of the same aggregate: summed-area tables would add two sorts to a
+    plan that meets every pair of pixel and template anyway.)"""
+    spark = pixels.sparkSession
+    tpl = _param_table(spark, [((li,), lv[3][:, :, :1]) for li, lv in enumerate(pyr.levels)], "_lvl", "_ty _tx _t")
+    sizes = F.array(*[F.struct(F.lit(li).cast("bigint").alias("lvl"), F.lit(lv[1]).alias("sh"), F.lit(lv[2]).alias("sw")) for li, lv in enumerate(pyr.levels)])
+    e = pixels.select(*keys, "y", "x", "v", frame_h.alias("_fh"), frame_w.alias("_fw"), F.explode(sizes).alias("_s"))
+    low = F.greatest(F.lit(0), F.col("y") - (F.col("_fh") - F.col("_s.sh")))       # rows of valid windows
+    high = F.least(F.col("_s.sh") - 1, F.col("y"))
+    e = e.select("*", F.explode(F.when((high >= low) & (F.col("_s.sh") <= F.col("_fh")), F.sequence(low, high))).alias("_row"))
+    j = e.join(tpl, (F.col("_s.lvl") == F.col("_lvl")) & (F.col("_row").cast("bigint") == F.col("_ty")))
+    py, px = F.col("y") - F.col("_row"), (F.col("x") - F.col("_tx")).cast("int")
+    j = j.select(*keys, F.col("_lvl").cast("int").alias("lvl"), py.alias("py"), px.alias("px"), "v", F.col("_t").alias("t"),
+                 ((px >= 0) & (px <= F.col("_fw") - F.col("_s.sw"))).alias("_ok")).where("_ok")
+    return j.groupBy(*keys, "lvl", "py", "px").agg(
         F.count(F.lit(1)).alias("n"), F.sum("v").alias("sv"), F.sum(F.col("v") * F.col("v")).alias("svv"),
         F.sum(F.col("v") * F.col("t")).alias("svt"))
 
@@ -543,44 +573,42 @@ def first_frame_detection(frames: DataFrame, detect_fn, key: str = "video_id",
     parts = [c for c in ("chunk_id",) if c in frames.columns]
     first = (frames.where(F.col(frame_col).isNotNull()).groupBy(key)
                    .agg(F.min(F.struct(frame_col, *parts)).alias("_f")).select(key, "_f.*"))
-    return detect_fn(join_small(frames, first, [key, *parts, frame_col], "left_semi", prune=frame_col))
+    # the partition column is compared plainly: that is what Spark prunes by
+    return detect_fn(join_small(frames, first, [key, *parts, frame_col], "left_semi", prune=frame_col, null_keys=[key]))
 
 
 def reuse_detection(frame_keys: DataFrame, det: DataFrame, key: str = "video_id") -> DataFrame:
     """D3: attach the per-video detection to every frame (one row per video
     on the small side; AQE broadcasts it)."""
     d = det.drop("frame_no") if "frame_no" in det.columns else det
-    return join_small(frame_keys, d, key, "left")
+    return join_small(frame_keys, d, key, "left", null_keys=True)
 
 
 def blend_pixels(pixels: DataFrame, boxes: DataFrame, logo: np.ndarray, template_shape: tuple[int, int],
                  key: str | list[str] = "video_id", keep_original: bool = False) -> DataFrame:
     """I5/I6 on pixel rows: inside the (clipped) box the logo, resized to the
     box size, is blended ``(1 - a) * p + a * l`` and truncated; elsewhere the
-    pixel is unchanged.  The logo pyramid (one level per possible box size)
-    is a bounded literal; the lookup is an expression, not a join."""
+    pixel is unchanged.  The logo at every possible box size is a table that
+    pixels join with on size and place."""
     th, tw = template_shape
     lg = logo if logo.ndim == 3 else logo[:, :, None]
-    sizes = [(sh, sw) for _, sh, sw in K.scaled_dims(th, tw)]
-    _check_twin_size(sum(sh * sw for sh, sw in sizes), "logo pyramid")
-    levels = [K.resize_bilinear(lg, sh, sw) for sh, sw in sizes]
-    lvl_of = F.create_map(*[x for i, (sh, sw) in enumerate(sizes)
-                            for x in (F.lit(f"{sh}x{sw}"), F.lit(i))])
-    lum = F.array(*[F.array(*[F.lit(int(v)) for v in L[:, :, 0].ravel()]) for L in levels])
-    alp = F.array(*[F.array(*[F.lit(int(v)) for v in (L[:, :, -1] if L.shape[2] in (2, 4)
-                                                      else np.full(L.shape[:2], 255)).ravel()])
-                    for L in levels])
+
+    def level(sh, sw):
+        img = K.resize_bilinear(lg, sh, sw)
+        alpha = img[:, :, -1] if img.shape[2] in (2, 4) else np.full((sh, sw), 255, np.uint8)
+        return (sh, sw), np.dstack([img[:, :, 0], alpha])
+    table = _param_table(pixels.sparkSession, [level(sh, sw) for _, sh, sw in K.scaled_dims(th, tw)], "_lh _lw", "_ly _lx _l _a")
     keys = [key] if isinstance(key, str) else list(key)
     b = boxes.select(*keys, F.col("detected").alias("_d"), F.col("x").alias("_bx"), F.col("y").alias("_by"),
                      F.col("w").alias("_bw"), F.col("h").alias("_bh"))
     j = join_small(pixels, b, keys, "left")
-    ly, lx = F.col("y") - F.col("_by"), F.col("x") - F.col("_bx")
-    inside = F.coalesce(F.col("_d"), F.lit(False)) & (ly >= 0) & (ly < F.col("_bh")) & (lx >= 0) & (lx < F.col("_bw"))
-    li = F.element_at(lvl_of, F.concat_ws("x", F.col("_bh").cast("string"), F.col("_bw").cast("string"))) + 1
-    idx = ly * F.col("_bw") + lx + 1
-    lval = F.element_at(F.element_at(lum, li), idx).cast("double")
-    a = F.element_at(F.element_at(alp, li), idx).cast("double") / F.lit(255.0)
-    blended = F.floor((F.lit(1.0) - a) * F.col("v").cast("double") + a * lval).cast("bigint")
+    at = lambda c: F.when(F.coalesce(F.col("_d"), F.lit(False)), c).cast("bigint")  # noqa: E731  NULL meets no logo pixel
+    j = j.withColumns({"_py": at(F.col("y") - F.col("_by")), "_px": at(F.col("x") - F.col("_bx"))})
+    j = j.join(table, (F.col("_bh").cast("bigint") == F.col("_lh")) & (F.col("_bw").cast("bigint") == F.col("_lw"))
+               & (F.col("_py") == F.col("_ly")) & (F.col("_px") == F.col("_lx")), "left")
+    inside = F.col("_l").isNotNull()
+    a = F.col("_a").cast("double") / F.lit(255.0)
+    blended = F.floor((F.lit(1.0) - a) * F.col("v").cast("double") + a * F.col("_l").cast("double")).cast("bigint")
     out = F.when(inside, blended).otherwise(F.col("v"))
     cols = [c for c in pixels.columns if c != "v"]
     extra = [F.col("v").alias("v0")] if keep_original else []

@@ -13,32 +13,32 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framelake.operators import kernels as K
 from framelake.operators import pixels as PX
-from framelake.operators.joins import join_small
+from framelake.operators.joins import by_keys
 from framelake.session import shared_dir
 
 
-def replace_logo_summary(pixels: DataFrame, template: np.ndarray, logo: np.ndarray,
-                         frame_h: int, frame_w: int, threshold: float) -> DataFrame:
+def replace_logo_summary(frames: DataFrame, template: np.ndarray, logo: np.ndarray,
+                         threshold: float = K.DEFAULT_THRESHOLD, threads: int = 1) -> DataFrame:
     """Per video: frames, frames with a (reused) detection, detection rate,
-    detection confidence, pixels changed by the blend, mean output value."""
-    det = PX.first_frame_detection(
-        pixels, lambda f: PX.detect_pixels(f, template, F.lit(frame_h), F.lit(frame_w), threshold))
+    detection confidence, pixels changed by the blend, mean output value.
+
+    ``frames`` are frame rows of any size.  Each frame is read once, blended
+    in its own task and leaves it as four numbers; frames are counted as rows
+    and their pixels never meet a shuffle."""
+    det = PX.first_frame_detection(frames, lambda f: PX.detect_frames(f, template, threshold, threads=threads))
     # the detection (one row per video) is the expensive, reusable result:
     # cut its lineage in the shared checkpoint folder so a lost executor in
     # the blend stage never re-runs detection
-    shared_dir(pixels.sparkSession)
+    shared_dir(frames.sparkSession)
     det = det.drop("frame_no").checkpoint(eager=True)
-    blended = PX.blend_pixels(pixels, det, logo, template.shape[:2], keep_original=True)
-    changed = blended.groupBy("video_id").agg(
-        F.count_if(F.col("v") != F.col("v0")).alias("n_changed"), F.avg("v").alias("mean_out"))
-    frames = pixels.groupBy("video_id").agg(F.count_distinct("frame_no").alias("n_frames"))
-    per_video = join_small(frames, det.select("video_id", "detected", "confidence"), "video_id", "left")
-    summary = per_video.select(
-        "video_id", "n_frames",
-        F.when(F.col("detected"), F.col("n_frames")).otherwise(F.lit(0)).cast("bigint").alias("n_detected"),
-        "confidence")
-    summary = summary.withColumn("detect_pct", F.lit(100.0) * F.col("n_detected").cast("double")
-                                 / F.col("n_frames").cast("double"))
-    return summary.join(changed, "video_id").select(
-        "video_id", "n_frames", "n_detected", "detect_pct", "confidence", "n_changed", "mean_out")
+    totals = (PX.blend_stats(frames, det, logo).groupBy("video_id")
+                .agg(F.count(F.lit(1)).alias("n_frames"), F.sum("n_changed").alias("n_changed"),
+                     F.sum("sum_out").alias("_sum"), F.sum("n_values").alias("_n")))
+    per_video = by_keys(totals, det.select("video_id", "detected", "confidence"), ["video_id"], "left")
+    n_detected = F.when(F.col("detected"), F.col("n_frames")).otherwise(F.lit(0)).cast("bigint")
+    return per_video.select(
+        "video_id", "n_frames", n_detected.alias("n_detected"),
+        (F.lit(100.0) * n_detected.cast("double") / F.col("n_frames").cast("double")).alias("detect_pct"),
+        "confidence", "n_changed", F.try_divide(F.col("_sum").cast("double"), F.col("_n").cast("double")).alias("mean_out"))

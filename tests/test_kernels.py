@@ -105,13 +105,6 @@ def test_annotate_draws_two_pixel_outline():
     assert tuple(out[11, 11]) == (0, 255, 0)      # far corner (x+w, y+h) inclusive
 
 
-def test_pixel_twin_refuses_large_templates():
-    from framelake.operators import pixels as PX
-    big = K.TemplatePyramid(np.zeros((127, 90), np.uint8))
-    with pytest.raises(ValueError):
-        PX._levels_literal(big)
-
-
 def test_threaded_detection_equals_serial():
     rng = np.random.default_rng(9)
     frames = [rng.integers(0, 256, (40, 50, 3), dtype=np.uint8) for _ in range(3)]
@@ -199,11 +192,11 @@ def test_a_1080p_worker_stays_below_300_mb():
     """Peak of a process with the libraries of a Python worker."""
     import subprocess
     import sys
-    code = ("import resource, numpy as np, pandas, pyarrow\n"
+    code = ("import re, numpy as np, pandas, pyarrow\n"
             "from framelake.operators import kernels as K\n"
             "rng = np.random.default_rng(0)\n"
             "f = [rng.integers(0, 256, (1080, 1920, 3), dtype=np.uint8) for _ in range(2)]\n"
             "K.detect_batch(f, K.TemplatePyramid(f[0][67:157, 1600:1727].copy()))\n"
-            "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)")
+            "print(int(re.search('VmHWM:\\\\s+([0-9]+)', open('/proc/self/status').read())[1]) // 1024)")
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, check=True)
     assert int(out.stdout) < 300
