@@ -3,6 +3,7 @@ DuckDB oracles.  Imported by :mod:`framelake.catalog`."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from framelake.catalog import DAY_US, HOUR_US, register
@@ -333,12 +334,12 @@ def q_batch_progress(spark, d):
     ingest_chunks(spark, _arriving(spark, d), lambda b: b, TD.PAYLOAD_FRAME_BYTES, scratch_path(spark, "progress-store"),
                   scratch_path(spark, "progress-ckpt"), log=log, every=PROGRESS_BATCHES, observe={"part_no": F.max("part_no")})
     records = read_progress(spark, log)
-    last = records.agg(F.max_by(F.struct("frames_done", "failed_done"), "batch_id").alias("l"), F.count(F.lit(1)).alias("n_records"),
-                       F.count_if("is_mark").alias("n_marks"))
-    rows = records.select(F.col("part_no").cast("int").alias("part_no"), "n_frames", "n_failed", F.lit(0).alias("_one"))
-    last = last.select(F.lit(0).alias("_one"), "l.*", "n_records", "n_marks",
-                       ((F.col("l.frames_done") - F.col("l.failed_done")).cast("double") / F.col("l.frames_done").cast("double")).alias("success_rate"))
-    return rows.join(last, "_one").drop("_one")
+    run = Window.partitionBy()                      # one row per micro-batch
+    last = F.max(F.struct("batch_id", "frames_done", "failed_done")).over(run)
+    rows = records.select(F.col("part_no").cast("int").alias("part_no"), "n_frames", "n_failed", last.alias("l"),
+                          F.count(F.lit(1)).over(run).alias("n_records"), F.count_if("is_mark").over(run).alias("n_marks"))
+    rate = (F.col("l.frames_done") - F.col("l.failed_done")).cast("double") / F.col("l.frames_done").cast("double")
+    return rows.select("part_no", "n_frames", "n_failed", "l.frames_done", "l.failed_done", "n_records", "n_marks", rate.alias("success_rate"))
 
 
 # ---------------------------------------------------------- linear algebra (L)

@@ -7,7 +7,7 @@ triangular factors in a tree of tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelake.functions.scalars import idiv
@@ -224,5 +224,5 @@ def pair_residuals(pairs: DataFrame, gram: DataFrame) -> DataFrame:
     off: Column = F.col("gx") - F.col("sigma") * F.col("sigma") * F.col("x")
     miss = (image.join(v.withColumnRenamed("j", "i"), ["k", "i"])
                  .groupBy("k", "sigma").agg(F.sqrt(F.sum(off * off)).alias("miss")))
-    first = pairs.where("k = 0").select(F.lit(0).alias("_one"), (F.col("sigma") * F.col("sigma")).alias("top"))
-    return miss.withColumn("_one", F.lit(0)).join(first, "_one").select("k", "sigma", F.try_divide("miss", "top").alias("residual"))
+    top = F.max(F.col("sigma") * F.col("sigma")).over(Window.partitionBy())        # k rows
+    return miss.select("k", "sigma", F.try_divide(F.col("miss"), top).alias("residual"))
