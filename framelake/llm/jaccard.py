@@ -11,11 +11,17 @@ n-grams last that many prefixes share under the plain order by hash; a bitmap
 of fixed size holds them.  Classes that share a prefix n-gram form a cell.
 First every class is tried against the class of its cells that meets most
 others, which joins groups of copies in time that grows with their size, not
-its square.  Then the cells in which several components are left get an R-tree
-over their points that yields every pair of different components that the
-bounds allow; a cell of more than ``CELL`` classes is dealt over pairs of its
-blocks.  All surviving pairs are verified by exact intersection of their sets.
-Links inside a component found before are implied and not tried again.
+its square.  Then the cells in which several components are left, those of the
+same classes merged into one, get an R-tree over their points that yields every
+pair of different components that the bounds allow; a cell of more than
+``CELL`` classes is dealt over pairs of its blocks.  A pair must also pass the
+bitmaps of its sets: a bit that only one of them has stands for an n-gram the
+other lacks.  All surviving pairs are verified by exact intersection of their
+sets.  Links inside a component found before are implied and not tried again.
+
+Words are hashed without the structure of a polynomial.  A class is the set
+whose two 64-bit names agree; where two sets share the first name only, all is
+done again with another seed.
 
 Null and empty texts have no n-gram and link with nothing; a text of fewer
 words is one n-gram.  A row with a null id links with nothing and has a null
@@ -32,18 +38,19 @@ from pyspark.sql import functions as F
 
 from framelake.llm.common import Sieve, arrow_map, arrow_rows, cut, keyed
 from framelake.llm.components import components
-from framelake.llm.rtree import LEAF, RTree, allowed
+from framelake.llm.rtree import LEAF, RTree, allowed, overlap_needed
 from framelake.llm.text_hash import NOT_SPACE, mix, slices, windows, words
 
 GROUPS = 128                # coordinates of a point
+BITS_A_GRAM = 2             # of a set's bitmap, at least
 COMMON = 32                 # an n-gram in as many prefixes goes last
 CELL = 2048
 
 
-def sets(column: pa.Array, n: int):
+def sets(column: pa.Array, n: int, seed: int = 0):
     """(row, sorted distinct n-gram hashes) of every text with a word."""
     for s in slices(column):
-        w = words(s, NOT_SPACE)
+        w = words(s, NOT_SPACE, seed)
         runs = windows(w.hash, n)
         for t in range(len(s.offsets) - 1):
             a, z = int(w.first[t]), int(w.first[t + 1])
@@ -53,35 +60,52 @@ def sets(column: pa.Array, n: int):
                 yield s.first + t, windows(w.hash[a:z], z - a)
 
 
-def set_name(grams: np.ndarray) -> int:
+def set_name(grams: np.ndarray, salt: int = 0x51) -> int:
     """64-bit name of a set: equal sets, equal names."""
-    total = mix(grams + np.uint64(0x51)).sum(dtype=np.uint64) + np.uint64(len(grams))
+    total = mix(grams + np.uint64(salt)).sum(dtype=np.uint64) + np.uint64(len(grams))
     return int(mix(np.array([total]))[0].astype(np.int64))
 
 
-def _points(docs: DataFrame, n: int) -> DataFrame:
-    """One row per text: doc_id, size, name and point of its set."""
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """Bits at the low bits of the n-grams; the size is a power of two of
+    ``BITS_A_GRAM`` bits an n-gram or more."""
+    n = max(64, 1 << (BITS_A_GRAM * len(grams) - 1).bit_length())
+    bits = np.zeros(n, bool)
+    bits[(grams & np.uint64(n - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def missing(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    """How many n-grams of each set the other lacks, at least."""
+    n = min(len(a), len(b))
+    a, b = (np.bitwise_or.reduce(x.reshape(-1, n), axis=0).view(np.uint64) for x in (a, b))
+    return int(np.bitwise_count(a & ~b).sum()), int(np.bitwise_count(b & ~a).sum())
+
+
+def _points(docs: DataFrame, n: int, seed: int) -> DataFrame:
+    """One row per text: doc_id, size, both names, point and bitmap of its set."""
     def make(b: pa.RecordBatch):
-        size, name, point = [0] * b.num_rows, [None] * b.num_rows, [None] * b.num_rows
-        for i, g in sets(b.column(1), n):
-            size[i], name[i] = len(g), set_name(g)
+        size, name, second, point, bits = [0] * b.num_rows, *([None] * b.num_rows for _ in range(4))
+        for i, g in sets(b.column(1), n, seed):
+            size[i], name[i], second[i] = len(g), set_name(g), set_name(g, 0xA7)
             point[i] = np.bincount((g >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype(np.int32)
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.array(point, pa.list_(pa.int32()))],
-                                          names=["doc_id", "size", "name", "point"])
-    return arrow_map(docs, make, "doc_id long, size long, name long, point array<int>")
+            bits[i] = bitmap(g).tobytes()
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.array(second, pa.int64()), pa.array(point, pa.list_(pa.int32())), pa.array(bits, pa.binary())],
+                                          names=["doc_id", "size", "name", "second", "point", "bits"])
+    return arrow_map(docs, make, "doc_id long, size long, name long, second long, point array<int>, bits binary")
 
 
-def _prefixes(docs: DataFrame, common: Sieve | None, n: int, part: int, whole: int) -> DataFrame:
+def _prefixes(docs: DataFrame, common: Sieve | None, n: int, seed: int, part: int, whole: int) -> DataFrame:
     """(gram, name, size, rest): the first n-grams of every set, as many as a
     partner can't avoid, and how many of the set are not before each.  A set
-    that a task meets again is not repeated."""
+    that a batch holds again is not repeated."""
     bits = common.bits if common else None
 
     def run(batches):
-        seen: set[int] = set()
         for b in batches:
+            seen: set[int] = set()
             grams, names, sizes, rests = [], [], [], []
-            for _, g in sets(b.column(1), n):
+            for _, g in sets(b.column(1), n, seed):
                 name = set_name(g)
                 if name in seen:
                     continue
@@ -99,14 +123,14 @@ def _prefixes(docs: DataFrame, common: Sieve | None, n: int, part: int, whole: i
     return arrow_rows(docs, run, "gram long, name long, size int, rest int")
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
+def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, seed: int, part: int, whole: int) -> DataFrame:
     """The pairs (a, b of names) that reach the threshold, by their sets."""
     need = cut(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct().join(classes.select("name", "doc_id"), "name"), "jaccard-need")
     texts = Sieve(need, "doc_id").take(docs).join(need.select("doc_id").distinct(), "doc_id", "left_semi")
 
     def make(b: pa.RecordBatch):
         names, grams = [], []
-        for _, g in sets(b.column(1), n):
+        for _, g in sets(b.column(1), n, seed):
             names.append(set_name(g))
             grams.append(g.tobytes())
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(grams, pa.binary())], names=["name", "grams"])
@@ -134,11 +158,11 @@ def _bounded(pairs: DataFrame, classes: DataFrame, part: int, whole: int) -> Dat
 
 
 def _cells(rows: DataFrame, part: int, whole: int) -> DataFrame:
-    """``rows``: gram, name, label, size, rest, point, n (classes of the gram).
-    Pairs of different labels within a gram that the bounds allow."""
+    """``rows``: gram, name, label, size, rest, point, bits, n (classes of the
+    cell).  Pairs of different labels within a cell that the bounds allow."""
     blocks = F.ceil(F.col("n") / CELL).cast("int")
     home = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
-    cols = ["name", "label", "size", "rest", "point"]
+    cols = ["name", "label", "size", "rest", "point", "bits"]
     dealt = (rows.withColumn("blocks", blocks).withColumn("home", home)
              .select("gram", *cols, "home", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
              .select("gram", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), *cols)
@@ -180,7 +204,14 @@ def _pairs(cells: pa.Table, edge: np.ndarray, part: int, whole: int):
         tree = RTree(points[own], sizes[own], labels[own], limits[own])
         found += [(x + own.start, y + own.start) for x, y in tree.partners(part, whole)]
     if found:
-        a, b = (names[np.concatenate(x)] for x in zip(*found))
+        a, b = (np.concatenate(x) for x in zip(*found))
+        need, bits = overlap_needed(sizes[a], sizes[b], part, whole), cells["bits"]
+        maps = {i: np.frombuffer(bits[i].as_py(), np.uint8) for i in np.unique(np.concatenate([a, b])).tolist()}
+        good = np.zeros(len(a), bool)
+        for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            only_x, only_y = missing(maps[x], maps[y])
+            good[k] = min(sizes[x] - only_x, sizes[y] - only_y) >= need[k]
+        a, b = names[a[good]], names[b[good]]
         pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], 1), axis=0)
         for k in range(0, len(pairs), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[k:k + 100_000, 0]), pa.array(pairs[k:k + 100_000, 1])], names=["a", "b"])
@@ -191,13 +222,18 @@ def join(docs: DataFrame, n: int = 5, part: int = 80, whole: int = 100) -> DataF
     links between texts whose sets of ``n``-word shingles have a Jaccard
     similarity of at least part/whole."""
     rows = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    points = cut(_points(rows, n), "jaccard-points")
-    known = rows.where("doc_id is not null")
-    classes = cut(points.where("name is not null and doc_id is not null").groupBy("name").agg(F.min(F.struct("doc_id", "size", "point")).alias("r"))
-                  .select("name", "r.*"), "jaccard-classes")
-    common = _prefixes(known, None, n, part, whole).groupBy("gram").agg(F.min("name").alias("lo"), F.max("name").alias("hi"), F.count("*").alias("n"))
+    known, seed = rows.where("doc_id is not null"), 0
+    while True:
+        points = cut(_points(rows, n, seed), "jaccard-points")
+        classes = cut(points.where("name is not null and doc_id is not null").groupBy("name")
+                      .agg(F.min(F.struct("doc_id", "size", "point", "bits")).alias("r"), F.min("second").alias("lo"), F.max("second").alias("hi"))
+                      .select("name", "r.*", "lo", "hi"), "jaccard-classes")
+        if classes.where("lo <> hi").isEmpty():
+            break
+        seed += 1                  # two sets of one name
+    common = _prefixes(known, None, n, seed, part, whole).groupBy("gram").agg(F.min("name").alias("lo"), F.max("name").alias("hi"), F.count("*").alias("n"))
     common = Sieve(cut(common.where(f"lo <> hi and n >= {COMMON}").select("gram"), "jaccard-common"), "gram", hashed=True)
-    prefixes = _prefixes(known, common, n, part, whole)
+    prefixes = _prefixes(known, common, n, seed, part, whole)
     shared = prefixes.groupBy("gram").agg(F.min("name").alias("lo"), F.max("name").alias("hi"), F.count("*").alias("n"))
     shared = cut(shared.where("lo <> hi").select("gram", "n"), "jaccard-shared")
     cells = cut(prefixes.join(shared, "gram").select("gram", "name", "size", "rest", "n"), "jaccard-cells")
@@ -208,17 +244,24 @@ def join(docs: DataFrame, n: int = 5, part: int = 80, whole: int = 100) -> DataF
     center = cut(center.select("gram", "c.b", "c.nb", "c.rb"), "jaccard-center")
     star = cells.join(center, "gram").where(F.col("name") != F.col("b")).where(
         F.least("rest", "rb") * (whole + part) >= (F.col("size") + F.col("nb")) * part).select(F.col("name").alias("a"), "b").distinct()
-    links = cut(_verify(cut(_bounded(star, classes, part, whole), "jaccard-star"), classes, rows, n, part, whole), "jaccard-links")
+    links = cut(_verify(cut(_bounded(star, classes, part, whole), "jaccard-star"), classes, rows, n, seed, part, whole), "jaccard-links")
     label = components(links)
 
     # cells in which several components are left
     cells = cells.groupBy("gram", "name").agg(F.first("rest").alias("rest")).join(label.withColumnRenamed("node", "name"), "name", "left")
     cells = cut(cells.select("gram", "name", "rest", F.coalesce("label", "name").alias("label")), "jaccard-labelled")
-    mixed = cut(cells.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("gram", "n"), "jaccard-mixed")
-    open_cells = cells.join(mixed, "gram").join(classes.select("name", "size", "point"), "name")
+    mixed = (cells.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("name")).alias("members"))
+             .where("lo <> hi").select("gram", "n", "members"))
+    mixed = cut(mixed, "jaccard-mixed")
+    # cells of the same classes are one (where only ``members`` agrees, one with more pairs); the loosest bound holds
+    one = (cells.join(mixed, "gram").groupBy(F.xxhash64("members", "n").alias("gram"), "name")
+           .agg(F.max("rest").alias("rest"), F.first("label").alias("label")))
+    one = cut(one, "jaccard-merged")
+    sized = one.groupBy("gram").agg(F.count("*").alias("n"))
+    open_cells = one.join(sized, "gram").join(classes.select("name", "size", "point", "bits"), "name")
     pairs = cut(_cells(open_cells, part, whole), "jaccard-pairs")
     if not pairs.isEmpty():
-        more = cut(_verify(pairs, classes, rows, n, part, whole), "jaccard-more")
+        more = cut(_verify(pairs, classes, rows, n, seed, part, whole), "jaccard-more")
         if not more.isEmpty():
             label = components(links.unionByName(more))
 
