@@ -170,6 +170,18 @@ def q_keyframe_segments(spark, d):
     return CH.keyframe_segments(TD.frames(spark, d), N_CHUNKS, block_us=HOUR_US)
 
 
+SHORT_CHUNKS = 400                  # more chunks than some videos have key frames for
+
+
+@register("segment_report", with_fx("""
+    SELECT video_id, CAST(400 AS BIGINT) AS requested, count(*) AS created, count(*) = 400 AS matches,
+           min(frame_count) AS least_frames, max(frame_count) AS most_frames, CAST(sum(frame_count) AS BIGINT) AS n_frames
+    FROM a GROUP BY 1""", "fx_frames", ctes=[(n, q.replace("least(9, (pts_us * 10)", "least(399, (pts_us * 400)")) for n, q in _SEG_CTES]))
+def q_segment_report(spark, d):
+    """Requested against created chunks."""
+    return CH.segment_report(CH.keyframe_segments(TD.frames(spark, d), SHORT_CHUNKS, block_us=HOUR_US), SHORT_CHUNKS)
+
+
 @register("keyframe_select", with_fx(
     "SELECT video_id, frame_id, pts_us, size_bytes FROM fx_frames WHERE pict_type = 'I'", "fx_frames"))
 def q_keyframe_select(spark, d):

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from framelake.catalog import DAY_US, HOUR_US, register
+from framelake.catalog import DAY_US, HOUR_US, ORACLES, register
 from framelake.functions import scalars as S
 from framelake.operators import media as MD
 from framelake.operators import metrics as MT
@@ -167,6 +167,43 @@ def q_sweep_csv(spark, d):
     return read_csv(spark, path)
 
 
+@register("sweep_lengths_csv", with_fx(f"""
+    SELECT CAST(video_id AS VARCHAR) AS video_id, CAST(n AS VARCHAR) AS num_chunks, CAST(chunk_no AS VARCHAR) AS chunk_no,
+           {_sql_two_decimals('dur_us', 1000000).replace('10000', '(n * 10000)')} AS chunk_len_s,
+           {_sql_two_decimals('chunk_bytes', 1000000)} AS proc_s
+    FROM (SELECT video_id, n, CAST(least(n - 1, (pts_us * n) // dur_us) AS INTEGER) AS chunk_no, dur_us,
+                 CAST(sum(size_bytes) AS BIGINT) AS chunk_bytes
+          FROM (SELECT f.*, e.dur_us, unnest(range(2, 11)) AS n FROM fx_frames f JOIN ext e USING (video_id)) z
+          GROUP BY ALL) y""", "fx_frames", ctes=_SWEEP_CTES[:1]))
+def q_sweep_lengths_csv(spark, d):
+    """A7 of each video, with the length of its chunks."""
+    from framelake.session import scratch_path
+    from framelake.sources.sinks import read_csv, sweep_rows_by_video, write_sweep_csv
+    path = scratch_path(spark, "sweep-lengths-csv")
+    write_sweep_csv(sweep_rows_by_video(TD.frames(spark, d), 2, 10), path)
+    return read_csv(spark, path)
+
+
+@register("event_log", ORACLES["run_events_latest"])
+def q_event_log(spark, d):
+    """A9 whole: two writers commit their records at the same time, the first
+    one commits again (as after a retry), and records come late; the last
+    record of every run is read back."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from framelake.session import scratch_path
+    from framelake.sources.sinks import append_commit, read_log
+    log, events = scratch_path(spark, "event-log"), TD.runs(spark, d)
+    odd, late = F.col("item_no") % 2 == 1, F.col("item_id") % 5 == 0
+    parts = [events.where(odd & ~late), events.where(~odd & ~late)]
+    with ThreadPoolExecutor(2) as writers:
+        names = list(writers.map(lambda e: append_commit(e, log), parts))
+    append_commit(parts[0], log, names[0])
+    append_commit(events.where(late), log)
+    return MT.latest_per(read_log(spark, log), ["run_id"], ["ts", "item_id", "item_no"],
+                         ["ts", "item_id", "item_no", "ok"], prefix="last_")
+
+
 @register("metrics_json", with_fx("""
     SELECT run_id, count(*) AS n_items, count(*) FILTER (WHERE ok) AS n_ok,
            sum(in_bytes) / 1048576.0::DOUBLE AS input_mb, sum(out_bytes) / 1048576.0::DOUBLE AS output_mb,

@@ -274,6 +274,26 @@ def q_detect_frames(spark, d):
     return PX.detect_frames(TD.pixel_frames(spark, d), _template(spark, d), THRESHOLD)
 
 
+@register("quarantine_detect", with_fx("""
+    SELECT video_id, frame_no, frame_no % 10 = 3 AS quarantined, CASE WHEN frame_no % 10 = 3 THEN NULL ELSE detected END AS detected,
+           CASE WHEN frame_no % 10 = 3 THEN NULL ELSE confidence END AS confidence,
+           CASE WHEN frame_no % 10 = 3 THEN 64 - 1 - frame_no % 7 END AS n_bytes
+    FROM all_b""", "fx_template", "fx_pixels", ctes=_DETECT_ALL))
+def q_quarantine_detect(spark, d):
+    """C6 on frames: every tenth frame is cut short; detection goes on, and the
+    frames it could not decode leave it as rows with the reason."""
+    from framelake.operators.quality import split_valid
+    frames = TD.pixel_frames(spark, d)
+    short = F.col("frame_no") % 10 == 3
+    cut = F.when(short, F.substring("data", F.lit(1), (63 - F.col("frame_no") % 7).cast("int"))).otherwise(F.col("data"))
+    found = PX.detect_frames(frames.withColumn("data", cut), _template(spark, d), THRESHOLD, on_error="quarantine")
+    good, bad = split_valid(found, F.col("error"))
+    n_bytes = F.regexp_extract("error", r"size (\d+)", 1).cast("bigint")          # of the decoder's message
+    return (good.select("video_id", "frame_no", F.lit(False).alias("quarantined"), "detected", "confidence", F.lit(None).cast("bigint").alias("n_bytes"))
+                .unionByName(bad.select("video_id", "frame_no", F.lit(True).alias("quarantined"), F.lit(None).cast("boolean").alias("detected"),
+                                        F.lit(None).cast("double").alias("confidence"), n_bytes.alias("n_bytes"))))
+
+
 @register("detect_frames_split", with_fx("SELECT * FROM all_b", "fx_template", "fx_pixels", ctes=_DETECT_ALL))
 def q_detect_frames_split(spark, d):
     """I4/D2 with the frame x scale work spread over tasks (few-frames form)."""

@@ -136,12 +136,13 @@ def clip_extent(start: Column, extent: Column, limit: Column) -> Column:
     return F.least(extent, limit - start)
 
 
-def two_decimals(units: Column, per_one: int) -> Column:
+def two_decimals(units: Column, per_one: int | Column) -> Column:
     """Text of ``units / per_one`` with two decimals, rounded half to even in
     exact integer arithmetic (non-negative integers; ``per_one`` a multiple
     of 100) — the same digits on every engine, unlike float formatting."""
-    step = per_one // 100
-    q, r = idiv(units, F.lit(step)), units % step
+    step = per_one // 100 if isinstance(per_one, int) else idiv(per_one, F.lit(100))
+    step = F.lit(step) if isinstance(step, int) else step
+    q, r = idiv(units, step), units % step
     up = (r * 2 > step) | ((r * 2 == step) & (q % 2 == 1))
     c = q + F.when(up, F.lit(1)).otherwise(F.lit(0))
     return F.concat(idiv(c, F.lit(100)).cast("string"), F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))

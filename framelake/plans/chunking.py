@@ -127,6 +127,17 @@ def keyframe_segments(frames: DataFrame, n_chunks: int, block_us: int = DEFAULT_
                .drop("_seg", "_nom", "dur_us", "first_pts_us"))
 
 
+def segment_report(segments: DataFrame, requested: int) -> DataFrame:
+    """Per video how many chunks were asked for and how many the key
+    frames allowed, and how uneven they are; ``matches`` is false where the
+    split could not give what was asked for."""
+    return (segments.groupBy("video_id")
+                    .agg(F.count(F.lit(1)).alias("created"), F.min("frame_count").alias("least_frames"),
+                         F.max("frame_count").alias("most_frames"), F.sum("frame_count").alias("n_frames"))
+                    .select("video_id", F.lit(requested).cast("bigint").alias("requested"), "created",
+                            (F.col("created") == requested).alias("matches"), "least_frames", "most_frames", "n_frames"))
+
+
 def keyframe_chunks(frames: DataFrame, n_chunks: int) -> DataFrame:
     """Key frames only, each with its equal-time chunk."""
     keys = frames.where(F.col("pict_type") == "I")

@@ -34,7 +34,7 @@ def _raw(spark: SparkSession, root: str, glob: str) -> DataFrame:
                  .option("recursiveFileLookup", "true").load(root))
 
 
-def _keys() -> list:
+def chunk_keys() -> list:
     stem = strip_extension(basename(F.col("path")))
     return [F.regexp_extract(F.col("path"), r"/([^/]+)/[^/]+$", 1).alias("video_id"),
             F.coalesce(F.regexp_extract(stem, r"(\d+)$", 1).try_cast("bigint"),
@@ -44,7 +44,7 @@ def _keys() -> list:
 def chunk_files(spark: SparkSession, root: str, glob: str = "*.mp4") -> DataFrame:
     """Chunk files under ``root/<video>/``: path, length, video, chunk number
     (``content`` is pruned: the listing reads no file bytes)."""
-    return _raw(spark, root, glob).select("path", "length", *_keys())
+    return _raw(spark, root, glob).select("path", "length", *chunk_keys())
 
 
 def _ranges(batches, frame_bytes: int):
@@ -63,6 +63,22 @@ def _ranges(batches, frame_bytes: int):
                         "frame_no": [r.frame_offset + (r.start + at) // frame_bytes + 1], "data": [data]})
 
 
+def read_ranges(files: DataFrame, frame_bytes: int, frames_per_read: int = 16) -> DataFrame:
+    """Frames of the files of a listing (path, length, video_id, chunk_id,
+    frame_offset), read by byte ranges of a few frames; no file content passes
+    the listing, so a file of any length will do."""
+    step = frame_bytes * frames_per_read
+    ranges = (files.where(F.col("length") > 0)
+                   .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1,
+                                                             F.lit(step).cast("bigint"))))
+                   .select("path", "video_id", "chunk_id", "frame_offset", "start",
+                           F.least(F.lit(step), F.col("length") - F.col("start")).alias("n_bytes")))
+    # a task's ranges are neighbours in one chunk, so the store gets few files per chunk
+    return (ranges.repartitionByRange("video_id", "chunk_id", "start")
+                  .mapInPandas(lambda bs: _ranges(bs, frame_bytes),
+                               "video_id string, chunk_id bigint, local_no bigint, frame_no bigint, data binary"))
+
+
 def extract_frames(spark: SparkSession, root: str, frame_bytes: int, glob: str = "*.mp4",
                    geometry: tuple[int, int, int] | None = None, frames_per_read: int = 16) -> DataFrame:
     """Numbered frames of every chunk file (steps 1-4); each byte is read once.
@@ -82,16 +98,7 @@ def extract_frames(spark: SparkSession, root: str, frame_bytes: int, glob: str =
         files = files.withColumn("length", F.when(whole, F.col("length")).otherwise(F.raise_error(
             F.concat(F.lit("partial frame at the end of "), F.col("path"))).cast("bigint")))
     counts = files.withColumn("frame_count", FR.frame_count(F.col("length"), frame_bytes))
-    step = frame_bytes * frames_per_read
-    ranges = (FR.chunk_offsets(counts).where(F.col("length") > 0)
-                .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1,
-                                                          F.lit(step).cast("bigint"))))
-                .select("path", "video_id", "chunk_id", "frame_offset", "start",
-                        F.least(F.lit(step), F.col("length") - F.col("start")).alias("n_bytes")))
-    # a task's ranges are neighbours in one chunk, so the store gets few files per chunk
-    frames = (ranges.repartitionByRange("video_id", "chunk_id", "start")
-                    .mapInPandas(lambda bs: _ranges(bs, frame_bytes),
-                                 "video_id string, chunk_id bigint, local_no bigint, frame_no bigint, data binary"))
+    frames = read_ranges(FR.chunk_offsets(counts), frame_bytes, frames_per_read)
     if geometry is not None:
         h, w, c = geometry
         frames = frames.select("*", F.lit(h).alias("height"), F.lit(w).alias("width"), F.lit(c).alias("nChannels"))

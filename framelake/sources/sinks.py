@@ -22,6 +22,18 @@ def sweep_rows(frames: DataFrame, n_min: int, n_max: int) -> DataFrame:
              .agg(F.sum("size_bytes").cast("bigint").alias("chunk_bytes")))
 
 
+def sweep_rows_by_video(frames: DataFrame, n_min: int, n_max: int) -> DataFrame:
+    """:func:`sweep_rows` of each video by itself, with its length: a video's
+    chunk of setting ``n`` lasts ``dur_us / n``."""
+    f = (by_keys(frames, video_extent(frames), ["video_id"])
+               .select("video_id", "pts_us", "dur_us", "size_bytes",
+                       F.explode(F.sequence(F.lit(n_min), F.lit(n_max))).alias("num_chunks")))
+    chunk = F.least(F.col("num_chunks").cast("bigint") - 1,
+                    F.call_function("div", F.col("pts_us") * F.col("num_chunks"), F.col("dur_us")))
+    return (f.groupBy("video_id", "num_chunks", chunk.cast("int").alias("chunk_no"), "dur_us")
+             .agg(F.sum("size_bytes").cast("bigint").alias("chunk_bytes")))
+
+
 def sweep_summary(rows: DataFrame) -> DataFrame:
     """Total and mean chunk time per sweep setting (bytes / 1e6 as the
     time proxy), plus the slowest chunk."""
@@ -37,8 +49,13 @@ def write_sweep_csv(rows: DataFrame, path: str) -> None:
     """CSV with a header row, values formatted with two decimals (exact
     half-even rounding of bytes / 1e6, see ``functions.two_decimals``)."""
     from framelake.functions.scalars import two_decimals
-    (rows.select("num_chunks", "chunk_no", two_decimals(F.col("chunk_bytes"), 1000000).alias("proc_s"))
-         .orderBy("num_chunks", "chunk_no")
+    proc = two_decimals(F.col("chunk_bytes"), 1000000).alias("proc_s")
+    if "dur_us" not in rows.columns:
+        out, order = rows.select("num_chunks", "chunk_no", proc), ["num_chunks", "chunk_no"]
+    else:                       # of each video, with the length of its chunks
+        length = two_decimals(F.col("dur_us"), F.col("num_chunks").cast("bigint") * 1000000).alias("chunk_len_s")
+        out, order = rows.select("video_id", "num_chunks", "chunk_no", length, proc), ["video_id", "num_chunks", "chunk_no"]
+    (out.orderBy(*order)
          .write.mode("overwrite").option("header", True).csv(path))
 
 
@@ -85,3 +102,20 @@ def append_events(events: DataFrame, path: str, partition_by: str | None = "run_
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
+
+
+def append_commit(events: DataFrame, log: str, commit: str | None = None) -> str:
+    """One commit of a run-event log with several writers: its records go to a
+    folder of their own, so writers at work at the same time never touch each
+    other's files.  A commit that is made again under its own name replaces
+    itself.  Returns the name."""
+    import uuid
+    commit = commit or uuid.uuid4().hex
+    events.write.mode("overwrite").parquet(f"{log.rstrip('/')}/commit={commit}")
+    return commit
+
+
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    """All records of a log, with the ``commit`` they came in; what a writer
+    hasn't committed yet is not seen."""
+    return spark.read.option("mergeSchema", "true").parquet(log)

@@ -91,3 +91,31 @@ def ingest_chunks(spark: SparkSession, stream: DataFrame, to_chunks: Callable[[D
         if written != stop_after:
             raise
         raise Stopped(f"after {written} micro-batches") from None
+
+
+def ingest_chunk_files(spark: SparkSession, root: str, frame_bytes: int, store_path: str, checkpoint: str,
+                       glob: str = "*.raw", files_per_batch: int = 1000, frames_per_read: int = 16) -> None:
+    """Ingestion of chunk *files* of any length, until the source is drained.
+
+    The stream carries listings only (path and length; the content is pruned,
+    so no row holds a file); every micro-batch plans byte ranges from them and
+    reads those spread over its tasks, as the batch job does.  Video and chunk
+    come from folder and file name; frames are numbered within their chunk."""
+    from framelake.plans.extract_job import chunk_keys, read_ranges
+    from framelake.session import ship_package
+    ship_package(spark)
+    listing = (spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+                    .option("maxFilesPerTrigger", files_per_batch)
+                    .schema("path string, modificationTime timestamp, length long, content binary").load(root)
+                    .select("path", "length"))
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        files = batch.select("path", "length", *chunk_keys(), F.lit(0).cast("bigint").alias("frame_offset"))
+        frames = read_ranges(files, frame_bytes, frames_per_read).drop("frame_no").withColumn("batch_id", F.lit(epoch_id))
+        (frames.sortWithinPartitions("video_id", "chunk_id", "local_no")
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("batch_id", "video_id").parquet(store_path))
+
+    q = (listing.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start())
+    q.awaitTermination()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framelake.sources import testdata as TD
-from framelake.streaming.ingest import Stopped, ingest_chunks, read_progress
+from framelake.streaming.ingest import Stopped, ingest_chunk_files, ingest_chunks, read_progress
 from framelake.streaming.resources import resource_windows, stream_resource_windows
 from tests.conftest import SF_SMALL
 
@@ -134,3 +134,37 @@ def test_records_hold_observed_metrics(spark, tmp_dir):
                   observe={"last_chunk": F.max("chunk_id"), "n_bytes": F.sum(F.length("data"))})
     log = read_progress(spark, f"{tmp_dir}/log").orderBy("batch_id").collect()
     assert [(r.last_chunk, r.n_bytes) for r in log] == [(0, 4), (1, 7), (2, 10)]
+
+
+def test_chunk_files_beyond_the_row_limit_are_streamed(spark, tmp_dir):
+    """The stream holds listings: a file above the limit of ``binaryFile`` (here
+    16 bytes) is read by ranges; a later file comes with a later run."""
+    import os
+    src, limit = f"{tmp_dir}/raw/cam1", "spark.sql.sources.binaryFile.maxLength"
+    os.makedirs(src)
+    content = {0: bytes(range(50)), 1: b"", 2: bytes(range(100, 109))}
+
+    def put(c):
+        with open(f"{src}/chunk_{c:03d}.raw", "wb") as f:
+            f.write(content[c])
+
+    def run():
+        ingest_chunk_files(spark, f"{tmp_dir}/raw", 4, f"{tmp_dir}/store", f"{tmp_dir}/ckpt", files_per_batch=1, frames_per_read=3)
+        rows = spark.read.parquet(f"{tmp_dir}/store").orderBy("chunk_id", "local_no").collect()
+        return {c: [bytes(r.data) for r in rows if r.chunk_id == c] for c in {r.chunk_id for r in rows}}, rows
+
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "16")
+    try:
+        put(0)
+        put(1)
+        with pytest.raises(Exception, match="exceeds the max length"):
+            spark.read.format("binaryFile").load(f"{src}/chunk_000.raw").collect()
+        got, rows = run()
+        assert got == {0: [content[0][k:k + 4] for k in range(0, 50, 4)]}
+        assert [r.local_no for r in rows] == list(range(1, 14)) and rows[0].video_id == "cam1"
+        put(2)
+        got, _ = run()
+        assert got[2] == [content[2][:4], content[2][4:8], content[2][8:]] and len(got[0]) == 13
+    finally:
+        spark.conf.set(limit, before)
