@@ -25,7 +25,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelake.llm.common import keyed
+from framelake.llm.common import cut, keyed
 
 BITS = 128
 BLOCK_ROWS = 512            # rows of one step of the search for next rows
@@ -106,7 +106,8 @@ def digest(docs: DataFrame) -> DataFrame:
     prints = fingerprints(both, [*key, "kind"], "text")
     pair = prints.groupBy(*key).agg(*[F.max(F.when(F.col("kind") == k, F.col(f"f{j}"))).alias(f"{name}{j}") for k, name in ((0, "f"), (1, "e")) for j in (0, 1)])
     facts = met.select(*key, "doc_id", "h", "n_doc_id", "n_h", n.cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"))
-    out = facts.join(pair, key)
+    # written: a row's fingerprint is read twice, and the words vote once
+    out = cut(facts.join(pair, key), "simhash-prints")
     # the next row's fingerprint is that of its id and text
     known = out.groupBy(F.col("doc_id").alias("k_id"), F.col("h").alias("k_h")).agg(F.min("f0").alias("k0"), F.min("f1").alias("k1"))
     out = out.join(known, F.col("n_doc_id").eqNullSafe(F.col("k_id")) & (F.col("n_h") == F.col("k_h")))
