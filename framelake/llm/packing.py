@@ -5,12 +5,13 @@ are cut, and the pieces are packed by their lengths alone.  Pieces are dealt
 over groups of about ``group_tokens`` tokens.  Each group starts from best fit
 in decreasing order and then improves its underfull bins: one-for-one,
 two-for-one exchanges and moves between bins that increase the sum of squared
-fills, until bins empty.  The underfull bins that remain (a few per group) go
-through the same step again in fewer groups until one group holds them all or
-they stop shrinking, so the rest that is wasted doesn't grow with the groups.
+fills, until bins empty.  The bins with much room that remain go through the
+same step again, dealt anew over as many groups as their tokens need, until
+one group holds them all or their number hardly falls, so the rest that is
+wasted doesn't grow with the groups.
 
 Null texts count as empty: one piece with the end id only.  Repeated rows are
-separate pieces.  An empty table gives no rows.  Only ``doc_id`` and ``text``
+separate pieces, and equal ones are numbered, so they spread over the groups.  An empty table gives no rows.  Only ``doc_id`` and ``text``
 are read.  The number of sequences depends on the rows alone, not on the
 number of tasks.
 """
@@ -34,6 +35,7 @@ END_ID = 0
 END_OF_TEXT = "<|endoftext|>"
 GROUP_TOKENS = 8 << 20        # tokens packed by one task; bounds its memory
 SPARE = 64                    # a bin with more room than size / SPARE is worth emptying
+FEWER = 1000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -179,8 +181,8 @@ def pack_lengths(length: list[int], size: int = SIZE) -> list[list[int]]:
 def _pack_groups(pieces: DataFrame, groups: int, level: int, size: int) -> DataFrame:
     """Pack each of ``groups`` hash groups; a bin's number has level, group and
     place in it."""
-    dealt = (pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.lit(level)), F.lit(groups)).cast("int"))
-             .repartition(groups, "grp").sortWithinPartitions("grp", "length", "doc_id", "piece", "ids_crc32"))
+    dealt = (pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", "copy", F.lit(level)), F.lit(groups)).cast("int"))
+             .repartition(groups, "grp").sortWithinPartitions("grp", "length", "doc_id", "piece", "ids_crc32", "copy"))
 
     def run(batches):
         held: list[pa.Table] = []
@@ -212,27 +214,37 @@ def _pack_groups(pieces: DataFrame, groups: int, level: int, size: int) -> DataF
                 held.append(t.slice(a, z - a))
         if held:
             yield from flush()
-    return dealt.mapInArrow(run, PIECES + ", sequence_id long, offset long, room long")
+    return dealt.mapInArrow(run, PIECES + ", copy long, sequence_id long, offset long, room long")
+
+
+def numbered(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``copy``, 1 up to the number of equal rows: counted
+    within tasks first, so equal rows meet as counts only."""
+    cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    counts = pieces.groupBy(*cols).agg(F.count("*").alias("n"))
+    return counts.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
 
 
 def pack(pieces: DataFrame, size: int = SIZE, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """``pieces`` with sequence_id and offset."""
     done = None
-    rest, level, cols = cut(pieces, "pieces"), 0, ["doc_id", "piece", "start", "length", "ids_crc32"]
-    tokens = rest.agg(F.sum("length")).first()[0] or 0
+    rest, level, cols = cut(numbered(pieces), "pieces"), 0, ["doc_id", "piece", "start", "length", "ids_crc32"]
+    tokens, bins = rest.agg(F.sum("length")).first()[0] or 0, None
     while True:
         groups = max(1, -(-tokens // group_tokens))
         packed = cut(_pack_groups(rest, groups, level, size), "packed")
         # a bin with little room is as good as full; the others are tried again together
         spare = F.col("room") > size // SPARE
-        left = packed.where(spare).agg(F.sum("length")).first()[0] or 0
-        again = groups > 1 and 0 < left < tokens
+        left, open_bins, all_bins = packed.agg(F.sum(F.when(spare, F.col("length"))), F.count_if(spare & (F.col("offset") == 0)), F.count_if(F.col("offset") == 0)).first()
+        left = left or 0
+        # another deal is worth its while as long as it saves a bin in FEWER
+        again = groups > 1 and left > 0 and (bins is None or all_bins <= bins - bins // FEWER - 1)
         part = packed.where(~spare) if again else packed
         part = part.select(*cols, "sequence_id", "offset")
         done = part if done is None else done.unionByName(part)
         if not again:
             return done
-        rest, tokens, level = packed.where(spare).select(*cols), left, level + 1
+        rest, tokens, bins, level = packed.where(spare).select(*cols, "copy"), left, open_bins, level + 1
 
 
 def digest(docs: DataFrame) -> DataFrame:
