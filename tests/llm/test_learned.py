@@ -190,7 +190,7 @@ def test_empty_tables(spark, make_docs):
 
 
 def test_queries_are_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, sf="/root/testdata/sf0.001"):
