@@ -297,14 +297,8 @@ def q_stream_frames(spark, d):
     """Chunk payloads ingested by a streaming file source into the frame store."""
     from framelake.session import scratch_path
     from framelake.streaming.ingest import ingest_chunks
-    schema = TD.table(spark, d, "documents").schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-                   .option("pathGlobFilter", "documents*.parquet").parquet(d))
     store, ckpt = scratch_path(spark, "stream-store"), scratch_path(spark, "stream-ckpt")
-    to_chunks = lambda b: b.select((F.col("doc_id") % TD.N_VIDEOS).alias("video_id"),
-                                   (F.col("doc_id") / TD.N_VIDEOS).cast("bigint").alias("chunk_id"),
-                                   F.encode("text", "UTF-8").alias("payload"))
-    ingest_chunks(spark, stream, to_chunks, TD.PAYLOAD_FRAME_BYTES, store, ckpt)
+    ingest_chunks(spark, _arriving(spark, d), lambda b: b, TD.PAYLOAD_FRAME_BYTES, store, ckpt)
     back = spark.read.parquet(store)
     return back.select(F.col("video_id").cast("bigint").alias("video_id"),
                        F.col("chunk_id").cast("bigint").alias("chunk_id"), "local_no",
