@@ -222,7 +222,7 @@ def test_fingerprints(make_docs):
     got = simhash.digest(make_docs(rows)).toPandas()
     assert len(got) == len(rows)
     have = {(k, t or "") for k, t in rows}
-    order = sorted((t or "" for k, t in rows if k is not None and k >= 9), key=lambda t: next(k for k, x in have if k is not None and k >= 9 and x == t))
+    order = sorted((t or "" for k, t in rows if k is not None and k >= 9), key=lambda t: min(k for k, x in have if k is not None and k >= 9 and x == t))
     shas = set(got["edited_sha256"])
     for a, b in zip(order[:-1], order[1:]):
         if a != prose(1, 200):
