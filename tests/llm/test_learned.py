@@ -206,3 +206,15 @@ def test_pipeline(spark, sf="/root/testdata/sf0.001"):
     assert {r["doc_id"] for r in first.collect()} == {k for k, v in scored.items() if v >= quality.THRESHOLD}
     packed = corpus_pipeline.run(spark, sf)
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == {r["doc_id"] for r in kept.select("doc_id").collect()}
+
+
+def test_training_rows_merge_by_label_and_two_hashes(spark):
+    base = prose(70, 300).split()
+    near = " ".join([*base[:150], "changed", *base[151:]])
+    hot = prose(71, 40)
+    sharing = [(prose(80 + k, 160) + " " + hot, k % 2) for k in range(40)]       # a fifth of each text
+    rows = [(" ".join(base), 0), (" ".join(base), 0), (near, 0), (near, 1), ("", 0), ("", 1), *sharing]
+    got = {(r["text"], r["y"]) for r in toxicity.once(spark.createDataFrame(rows, "text string, y int")).collect()}
+    assert (near, 1) in got                                  # a toxic text made from a clean one stays
+    assert sum(t in (near, " ".join(base)) and y == 0 for t, y in got) == 1
+    assert {("", 0), ("", 1)} <= got and len(got & set(sharing)) >= 30
