@@ -568,9 +568,10 @@ def first_frame_detection(frames: DataFrame, detect_fn, key: str = "video_id",
     columns alone (pixels are pruned from that branch) and selects the frames
     through a checked broadcast semi join, so no frame is shuffled.
 
-    Frames with a ``chunk_id`` (a frame store) are joined on it too: it is a
-    partition column, so only the folders of first chunks are read."""
-    parts = [c for c in ("chunk_id",) if c in frames.columns]
+    Frames with a ``chunk_id`` are joined on it too, and those of a frame store
+    on ``chunk_slot``: it is a partition column, so only the folders of first
+    chunks are read."""
+    parts = [c for c in ("chunk_id", "chunk_slot") if c in frames.columns]
     first = (frames.where(F.col(frame_col).isNotNull()).groupBy(key)
                    .agg(F.min(F.struct(frame_col, *parts)).alias("_f")).select(key, "_f.*"))
     # the partition column is compared plainly: that is what Spark prunes by

@@ -8,7 +8,7 @@
    over the tasks (metadata only),
 4. each task opens its ranges and emits one row per frame, numbered
    ``offset + local_no``,
-5. write the partitioned frame store (dynamic overwrite per chunk).
+5. write the partitioned frame store (a re-run replaces its own chunks).
 
 A file of any length is read in parallel and no row holds more than one frame.
 

@@ -166,3 +166,36 @@ def test_append_only_log_last_write_wins(spark, tmp_dir):
     got = {r.phase: (r.n_records, r.frame_number) for r in
            latest_per(log, ["run_id", "phase"], ["ts"], ["frame_number"]).collect()}
     assert got == {"extract": (2, 250), "detect": (1, 5)}
+
+
+def test_frame_store_folders_do_not_grow_with_chunks(spark, tmp_dir):
+    """Many chunks share the folders of a video; a re-run of some, with fewer
+    frames, keeps the others; videos 1 and 01, and NULL keys, stay apart."""
+    import os
+
+    from framelake.sources.frame_store import SLOTS
+    schema = "video_id string, chunk_id long, frame_no long, data binary"
+    rows = [(v, c, 10 * c + k, bytes([c % 256, k])) for v in ("1", "01", None) for c in range(5 * SLOTS + 3) for k in (1, 2)]
+    rows += [("1", None, 1, b"n"), (None, None, 2, b"m")]
+    path = tmp_dir + "/store"
+    write_frame_store(spark.createDataFrame(rows, schema), path)
+    folders = [d for d, _, files in os.walk(path) if any(f.endswith(".parquet") for f in files)]
+    assert len(folders) <= 3 * (SLOTS + 1)
+    redone = [("1", 2, 21, b"new"), ("1", 2 + SLOTS, 5, b"new"), (None, None, 2, b"new"), ("2", 2, 1, b"new")]
+    write_frame_store(spark.createDataFrame(redone, schema), path)
+    want = [r for r in rows if r[:2] not in {x[:2] for x in redone}] + redone
+    got = spark.read.schema(schema + ", chunk_slot int").parquet(path)
+    order = lambda rs: sorted(((r[0] or "", r[0] is None, -1 if r[1] is None else r[1], r[2], bytes(r[3])) for r in rs))
+    assert order(got.select("video_id", "chunk_id", "frame_no", "data").collect()) == order(want)
+
+
+def test_first_frames_of_a_store_read_the_slots_of_first_chunks(spark, tmp_dir):
+    from framelake.operators.pixels import first_frame_detection
+    from framelake.sources.frame_store import SLOTS
+    rows = [(v, c, 10 * c + k, bytes([v, k])) for v in (1, 2) for c in range(v, 2 * SLOTS) for k in (1, 2)]
+    write_frame_store(spark.createDataFrame(rows, "video_id int, chunk_id int, frame_no long, data binary"), f"{tmp_dir}/store")
+    got = first_frame_detection(read_frame_store(spark, f"{tmp_dir}/store"), lambda f: f)
+    assert sorted((r.video_id, r.frame_no, bytes(r.data)) for r in got.collect()) == [(1, 11, bytes([1, 1])), (2, 21, bytes([2, 1]))]
+    scan = next(x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
+    filters = scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "dynamicpruning" in filters and "chunk_slot" in filters
