@@ -6,6 +6,11 @@ both end cut the tokens into groups.  The tokens that end there together are a
 link; as every token has bytes, a group has exactly one, between its last A
 and its last B token.
 
+No token of either covers a single space and text before it, so a text is the
+sequence of its stretches between such spaces, each encoded by itself with a
+space in front.  A task encodes a stretch once and remembers its ids, within a
+bound.  Tokenizers of another build get whole texts.
+
 Identity map: ``same[a]`` is the B id with the bytes of A id ``a``.  A group
 of one A and one B token has equal bytes on both sides, so its link is
 ``(a, same[a])`` (bytes that B has twice, as a piece and as a byte token, are
@@ -22,9 +27,12 @@ empty table gives no rows.  Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from array import array
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +43,7 @@ from framelake.llm.common import cut, keyed
 from framelake.session import ship_package
 
 BATCH_BYTES = 1 << 20          # text encoded at once
+KNOWN_BYTES = 1 << 21          # text of the stretches that a task remembers, besides one batch
 ROWS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
         "same_ids binary, pair_a binary, pair_b binary, pair_n binary, counted binary")
 
@@ -65,6 +74,7 @@ class Pair:
     b_len: np.ndarray
     same: np.ndarray        # A id -> B id of the same bytes, or -1
     texts: pa.LargeBinaryArray        # "id,", then "id|" of A, "id,", then "id;" of B
+    apart: bool             # whether stretches of a text can be encoded one by one
 
 
 @lru_cache(maxsize=2)
@@ -92,7 +102,22 @@ def load(a_path: str, b_path: str) -> Pair:
             b_bytes.append(piece.replace("▁", " ").encode())
     texts = [f"{i}{end}".encode() for n, ends in ((len(a_bytes), ",|"), (len(b_bytes), ",;")) for end in ends for i in range(n)]
     return Pair(a, b, *(pa.array(x, pa.large_binary()) for x in (a_bytes, b_bytes)), np.array([len(x) for x in a_bytes]), np.array([len(x) for x in b_bytes]),
-                identity(a_bytes, b_bytes), pa.array(texts, pa.large_binary()))
+                identity(a_bytes, b_bytes), pa.array(texts, pa.large_binary()), _apart(a, b))
+
+
+def _apart(a, b) -> bool:
+    """Whether no token of A or B can reach over a single space: A splits
+    texts at them (byte-level words, nothing normalised, no added token but
+    special ones), and B leaves texts as they are, has no piece with a space
+    after something else and spells unknown characters in bytes."""
+    spec = json.loads(a.to_str())
+    split = spec["pre_tokenizer"] or {}
+    plain = (spec["normalizer"] is None and spec["truncation"] is None and split.get("type") == "ByteLevel" and split.get("use_regex")
+             and not split.get("add_prefix_space") and all(t["special"] for t in spec["added_tokens"]))
+    probe = " a\u0301  \ufb01\t\xa0\uff21 "
+    ids = range(b.get_piece_size())
+    return bool(plain and b.decode(b.encode(probe)) == probe and any(b.is_byte(i) for i in ids)
+                and not any(re.search("[^\u2581]\u2581", b.id_to_piece(i)) for i in ids))
 
 
 def identity(a_bytes: list[bytes], b_bytes: list[bytes]) -> np.ndarray:
@@ -139,13 +164,13 @@ def encode(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches):
         pair = load(a_path, b_path)
-        vector = np.zeros(len(pair.a_bytes), np.int64)
+        vector, known = np.zeros(len(pair.a_bytes), np.int64), Stretches(pair)
         for big in batches:
             size = np.cumsum([len(t) for t in big.column(1).to_pylist()]) // BATCH_BYTES
             edges = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), big.num_rows]
             for lo, hi in zip(edges, edges[1:]):
                 b = big.slice(lo, hi - lo)
-                rows = _aligned(pair, b.column(1).to_pylist(), vector)
+                rows = _aligned(pair, b.column(1).to_pylist(), vector, known)
                 if rows:
                     yield batch([b.column(0).to_pylist(), *zip(*rows), [None] * len(rows)])
         if vector.any():
@@ -156,12 +181,49 @@ def encode(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 _NONE = (0, 0, 0, 0, "", b"", b"", b"", b"")
 
 
-def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Lists of ids as one array, and where each begins."""
-    flat = array("q")
-    for x in ids:
-        flat.extend(x)
-    return np.frombuffer(flat, np.int64), np.cumsum([0, *map(len, ids)])
+class Stretches(dict):
+    """Numbers of stretches of text, and the ids of each in both encodings."""
+
+    # a space between characters that are none; what Python takes for a space includes all that A does
+    split = re.compile(r" (?<=\S )(?=\S)").split
+
+    def __init__(self, pair: Pair):
+        self.pair = pair
+        self._forget()
+
+    def _forget(self):
+        self.clear()
+        self.new: list[str] = []
+        self.size = 0
+        self.ids, self.ends = (array("q"), array("q")), (array("q", [0]), array("q", [0]))
+
+    def __missing__(self, stretch: str) -> int:
+        n = self[stretch] = len(self)
+        self.new.append(stretch)
+        return n
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and B the ids of all texts (none empty) in a row, and where each text begins."""
+        if self.size > KNOWN_BYTES:
+            self._forget()
+        at, first = array("q"), [0]
+        for t in texts:
+            at.extend(map(self.__getitem__, self.split(t) if self.pair.apart else [t]))
+            first.append(len(at))
+        if self.new:
+            self.size += sum(map(len, self.new))
+            of_a = [e.ids for e in self.pair.a.encode_batch_fast([" " + t for t in self.new], add_special_tokens=False)]
+            for ids, ends, of in zip(self.ids, self.ends, (of_a, self.pair.b.encode(self.new, num_threads=1))):
+                ends.extend((np.cumsum([len(x) for x in of]) + len(ids)).tolist())
+                ids.extend(chain.from_iterable(of))
+            self.new = []
+        out, k = [], np.frombuffer(at, np.int64)
+        for ids, ends in zip(self.ids, self.ends):
+            ends = np.array(ends)
+            size = np.diff(ends)[k]
+            to = np.concatenate(([0], np.cumsum(size)))
+            out.append((np.array(ids)[np.repeat(ends[k] - to[:-1], size) + np.arange(to[-1])], to[first]))
+        return out
 
 
 def _spelled(table: pa.LargeBinaryArray, at: np.ndarray) -> tuple[memoryview, np.ndarray]:
@@ -170,26 +232,23 @@ def _spelled(table: pa.LargeBinaryArray, at: np.ndarray) -> tuple[memoryview, np
     return memoryview(got.buffers()[2] or b"").cast("B"), np.frombuffer(got.buffers()[1], np.int64)[:len(at) + 1]
 
 
-def _aligned(pair: Pair, texts: list[str], vector: np.ndarray) -> list[tuple]:
+def _aligned(pair: Pair, texts: list[str], vector: np.ndarray, known: Stretches) -> list[tuple]:
     """Of each text n_a .. groups_sha256, its identity links (A ids), and its
     other pairs with how often each occurs; adds the identity links to
     ``vector``.  The texts are taken as one run of bytes: both encodings end
     where a text ends."""
-    spaced = [" " + t for t in texts]
-    of_a = [e.ids for e in pair.a.encode_batch_fast(spaced, add_special_tokens=False)]
-    of_b = pair.b.encode(texts, num_threads=1)
-    whole = [w.encode() if t else None for t, w in zip(texts, spaced)]
-    good, runs = [k for k, w in enumerate(whole) if w is not None], []
-    for ids, table in ((of_a, pair.a_bytes), (of_b, pair.b_bytes)):
-        flat, at = _joined([ids[k] for k in good])
-        data, ends = _spelled(table, flat)
-        same = [data[ends[lo]:ends[hi]] == whole[k] for k, lo, hi in zip(good, at, at[1:])]
-        runs.append((good, flat, at))
-        good = [k for k, ok in zip(good, same) if ok]
-    out: list[tuple] = [_NONE] * len(texts)
-    if not good:
+    good, out = [k for k, t in enumerate(texts) if t], [_NONE] * len(texts)
+    while good:
+        (a, from_a), (b, from_b) = known.encode([texts[k] for k in good])
+        whole, kept = [(" " + texts[k]).encode() for k in good], range(len(good))
+        for ids, at, table in ((a, from_a, pair.a_bytes), (b, from_b, pair.b_bytes)):
+            data, ends = _spelled(table, ids)
+            kept = [g for g in kept if data[ends[at[g]]:ends[at[g + 1]]] == whole[g]]
+        if len(kept) == len(good):
+            break
+        good = [good[g] for g in kept]
+    else:
         return out
-    (a, from_a), (b, from_b) = [run[1:] if run[0] == good else _joined([ids[k] for k in good]) for run, ids in zip(runs, (of_a, of_b))]
     last_a, last_b = groups(pair.a_len[a], pair.b_len[b])
     end_a, end_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
     link_a, link_b = a[end_a], b[end_b]
@@ -211,7 +270,7 @@ def _aligned(pair: Pair, texts: list[str], vector: np.ndarray) -> list[tuple]:
     for g, k in enumerate(good):
         n = int(first[g + 1] - first[g])
         s, p = slice(from_same[g], from_same[g + 1]), slice(from_pair[g], from_pair[g + 1])
-        out[k] = (len(of_a[k]), len(of_b[k]), n, n, hashlib.sha256(data[starts[g]:starts[g + 1] - 1]).hexdigest(),
+        out[k] = (int(from_a[g + 1] - from_a[g]), int(from_b[g + 1] - from_b[g]), n, n, hashlib.sha256(data[starts[g]:starts[g + 1] - 1]).hexdigest(),
                   same[s].tobytes(), left[p].tobytes(), right[p].tobytes(), times[p].tobytes())
     return out
 

@@ -249,6 +249,31 @@ def test_alignment_equals_brute_force(make_docs):
     assert {(r["a"], r["b"]): r["n"] for r in alignment.pair_counts(docs).collect()} == count
 
 
+def test_alignment_encodes_a_stretch_once(monkeypatch):
+    """Stretches between single spaces give the ids of whole texts, a known
+    one is not encoded again, and what is known stays bounded."""
+    p = alignment.load(*alignment.paths())
+    assert p.apart
+    rng = np.random.default_rng(5)
+    marks = [" ", " ", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\ufeff", "\u200b", "\x00", "'s", "'", "don't", "a", "word", "B",
+             "12", "3", "é", "e\u0301", "\u0301", "ﬁ", "½", "漢字", "😀", "<|endoftext|>", "</s>", "<0x41>", ".", "...", "-", "_"]
+    texts = ["".join(rng.choice(marks, rng.integers(1, 40))) for _ in range(2000)]
+    whole = [p.a.encode(" " + t, add_special_tokens=False).ids for t in texts], [p.b.encode(t) for t in texts]
+    for bound in (1 << 21, 500):
+        monkeypatch.setattr(alignment, "KNOWN_BYTES", bound)
+        known = alignment.Stretches(p)
+        for lo in range(0, 2000, 250):
+            for (ids, at), want in zip(known.encode(texts[lo:lo + 250]), whole):
+                assert [ids[i:j].tolist() for i, j in zip(at, at[1:])] == want[lo:lo + 250]
+            assert known.size <= bound + sum(map(len, texts[lo:lo + 250]))
+    known = alignment.Stretches(p)
+    known.encode(["the cat sat on the mat and the cat sat"])
+    assert list(known) == ["the", "cat", "sat", "on", "mat", "and"]
+    known.encode(["the mat  and\tthe cat"])
+    assert list(known)[6:] == ["mat  and\tthe"]
+    assert [x.tolist() for x in known.encode([])[0]] == [[], [0]]
+
+
 def test_alignment_of_a_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want, _ = aligned_by_hand([(r["doc_id"], r["text"]) for r in docs.collect()])
