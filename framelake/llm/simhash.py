@@ -85,11 +85,12 @@ def with_next(rows: DataFrame, group: str, order: list[str], payload: list[str],
         out = rows.withColumn("_next", F.coalesce(F.lead(item).over(by), F.first(item).over(whole)))
         return out.select(*rows.columns, *[F.col(f"_next.{c}").alias(f"n_{c}") for c in payload])
     runs = rows.withColumn("_next", F.lead(item).over(by)).withColumn("rn", F.row_number().over(by))
-    heads = runs.where("rn = 1").select(F.col(group).alias("_run"), *order, *[c for c in payload if c not in order])
+    # the number is all the order that heads need; in a coarser step ``order`` is itself called _run
+    heads = runs.where("rn = 1").select(F.col(group).alias("_run"), *payload)
     coarse = F.floor(F.col("_run") / BLOCK_ROWS).cast("long") if groups > LAST_ROWS else F.lit(0).cast("long")
     following = with_next(heads.withColumn("_g", coarse), "_g", ["_run"], payload, -(-groups // BLOCK_ROWS) if groups > LAST_ROWS else 1)
-    following = following.select("_run", F.struct(*[F.col(f"n_{c}").alias(c) for c in payload]).alias("_head"))
-    out = runs.join(following, F.col(group) == F.col("_run"))
+    following = following.select(F.col("_run").alias("_of"), F.struct(*[F.col(f"n_{c}").alias(c) for c in payload]).alias("_head"))
+    out = runs.join(following, F.col(group) == F.col("_of"))
     out = out.withColumn("_next", F.coalesce("_next", "_head"))
     return out.select(*rows.columns, "rn", *[F.col(f"_next.{c}").alias(f"n_{c}") for c in payload])
 

@@ -73,3 +73,13 @@ def test_runs_of_outlying_and_null_ids(spark, make_docs, monkeypatch):
     spans = runs.groupBy("run").agg(F.min(key).alias("a"), F.max(key).alias("z")).orderBy("run").collect()
     rank = lambda s: (s[0], s[1] or 0, s[2] if not s[0] else 0)
     assert all(rank(x["z"]) < rank(y["a"]) for x, y in zip(spans, spans[1:]))
+
+
+def test_more_runs_than_one_window_orders(spark, make_docs, monkeypatch):
+    # the heads of runs take two coarser steps before the last
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(simhash, "LAST_ROWS", 16)
+    rows = [(k, prose(k, 8)) for k in range(120)] + [(None, f"no id {k}") for k in range(30)] + [(7, "again"), (10 ** 15, "far")]
+    assert simhash._runs(make_docs(rows).select("doc_id", "text").withColumn("h", F.xxhash64("text")))[1] > 4 * 16
+    got = [tuple(r) for r in simhash.digest(make_docs(rows)).collect()]
+    assert Counter(got) == Counter(brute(spark, rows))
